@@ -19,60 +19,87 @@ from pyspark.sql import functions as F
 from newszones import fixed_values as fixed
 from newszones.functions.text import WHITESPACE
 
-_INT_MAX = 2147483647
-_MONTH_OF = {name: number for number, names in fixed.MONTHS.items() for name in names}
-
 
 def _alternatives(names) -> str:
     return "|".join(sorted(names, key=len, reverse=True))
 
 
-def _time(p: str, extra: str = "") -> str:
-    """Pattern of a time of day; the groups are named h, i, s, f, a, z with the prefix ``p``."""
-    clock = (
-        rf"(?<{p}h>\d{{1,2}}):(?<{p}i>\d{{1,2}})(?::(?<{p}s>\d{{1,2}})(?:[.,](?<{p}f>\d+))?\.?)?"
-        rf"(?: *(?<{p}a>[ap])\.?m?\.?)?"
-        rf"(?: *(?<{p}z>(?<![apm.])z|[+-]\d\d:?\d\d|[+-]\d{{1,2}}))?"
-    )
-    bare = rf"(?<{p}bh>\d{{1,2}}) *(?<{p}ba>[ap])\.?m?\.?|(?<{p}hh>\d{{1,2}})h(?: ?(?<{p}hi>\d{{1,2}})m?)?"
-    return f"(?:{clock}|{bare}{extra})"
-
-
+# Numbers: one that can only be a year, a day that cannot be a month, a month, anything of two digits.
+_YEAR = r"\d{3,}|3[2-9]|[4-9]\d"
+_PAST_MONTHS = r"1[3-9]|2\d|3[01]"
+_MONTH = r"0?\d|1[0-2]"
+_TWO = r"\d{1,2}"
+_NAME = _alternatives(name for names in fixed.MONTHS.values() for name in names)
 _WEEKDAY = rf"(?:(?:{_alternatives(fixed.WEEKDAYS)})[., ]+)?"
-_NAMED_GAP = r"[ ,./-]+(?:of +)?"
-_ORDINAL = r"(?:st|nd|rd|th)?"
-_DATE = (
-    r"(?:(?<n1>\d+)(?<sep>[-/. ])(?<n2>\d+)\k<sep>(?<n3>\d+)"
-    r"|(?<p1>\d+)[-/](?<p2>\d+)"
-    rf"|(?:(?<m1>\d+){_ORDINAL}{_NAMED_GAP})?(?<mon>{_alternatives(_MONTH_OF)})\.?"
-    rf"(?:{_NAMED_GAP}(?<m2>\d+){_ORDINAL}(?:{_NAMED_GAP}(?<m3>\d+))?)?"
-    r"|(?<c1>\d{4})(?<c2>\d\d)(?<c3>\d\d)(?:(?<ch>\d\d)(?<ci>\d\d)(?<cs>\d\d)?)?(?!\d)"
-    rf"|(?<one>\d+){_ORDINAL})"
+_NAMED_GAP = r"\.?[ ,./-]+(?:of +)?"
+_ORDINAL = "(?:st|nd|rd|th)?"
+
+_ZONE = r"(?: *(?<z{k}>(?<![apm.])z|[+-]\d\d:?\d\d|[+-]\d{{1,2}}))?"
+_TIME = (
+    r"(?:(?<h1>\d{1,2}):(?<i1>\d{1,2})(?::(?<s1>\d{1,2})(?:[.,](?<f1>\d+))?\.?)?(?: *(?<a1>[ap])\.?m?\.?)?"
+    + _ZONE.format(k=1)
+    + r"|(?<h2>\d{1,2}) *(?<a2>[ap])\.?m?\.?|(?<h3>\d{1,2})h(?: ?(?<i3>\d{1,2})m?)?)"
 )
-_COMPACT_TIME = r"|(?<tkh>\d\d)(?:(?<tki>\d\d)(?<tks>\d\d)?)?(?: *(?<tkz>z|[+-]\d\d:?\d\d|[+-]\d{1,2}))?"
+# Hours, minutes and seconds without colons, behind a full date in numbers.
+_RUN = r"(?:(?:t| +)(?<h4>\d\d)(?:(?<i4>\d\d)(?<s4>\d\d)?)?(?![\d:h])" + _ZONE.format(k=4) + ")?"
 _AFTER_DATE = (
     r"(?:[,;.']* +(?:[-/] +)?(?:(?:at|on|t) +)?|[,;]|(?<=\d)t"
-    r"|(?<=\d[-/.]\d{1,2}[-/.]\d{1,4})-(?=\d{1,2}[:h]))"
+    r"|(?<=\d[-/.](?:\d{1,2}|[a-z]{3,9})[-/.]\d{1,4})-(?=\d{1,2}[:h]))"
 )
-_BEFORE_DATE = r"[ ,;']+(?:on +)?"
-
-_GROUPS = [
-    "n1", "n2", "n3", "p1", "p2", "m1", "mon", "m2", "m3", "c1", "c2", "c3", "ch", "ci", "cs", "one",
-    "th", "ti", "ts", "tf", "ta", "tz", "tbh", "tba", "thh", "thi", "tkh", "tki", "tks", "tkz",
-    "uh", "ui", "us", "uf", "ua", "uz", "ubh", "uba", "uhh", "uhi",
-    "wh", "wi", "ws", "wf", "wa", "wz", "wbh", "wba", "whh", "whi",
-]
-_PATTERN = (
-    f"^(?:{_WEEKDAY}{_DATE}(?:{_AFTER_DATE}{_time('t', _COMPACT_TIME)})?[ ,;.]*"
-    f"|{_time('u')}"
-    f"|{_time('w')}{_BEFORE_DATE}{_WEEKDAY}"
-    + re.sub(r"\(\?<(\w+)>", r"(?<w\1>", _DATE).replace(r"\k<sep>", r"\k<wsep>")
-    + "[ ,;.]*)$"
+_TIME_FIRST = (
+    r"^(\d{1,2}(?::[\d:.]*|h\d*m?|(?= *[ap](?:\.?m)?\b))(?: *[ap](?:\.?m)?\b\.?)?+(?: *(?:z|[+-][\d:]+))?+)"
+    r"[ ,;']+(?:on +)?(?=[a-z]{3}|\d)(.+)$"
 )
-_DATE_GROUPS = [g for g in _GROUPS if g[0] in "npmco"]
-_TEMPLATE = "\u0001" + "\u0001".join(
-    f"${{{g}}}${{w{g}}}" if g in _DATE_GROUPS else f"${{{g}}}" for g in _GROUPS)
-_MARK = "\u0001"
+
+
+def _pattern(day_first: bool) -> str:
+    """One pattern for all dates. A group's first letter tells the part: year, month, day, name, h, i, s, f, a, z."""
+
+    def numbers(k, sep, part_sep, two, year):
+        ymd = rf"(?<y{k}1>{_YEAR if two == _TWO else '3[2-9]|[4-9][0-9]'}){sep}(?<m{k}1>{two}){part_sep}(?<d{k}1>{two})"
+        if day_first:
+            ymd = (rf"(?<y{k}4>{_YEAR if two == _TWO else '3[2-9]|[4-9][0-9]'}){sep.replace('sep', 'gap')}(?<d{k}4>{two})"
+                   rf"{part_sep.replace('sep', 'gap')}(?<m{k}4>{_MONTH if two == _TWO else '0[0-9]|1[0-2]'})(?!\d)|" + ymd)
+        first_day = two if day_first else _PAST_MONTHS
+        second_month = (_MONTH if two == _TWO else "0[0-9]|1[0-2]") if day_first else two
+        dmy = (rf"(?<d{k}2>{first_day}){sep.replace('sep', 'sep2')}(?<m{k}2>{second_month})"
+               rf"{part_sep.replace('sep', 'sep2')}(?<y{k}2>{year})")
+        past = (rf"|(?<d{k}5>{_PAST_MONTHS}){sep.replace('sep', 'sep5')}(?<m{k}5>{two})"
+                rf"{part_sep.replace('sep', 'sep5')}(?<y{k}5>{year})") if day_first else ""
+        mdy = (rf"(?<m{k}3>{_MONTH if two == _TWO else '0[0-9]|1[0-2]'}){sep.replace('sep', 'sep3')}(?<d{k}3>{two})"
+               rf"{part_sep.replace('sep', 'sep3')}(?<y{k}3>{year})")
+        return f"{ymd}|{dmy}{past}|{mdy}"
+
+    separated = numbers(1, r"(?<sep>[-/. ])", r"\k<sep>", _TWO, r"\d+")
+    glued = numbers(2, "", "", r"\d\d", r"\d\d")
+    pair = rf"(?<y31>{_YEAR})[-/](?<m31>{_TWO})|(?<m32>{_TWO})[-/](?<y32>{_YEAR})"
+    if day_first:
+        pair += rf"|(?<d34>{_TWO})[-/](?<m34>{_MONTH})(?!\d)"
+    pair += rf"|(?<m33>{_TWO})[-/](?<d33>{_TWO})"
+    named = (
+        rf"(?<y41>{_YEAR}){_NAMED_GAP}(?<n41>{_NAME})(?:{_NAMED_GAP}(?<d41>{_TWO}){_ORDINAL})?"
+        rf"|(?<d42>{_TWO}){_ORDINAL}{_NAMED_GAP}(?<n42>{_NAME})(?:{_NAMED_GAP}(?<y42>\d+)(?!:))?"
+        rf"|(?<n43>{_NAME}){_NAMED_GAP}(?<d43>[012]?\d|3[01]){_ORDINAL}(?![:\d])(?:{_NAMED_GAP}(?<y43>\d+)(?!:))?"
+        rf"|(?<n44>{_NAME}){_NAMED_GAP}(?<y44>{_YEAR})(?!:)(?:{_NAMED_GAP}(?<d44>{_TWO})(?!:))?"
+        rf"|(?<n45>{_NAME})\.?"
+    )
+    eight = r"(?<y51>\d{4})(?<m51>\d\d)(?<d51>\d\d)(?:(?<h5>\d\d)(?<i5>\d\d)(?<s5>\d\d)?(?=$))?"
+    lone = rf"(?!(?:\d{{6}}|\d{{8}}|\d{{12}}|\d{{14}})(?!\d))(?<y61>{_YEAR})(?![\d:h])|(?<d61>{_TWO}){_ORDINAL}(?![\d:h])"
+    date = (rf"{_WEEKDAY}(?:(?:{separated}){_RUN}|{eight}(?!\d){_RUN.replace('h4', 'h6').replace('i4', 'i6').replace('s4', 's6').replace('z4', 'z6')}"
+            rf"|(?:{glued})(?!\d)|{pair}|{named}|{lone})")
+    return rf"^(?=.)(?:{date}(?:{_AFTER_DATE}(?={_TIME_AHEAD})|(?=[ ,;.]*$)))?(?:{_TIME})?[ ,;.]*$"
+
+
+_TIME_AHEAD = r"\d{1,2}(?::| *[aph])"
+_MARK, _MATCHED = "\u0001", "\u0002"
+_PARTS = "ymdnhisfaz"
+_PARTS_DDL = ("mark string, y string, m int, d int, n string, h int, i int, s string, f string, a string, z string")
+
+
+def _template(pattern: str) -> str:
+    groups = re.findall(r"\(\?<([a-z]\w*)>", pattern)
+    parts = ["".join(f"${{{g}}}" for g in groups if re.fullmatch(rf"{p}\d+", g)) for p in _PARTS]
+    return _MARK.join([_MATCHED, *parts])
 
 
 def _english_months(text: Column) -> Column:
@@ -93,157 +120,53 @@ def parse_dates(
 ) -> DataFrame:
     """Add the struct column ``into``: ``iso`` text, ``day``, ``clock`` and ``overflow``.
 
-    The text is matched once; each further step is a projection of its own, so that the intermediate
-    values are computed once as well. ``as_of`` is a timestamp without time zone.
+    One match sorts the text into year, month, day, time and offset; what follows is arithmetic. Each step
+    is a projection of its own, so that its values are computed once. ``as_of`` is a timestamp without
+    time zone.
     """
-    parts, nums, fields, checked, day = (f"__{into}_{n}" for n in ("parts", "nums", "fields", "checked", "day"))
-
+    if month_names not in ("en", "es"):
+        raise ValueError(f"unknown month names: {month_names}")
+    kept = df.columns
     source = F.translate(F.col(text), WHITESPACE, " " * len(WHITESPACE))
     if month_names == "es":
         source = _english_months(source)
-    elif month_names != "en":
-        raise ValueError(f"unknown month names: {month_names}")
-    df = df.withColumn(parts, F.split(F.regexp_replace(source, _PATTERN, _TEMPLATE), _MARK))
-
-    def g(name):
-        return F.get(parts, F.lit(_GROUPS.index(name) + 1))
-
-    def either(*names):
-        texts = [F.nullif(g(n), F.lit("")) for n in names]
-        return F.coalesce(*texts) if len(texts) > 1 else texts[0]
-
-    def number(col):
-        # More than 18 digits do not fit; such a number is as good as any other beyond the limit.
-        return F.when(F.length(col) > 18, F.lit(10**18)).otherwise(col.try_cast("bigint"))
-
-    matched = F.col(text).isNotNull() & (F.size(parts) == len(_GROUPS) + 1)
-    six = F.length(g("one")) == 6
-    one = either("one")
-    first = F.coalesce(either("n1", "p1", "c1"), F.when(six, F.substring(one, 1, 2)), either("m1"), one)
-    second = F.coalesce(either("n2", "p2", "c2"), F.when(six, F.substring(one, 3, 2)), either("m2"))
-    third = F.coalesce(either("n3", "c3"), F.when(six, F.substring(one, 5, 2)), either("m3"))
-    months = F.create_map(*[F.lit(x) for pair in _MONTH_OF.items() for x in pair])
-    df = df.withColumn(nums, F.when(matched, F.struct(
-        first.alias("a"), second.alias("b"), third.alias("c"),
-        # Two numbers of more than two digits cannot both be the year.
-        (_long(first) + _long(second) + _long(third) > 1).alias("two_years"),
-        number(first).alias("va"), number(second).alias("vb"), number(third).alias("vc"),
-        F.try_element_at(months, either("mon")).cast("bigint").alias("mon"),
-        # Digits run together are a time only behind a full date, and only once.
-        (((g("ch") != "") & (F.concat(g("th"), g("tbh"), g("thh"), g("tkh")) != ""))
-         | ((g("tkh") != "") & (F.concat(g("n1"), g("c1")) == ""))).alias("bad_time"),
-        number(either("th", "tbh", "thh", "tkh", "ch", "uh", "ubh", "uhh", "wh", "wbh", "whh")).alias("h"),
-        number(either("ti", "thi", "tki", "ci", "ui", "uhi", "wi", "whi")).alias("i"),
-        number(either("ts", "tks", "cs", "us", "ws")).alias("s"),
-        either("tf", "uf", "wf").alias("f"),
-        either("ta", "tba", "ua", "uba", "wa", "wba").alias("half"),
-        either("tz", "tkz", "uz", "wz").alias("z"),
-    )))
-
-    def n(name):
-        return F.col(f"{nums}.{name}")
-
-    def ymd(year=None, month=None, day=None, digits=None):
-        """One reading of the numbers; a year of more than two digits needs no century."""
-        none = F.lit(None).cast("bigint")
-        return F.struct(
-            (none if year is None else year).alias("y"),
-            (none if month is None else month).alias("m"),
-            (none if day is None else day).alias("d"),
-            (F.lit(False) if digits is None else F.length(digits) > 2).alias("full"))
-
-    # Beside a month name, the first number is the day unless it is too large for one.
-    x = F.coalesce(n("va"), n("vb"))
-    y = F.when(n("va").isNull(), n("vc")).otherwise(n("vb"))
-    with_name = (
-        F.when(x.isNull(), ymd(month=n("mon")))
-        .when(n("va").isNotNull() & n("vc").isNotNull(), F.lit(None))
-        .when(x > 31, ymd(year=x, month=n("mon"), day=y))
-        .otherwise(ymd(year=y, month=n("mon"), day=x))
-    )
-    year_first = (n("va") > 31) | (F.length(n("a")) > 2)
-    two = (
-        F.when(n("va") > 31, ymd(year=n("va"), month=n("vb"), digits=n("a")))
-        .when(n("vb") > 31, ymd(year=n("vb"), month=n("va"), digits=n("b")))
-        .when(F.lit(day_first) & (n("vb") <= 12), ymd(month=n("vb"), day=n("va")))
-        .otherwise(ymd(month=n("va"), day=n("vb")))
-    )
-    three = (
-        F.when(year_first & F.lit(day_first) & (n("vc") <= 12),
-               ymd(year=n("va"), month=n("vc"), day=n("vb"), digits=n("a")))
-        .when(year_first, ymd(year=n("va"), month=n("vb"), day=n("vc"), digits=n("a")))
-        .when((n("va") > 12) | (F.lit(day_first) & (n("vb") <= 12)),
-              ymd(year=n("vc"), month=n("vb"), day=n("va"), digits=n("c")))
-        .otherwise(ymd(year=n("vc"), month=n("va"), day=n("vb"), digits=n("c")))
-    )
-    df = df.withColumn(fields, F.when(
-        F.col(nums).isNotNull() & ~n("two_years") & ~n("bad_time"),
-        F.when(n("mon").isNotNull(), with_name)
-        .when(n("vc").isNotNull(), three)
-        .when(n("vb").isNotNull(), two)
-        .when(n("va") > 31, ymd(year=n("va")))
-        .otherwise(ymd(day=n("va")))))
-
-    def f(name):
-        return F.col(f"{fields}.{name}")
-
-    this_year = F.year(as_of).cast("bigint")
-    near = f("y") + F.floor(this_year / 100).cast("bigint") * 100
-    year = (
-        F.when(f("y").isNull(), this_year)
-        .when(f("full") | (f("y") > 99), f("y"))
-        .otherwise(near + F.when(near >= this_year + 50, -100).when(near < this_year - 50, 100).otherwise(0))
-    )
-    hour = (
-        F.when(n("half").isNull(), F.coalesce(n("h"), F.lit(0)))
-        .when(n("h") > 12, F.lit(-1))
-        .otherwise(n("h") % 12 + F.when(n("half") == "p", 12).otherwise(0))
-    )
-    zone_digits = F.regexp_replace(n("z"), "[^0-9]", "")
-    df = df.withColumn(checked, F.when(F.col(fields).isNotNull(), F.struct(
-        year.alias("y"),
-        F.coalesce(f("m"), F.month(as_of).cast("bigint")).alias("m"),
-        f("d").alias("d"),
-        hour.cast("int").alias("h"),
-        F.coalesce(n("i"), F.lit(0)).cast("int").alias("i"),
-        F.coalesce(n("s"), F.lit(0)).cast("int").alias("s"),
-        F.rpad(F.substring(F.coalesce(n("f"), F.lit("")), 1, 6), 6, "0").alias("micros"),
-        (F.coalesce(F.substring(zone_digits, 1, 2).try_cast("int"), F.lit(0)) * 60
-         + F.coalesce(F.substring(zone_digits, 3, 2).try_cast("int"), F.lit(0))).alias("shift"),
-        n("z").isNotNull().alias("zoned"),
-        F.substring(n("z"), 1, 1).alias("sign"),
-    )))
-
-    def c(name):
-        return F.col(f"{checked}.{name}")
-
-    # A missing day is the one of as_of, or the month's last if that is earlier.
-    df = df.withColumn(day, F.when(
-        c("y").between(1, 9999) & c("m").between(1, 12) & (F.coalesce(c("d"), F.lit(1)).between(1, 31))
-        & c("h").between(0, 23) & c("i").between(0, 59) & c("s").between(0, 59) & (c("shift") < 1440),
-        F.coalesce(c("d").cast("int"), F.least(F.dayofmonth(as_of), F.dayofmonth(F.last_day(
-            F.make_date(c("y").cast("int"), c("m").cast("int"), F.lit(1))))))))
-    df = df.withColumn(day, F.concat(
-        F.lpad(c("y").cast("string"), 4, "0"), F.lit("-"), _two(c("m")), F.lit("-"), _two(F.col(day)),
-    ).try_cast("date"))
-    hms = F.when(F.col(day).isNotNull(), F.concat_ws(":", _two(c("h")), _two(c("i")), _two(c("s"))))
-    zone = F.when(~c("zoned"), "").when(c("shift") == 0, "+00:00").otherwise(F.concat(
-        c("sign"), _two(F.floor(c("shift") / 60)), F.lit(":"), _two(c("shift") % 60)))
-    return df.withColumn(into, F.struct(
-        F.concat(F.col(day).cast("string"), F.lit("T"), hms,
-                 F.when(c("micros") == "000000", "").otherwise(F.concat(F.lit("."), c("micros"))), zone).alias("iso"),
-        F.col(day).alias("day"),
-        F.concat(hms, F.lit("."), c("micros")).alias("clock"),
-        F.coalesce(f("y") > _INT_MAX, F.lit(False)).alias("overflow"),
-    )).drop(parts, nums, fields, checked, day)
-
-
-def _long(digits: Column) -> Column:
-    return F.when(F.length(digits) > 2, 1).otherwise(0)
-
-
-def _two(col: Column) -> Column:
-    return F.lpad(col.cast("string"), 2, "0")
+    pattern = _pattern(day_first)
+    p, n, t, now = (f"__{into}_{x}" for x in ("parts", "numbers", "local", "now"))
+    sorted_out = F.regexp_replace(F.regexp_replace(source, _TIME_FIRST, "$2 $1"), pattern, _template(pattern))
+    df = df.withColumn(p, F.from_csv(sorted_out, _PARTS_DDL, {"sep": _MARK})).withColumn(now, as_of)
+    months = "".join(fixed.MONTHS[k][0][:3] for k in range(1, 13))
+    zone = f"regexp_replace({p}.z, '[^0-9]', '')"
+    # A year of two digits is the one closest to the present.
+    df = df.withColumn(n, F.expr(f"""
+        if({p}.mark = '{_MATCHED}', named_struct(
+            'y', case when {p}.y is null then year({now})
+                      when length({p}.y) > 2 then try_cast({p}.y as int)
+                      else year({now}) - 50 + pmod(cast({p}.y as int) - year({now}) + 50, 100) end,
+            'm', coalesce({p}.m, cast((locate(left({p}.n, 3), '{months}') + 2) / 3 as int), month({now})),
+            'h', case when {p}.a is null then coalesce({p}.h, 0) when {p}.h > 12 then -1
+                      when {p}.a = 'p' then {p}.h % 12 + 12 else {p}.h % 12 end,
+            's', cast(concat(coalesce({p}.s, '0'), '.', left(coalesce({p}.f, '0'), 6)) as decimal(16, 6)),
+            'shift', coalesce(try_cast(left({zone}, 2) as int), 0) * 60 + coalesce(try_cast(substr({zone}, 3) as int), 0)
+        ), null)"""))
+    # A missing day is that of as_of, or the month's last if that is earlier.
+    df = df.withColumn(t, F.expr(f"""
+        case when {n}.y between 1 and 9999 and {n}.m between 1 and 12 and {n}.s < 60 and {n}.shift < 1440
+             then cast(try_make_timestamp_ntz({n}.y, {n}.m, coalesce({p}.d, day(add_months(
+                      cast({now} as date), ({n}.y - year({now})) * 12 + {n}.m - month({now})))),
+                  {n}.h, coalesce({p}.i, 0), {n}.s) as string) end"""))
+    result = F.expr(f"""
+        named_struct(
+            'iso', concat(left({t}, 10), 'T', substr({t}, 12, 8),
+                if(length({t}) > 19, concat('.', rpad(substr({t}, 21), 6, '0')), ''),
+                case when {p}.z is null then '' when {n}.shift = 0 then '+00:00'
+                     else concat(left({p}.z, 1), lpad({n}.shift div 60, 2, '0'), ':', lpad({n}.shift % 60, 2, '0')) end),
+            'day', cast(left({t}, 10) as date),
+            'clock', concat(substr({t}, 12, 8), '.', rpad(substr({t}, 21), 6, '0')),
+            'overflow', coalesce({p}.mark = '{_MATCHED}' and length({p}.y) > 9
+                                 and coalesce(try_cast({p}.y as bigint), 9999999999) > 2147483647, false))""")
+    # Exploding a single struct changes nothing, but keeps the optimizer from pushing a filter on the result
+    # below all these projections, which would repeat them inside the filter, each nested in the next.
+    return df.select(*kept, F.explode(F.array(result)).alias(into))
 
 
 def parse_fecha(df: DataFrame, col: str = "fecha", *, as_of: Column, **options) -> DataFrame:
