@@ -1,6 +1,7 @@
 """Free-form date text to ISO text, dates and times of day, without leaving the JVM.
 
-Accepted date texts (after lower-casing), month first unless ``day_first``:
+Accepted date texts (after lower-casing), month first unless ``day_first``, which leaves those alone that
+begin with the year:
 
 - year, month and day as numbers with one of ``- / .`` or blank between them, or as 6 or 8 digits;
 - two of them with ``-`` or ``/``; a lone number of up to four digits;
@@ -40,8 +41,14 @@ _TIME = (
     + _ZONE.format(k=1)
     + r"|(?<h2>\d{1,2}) *(?<a2>[ap])\.?m?\.?|(?<h3>\d{1,2})h(?: ?(?<i3>\d{1,2})m?)?)"
 )
-# Hours, minutes and seconds without colons, behind a full date in numbers.
-_RUN = r"(?:(?:t| +)(?<h4>\d\d)(?:(?<i4>\d\d)(?<s4>\d\d)?)?(?![\d:h])" + _ZONE.format(k=4) + ")?"
+
+
+def _run(k: int) -> str:
+    """Hours, minutes and seconds without colons, behind a full date in numbers."""
+    return (rf"(?:(?:t| +)(?<h{k}>\d\d)(?:(?<i{k}>\d\d)(?<s{k}>\d\d)?)?(?![\d:h])"
+            + _ZONE.format(k=k) + ")?")
+
+
 _AFTER_DATE = (
     r"(?:[,;.']* +(?:[-/] +)?(?:(?:at|on|t) +)?|[,;]|(?<=\d)t"
     r"|(?<=\d[-/.](?:\d{1,2}|[a-z]{3,9})[-/.]\d{1,4})-(?=\d{1,2}[:h]))"
@@ -55,23 +62,22 @@ _TIME_FIRST = (
 def _pattern(day_first: bool) -> str:
     """One pattern for all dates. A group's first letter tells the part: year, month, day, name, h, i, s, f, a, z."""
 
-    def numbers(k, sep, part_sep, two, year):
-        ymd = rf"(?<y{k}1>{_YEAR if two == _TWO else '3[2-9]|[4-9][0-9]'}){sep}(?<m{k}1>{two}){part_sep}(?<d{k}1>{two})"
+    def numbers(k, sep, again, two, year, first_year, month):
+        """Three numbers: year first, day first because it is no month or because that is asked for, month first."""
+
+        def order(j, first, second, third):
+            name = f"sep{k}{j}"
+            return first + sep.format(name) + second + again.format(name) + third
+
+        y, m, d = (lambda j, x, letter=letter: f"(?<{letter}{k}{j}>{x})" for letter in "ymd")
+        ways = [order(1, y(1, first_year), m(1, two), d(1, two)), order(2, d(2, _PAST_MONTHS), m(2, two), y(2, year))]
         if day_first:
-            ymd = (rf"(?<y{k}4>{_YEAR if two == _TWO else '3[2-9]|[4-9][0-9]'}){sep.replace('sep', 'gap')}(?<d{k}4>{two})"
-                   rf"{part_sep.replace('sep', 'gap')}(?<m{k}4>{_MONTH if two == _TWO else '0[0-9]|1[0-2]'})(?!\d)|" + ymd)
-        first_day = two if day_first else _PAST_MONTHS
-        second_month = (_MONTH if two == _TWO else "0[0-9]|1[0-2]") if day_first else two
-        dmy = (rf"(?<d{k}2>{first_day}){sep.replace('sep', 'sep2')}(?<m{k}2>{second_month})"
-               rf"{part_sep.replace('sep', 'sep2')}(?<y{k}2>{year})")
-        past = (rf"|(?<d{k}5>{_PAST_MONTHS}){sep.replace('sep', 'sep5')}(?<m{k}5>{two})"
-                rf"{part_sep.replace('sep', 'sep5')}(?<y{k}5>{year})") if day_first else ""
-        mdy = (rf"(?<m{k}3>{_MONTH if two == _TWO else '0[0-9]|1[0-2]'}){sep.replace('sep', 'sep3')}(?<d{k}3>{two})"
-               rf"{part_sep.replace('sep', 'sep3')}(?<y{k}3>{year})")
-        return f"{ymd}|{dmy}{past}|{mdy}"
-
-    separated = numbers(1, r"(?<sep>[-/. ])", r"\k<sep>", _TWO, r"\d+")
-    glued = numbers(2, "", "", r"\d\d", r"\d\d")
+            ways.append(order(3, d(3, two), m(3, month), y(3, year)))
+        ways.append(order(4, m(4, month), d(4, two), y(4, year)))
+        return "|".join(ways)
+
+    separated = numbers(1, r"(?<{}>[-/. ])", r"\k<{}>", _TWO, r"\d+", _YEAR, _MONTH)
+    glued = numbers(2, "", "", r"\d\d", r"\d\d", "3[2-9]|[4-9][0-9]", "0[0-9]|1[0-2]")
     pair = rf"(?<y31>{_YEAR})[-/](?<m31>{_TWO})|(?<m32>{_TWO})[-/](?<y32>{_YEAR})"
     if day_first:
         pair += rf"|(?<d34>{_TWO})[-/](?<m34>{_MONTH})(?!\d)"
@@ -85,7 +91,7 @@ def _pattern(day_first: bool) -> str:
     )
     eight = r"(?<y51>\d{4})(?<m51>\d\d)(?<d51>\d\d)(?:(?<h5>\d\d)(?<i5>\d\d)(?<s5>\d\d)?(?=$))?"
     lone = rf"(?!(?:\d{{6}}|\d{{8}}|\d{{12}}|\d{{14}})(?!\d))(?<y61>{_YEAR})(?![\d:h])|(?<d61>{_TWO}){_ORDINAL}(?![\d:h])"
-    date = (rf"{_WEEKDAY}(?:(?:{separated}){_RUN}|{eight}(?!\d){_RUN.replace('h4', 'h6').replace('i4', 'i6').replace('s4', 's6').replace('z4', 'z6')}"
+    date = (rf"{_WEEKDAY}(?:(?:{separated}){_run(4)}|{eight}(?!\d){_run(6)}"
             rf"|(?:{glued})(?!\d)|{pair}|{named}|{lone})")
     return rf"^(?=.)(?:{date}(?:{_AFTER_DATE}(?={_TIME_AHEAD})|(?=[ ,;.]*$)))?(?:{_TIME})?[ ,;.]*$"
 
@@ -162,7 +168,7 @@ def parse_dates(
                      else concat(left({p}.z, 1), lpad({n}.shift div 60, 2, '0'), ':', lpad({n}.shift % 60, 2, '0')) end),
             'day', cast(left({t}, 10) as date),
             'clock', concat(substr({t}, 12, 8), '.', rpad(substr({t}, 21), 6, '0')),
-            'overflow', coalesce({p}.mark = '{_MATCHED}' and length({p}.y) > 9
+            'overflow', coalesce({p}.mark = '{_MATCHED}' and {n}.h >= 0 and length({p}.y) > 9
                                  and coalesce(try_cast({p}.y as bigint), 9999999999) > 2147483647, false))""")
     # Exploding a single struct changes nothing, but keeps the optimizer from pushing a filter on the result
     # below all these projections, which would repeat them inside the filter, each nested in the next.

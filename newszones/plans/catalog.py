@@ -108,7 +108,7 @@ def section_rule(spark, sf):
 
 @query
 def required_fields(spark, sf):
-    titulo = text.strip(F.when(F.col("page_id") % 4 == 0, " ").when(
+    titulo = text.strip(F.when(F.col("page_id") % 4 == 0, "\u00a0").when(
         F.col("page_id") % 4 != 1, F.regexp_extract("html", "<h1>([^<]*)</h1>", 1)))
     href = F.when(F.col("page_id") % 6 == 0, "").otherwise(F.regexp_extract("html", '<a href="([^"]*)"', 1))
     return _pages(spark, sf).select("page_id", titulo.alias("titulo"), href.alias("href")).filter(
@@ -164,7 +164,7 @@ def domain_allowlist(spark, sf):
 
 @query
 def normalize_text(spark, sf):
-    raw = F.concat(F.lit("  "), "text", F.when(F.col("doc_id") % 3 == 0, " \u001c").otherwise(" \U0001f600"))
+    raw = F.concat(F.lit("\u00a0 "), "text", F.when(F.col("doc_id") % 3 == 0, " \u001c").otherwise(" \U0001f600"))
     return _docs(spark, sf).select("doc_id", text.normalize_text(raw).alias("normalized"))
 
 
@@ -183,7 +183,7 @@ def join_list_field(spark, sf):
 
 @query
 def clean_text(spark, sf):
-    raw = F.concat(F.lit(" "), "text", F.when(F.col("doc_id") % 3 == 0, " x\u001cy \U0001f600").otherwise("!"))
+    raw = F.concat(F.lit("\u00a0"), "text", F.when(F.col("doc_id") % 3 == 0, "\u00a0x\u001cy \U0001f600").otherwise("!"))
     return _docs(spark, sf).select("doc_id", text.clean_text(raw).alias("cleaned"))
 
 

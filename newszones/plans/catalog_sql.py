@@ -61,7 +61,7 @@ _DAY = "lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0')"
 _NORMAL = f"""SELECT doc_id, 'd-' || doc_id AS data_id, lower(source) AS source,
   CASE WHEN doc_id % 11 > 1 THEN 'nota ' || lower(lang) || ' ' || doc_id END AS titulo,
   CASE WHEN doc_id % 13 <> 0 THEN {_unlink(_clean(
-      "lower(text) || CASE WHEN doc_id % 3 = 0 THEN ' x' || " + _ODD_END
+      "lower(text) || CASE WHEN doc_id % 3 = 0 THEN chr(160) || 'x' || " + _ODD_END
       + " ELSE ' ñandú' END || ' ver http://www.x.com/' || doc_id"))} END AS descripcion,
   CASE doc_id % 7 WHEN 0 THEN '2025-04-' || {_DAY} || 'T08:30:00-04:00'
     WHEN 1 THEN '2025-04-' || {_DAY} || 'T10:15:00'
@@ -198,13 +198,13 @@ WHERE source IS NULL OR source NOT IN ('eldeber', 'lostiempos', 'ahoraelpueblo')
     "domain_allowlist": f"""SELECT page_id, url FROM (SELECT page_id, url, lower({_AUTHORITY}) AS host FROM ({_URLS}))
 WHERE regexp_matches(host, '(^|\\.)(eldeber\\.com\\.bo|lostiempos\\.com|ahoraelpueblo\\.bo)$')""",
     "normalize_text": f"""SELECT doc_id, {_normal(
-        "'  ' || text || CASE WHEN doc_id % 3 = 0 THEN ' ' || chr(28) ELSE ' ' || chr(128512) END")} AS normalized
+        "'  ' || text || CASE WHEN doc_id % 3 = 0 THEN chr(160) || chr(28) ELSE ' ' || chr(128512) END")} AS normalized
 FROM documents""",
     "null_tokens": "SELECT doc_id, CASE WHEN doc_id % 4 = 3 THEN lang END AS lang FROM documents",
     "join_list_field": f"""SELECT doc_id, {_unlink(_clean("array_to_string(string_split(text, chr(10)), ' ')"))} AS descripcion
 FROM documents""",
     "clean_text": f"""SELECT doc_id, {_clean(
-        "' ' || text || CASE WHEN doc_id % 3 = 0 THEN ' x' || " + _ODD_END + " ELSE '!' END")} AS cleaned
+        "' ' || text || CASE WHEN doc_id % 3 = 0 THEN chr(160) || 'x' || " + _ODD_END + " ELSE '!' END")} AS cleaned
 FROM documents""",
     "remove_links": f"""SELECT doc_id, {_unlink(
         "'www.y.bo/á ' || text || ' ver http://www.x.com/' || doc_id || '?a=(b)|c https://ñ'")} AS cleaned
@@ -238,15 +238,15 @@ FROM events""",
     "coercion_loss": f"""SELECT count(*) AS n_lost FROM ({_DIRTY})
 WHERE fecha_noticia IS NOT NULL AND (event_id % 4 <> 0 OR hora_noticia = 'mediodia')""",
     "landing_roundtrip": f"""SELECT 'D-' || doc_id AS data_id, source,
-  CASE doc_id % 11 WHEN 0 THEN '  ' WHEN 1 THEN ' Null ' ELSE '  Nota ' || lang || ' ' || doc_id END AS titulo,
-  CASE WHEN doc_id % 13 = 0 THEN ' ' ELSE text || CASE WHEN doc_id % 3 = 0 THEN ' x' || {_ODD_END} ELSE ' Ñandú' END
+  CASE doc_id % 11 WHEN 0 THEN chr(160) || ' ' WHEN 1 THEN ' Null ' ELSE '  Nota ' || lang || ' ' || doc_id END AS titulo,
+  CASE WHEN doc_id % 13 = 0 THEN ' ' ELSE text || CASE WHEN doc_id % 3 = 0 THEN chr(160) || 'x' || {_ODD_END} ELSE ' Ñandú' END
     || ' ver http://www.x.com/' || doc_id END AS descripcion,
   CASE doc_id % 7 WHEN 0 THEN '2025-04-' || {_DAY} || 'T08:30:00-04:00' WHEN 1 THEN '04/' || {_DAY} || '/2025 10:15'
     WHEN 2 THEN {_DAY} || ' de abril de 2025' WHEN 3 THEN {_DAY} || ' Apr 2025' WHEN 4 THEN ''
     WHEN 5 THEN CASE WHEN doc_id % 5 = 0 THEN '99999999999999999999' ELSE '10:15' END
     ELSE '2025-04-' || {_DAY} || ' 08:30:00.5Z' END AS fecha,
   CASE WHEN doc_id % 9 = 0 THEN ' Null ' ELSE upper(lang) END AS seccion,
-  CASE WHEN doc_id % 19 = 0 THEN '' WHEN doc_id % 2 = 0 THEN upper('https://Eldeber.com.bo/pais/' || md5(text)) || ' '
+  CASE WHEN doc_id % 19 = 0 THEN '' WHEN doc_id % 2 = 0 THEN upper('https://Eldeber.com.bo/pais/' || md5(text)) || chr(160)
     ELSE 'https://Eldeber.com.bo/pais/' || md5(text) END AS url,
   CASE WHEN doc_id % 17 = 0 THEN 'ayer' ELSE '2025-04-01T' || lpad(CAST(doc_id * 7919 % 1440 // 60 AS VARCHAR), 2, '0')
     || ':' || lpad(CAST(doc_id * 7919 % 1440 % 60 AS VARCHAR), 2, '0') || ':00.25' END AS date_saved,

@@ -137,7 +137,7 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def article_url(text: Column, doc_id: Column) -> Column:
     """Equal texts have equal URLs but for case and blanks; every nineteenth article has none."""
     path = F.concat(F.lit("https://Eldeber.com.bo/pais/"), F.md5(text))
-    return F.when(doc_id % 19 == 0, "").when(doc_id % 2 == 0, F.concat(F.upper(path), F.lit(" "))).otherwise(path)
+    return F.when(doc_id % 19 == 0, "").when(doc_id % 2 == 0, F.concat(F.upper(path), F.lit("\u00a0"))).otherwise(path)
 
 
 def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,10 +151,10 @@ def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         F.concat(F.lit("D-"), n).alias("data_id"),
         F.col("source"),
-        _by("doc_id", 11, _0="  ", _1=" Null ", rest=F.concat(F.lit("  Nota "), F.col("lang"), F.lit(" "), n))
+        _by("doc_id", 11, _0="\u00a0 ", _1=" Null ", rest=F.concat(F.lit("  Nota "), F.col("lang"), F.lit(" "), n))
         .alias("titulo"),
         F.when(doc % 13 == 0, " ").otherwise(F.concat(
-            F.col("text"), F.when(doc % 3 == 0, " x\u001cy \U0001f600").otherwise(" Ñandú"),
+            F.col("text"), F.when(doc % 3 == 0, "\u00a0x\u001cy \U0001f600").otherwise(" Ñandú"),
             F.lit(" ver http://www.x.com/"), n)).alias("descripcion"),
         _by("doc_id", 7,
             _0=F.concat(F.lit("2025-04-"), day, F.lit("T08:30:00-04:00")),

@@ -22,6 +22,11 @@ def db():
     return con
 
 
+TYPES = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "date": "DATE", "boolean": "BOOLEAN",
+}
+
+
 def _value(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else round(v, 9)
@@ -45,6 +50,8 @@ def test_query(spark, db, name):
     want_names = [d[0] for d in cur.description]
     want = cur.fetchall()
     assert sorted(df.columns) == sorted(want_names)
+    types = {d[0]: str(d[1]) for d in cur.description}
+    assert {c: TYPES[t] for c, t in df.dtypes} == types
     assert want, "an oracle without rows proves nothing"
     a, b = _bag(df.columns, got), _bag(want_names, want)
     assert len(got) == len(want)
