@@ -100,6 +100,12 @@ class Tree(HTMLParser):
     def handle_pi(self, data):
         self._in_text = False
 
+    def parse_marked_section(self, i, report=1):
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # an unknown section is skipped like a comment
+            return self.parse_bogus_comment(i)
+
     def inside(self, node, tag):
         """Descendants of ``node`` with this tag, in document order."""
         places = self.places.get(tag, [])
