@@ -11,10 +11,10 @@ WHITESPACE = "".join(chr(c) for lo, hi in fixed.WHITESPACE_RANGES for c in range
 WS_CLASS = "".join(
     rf"\x{{{lo:x}}}" if lo == hi else rf"\x{{{lo:x}}}-\x{{{hi:x}}}" for lo, hi in fixed.WHITESPACE_RANGES
 )
-_WS_BUT_SPACE = "".join(
-    rf"\x{{{lo:x}}}" if lo == hi else rf"\x{{{lo:x}}}-\x{{{hi:x}}}"
-    for lo, hi in [(lo, 0x1F if hi == 0x20 else hi) for lo, hi in fixed.WHITESPACE_RANGES]
-)
+
+# The set once more for Java alone: its property lacks four control characters. Two tests per character
+# instead of one per range make the hot patterns several times faster.
+_JAVA_WS = r"\p{IsWhite_Space}\x1c-\x1f"
 
 
 def strip(col: Column) -> Column:
@@ -35,15 +35,12 @@ def join_list(col: Column) -> Column:
     return F.array_join(col, " ")
 
 
-def collapse_whitespace(col: Column) -> Column:
-    # Lone spaces, by far the most frequent run, are left alone instead of being replaced by themselves.
-    return F.regexp_replace(col, rf" [{WS_CLASS}]+|[{_WS_BUT_SPACE}][{WS_CLASS}]*", " ")
-
-
 def clean_text(col: Column) -> Column:
     """Keep unaccented letters, digits and whitespace; every whitespace run becomes one space."""
-    kept = F.regexp_replace(col, f"[^{fixed.DESCRIPTION_CHARS}{WS_CLASS}]+", "")
-    return F.btrim(collapse_whitespace(kept))
+    kept = F.regexp_replace(col, rf"[^\p{{Alnum}}{_JAVA_WS}]+", "")
+    # Now whatever is not alphanumeric is whitespace. A lone space, by far the most frequent run, stays as it is
+    # instead of being replaced by itself.
+    return F.btrim(F.regexp_replace(kept, r"[^\p{Alnum}](?:(?<! )|[^\p{Alnum}])[^\p{Alnum}]*", " "))
 
 
 def remove_links(col: Column) -> Column:
@@ -55,10 +52,11 @@ def clean_description(col: Column, order: str = "clean_then_links") -> Column:
     """Clean a description.
 
     ``clean_then_links`` is the established order: cleaning takes ``:``, ``/`` and ``.`` away first, so
-    links end up as one word. ``links_then_clean`` really drops them.
+    links end up as one word, and the link step, which looks for those characters, has nothing left to do.
+    ``links_then_clean`` really drops them.
     """
     if order == "clean_then_links":
-        return remove_links(clean_text(col))
+        return clean_text(col)
     if order == "links_then_clean":
         return clean_text(remove_links(col))
     raise ValueError(f"unknown order: {order}")

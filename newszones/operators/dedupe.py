@@ -39,24 +39,32 @@ def broadcast_if_small(keys: DataFrame, max_bytes: int = BROADCAST_BYTES) -> Dat
     return F.broadcast(keys) if measured <= max_bytes else None
 
 
-def _lookup(batch: DataFrame, history: DataFrame, key: str, how: str, max_bytes: int) -> DataFrame:
+def _lookup(batch, history, key, how, max_bytes, keys) -> DataFrame:
     keyed = batch.filter(F.col(key).isNotNull())
     known = history.select(key).filter(F.col(key).isNotNull())
-    small = broadcast_if_small(keyed.select(key).distinct(), max_bytes)
+    keys = (batch if keys is None else keys).select(key).filter(F.col(key).isNotNull()).distinct()
+    small = broadcast_if_small(keys, max_bytes)
     if small is None:
         return keyed.join(known, key, how)
     # The history is scanned once, by its key column alone, and not shuffled. What is left of it is part
-    # of the batch's own keys, hence as small as they are.
+    # of the measured keys, hence as small as they are.
     hits = known.join(small, key, "left_semi").distinct()
     return keyed.join(F.broadcast(hits), key, how)
 
 
-def new_rows(batch: DataFrame, history: DataFrame, key: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Rows whose key is not in the history, and those without a key."""
-    return _lookup(batch, history, key, "left_anti", max_bytes).select(batch.columns).unionByName(
+def new_rows(
+    batch: DataFrame, history: DataFrame, key: str, max_bytes: int = BROADCAST_BYTES, keys: DataFrame | None = None,
+) -> DataFrame:
+    """Rows whose key is not in the history, and those without a key.
+
+    ``keys`` may name a frame that holds at least the batch's keys and is cheaper to compute than the batch.
+    """
+    return _lookup(batch, history, key, "left_anti", max_bytes, keys).select(batch.columns).unionByName(
         batch.filter(F.col(key).isNull()))
 
 
-def known_rows(batch: DataFrame, history: DataFrame, key: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Rows whose key is in the history already."""
-    return _lookup(batch, history, key, "left_semi", max_bytes).select(batch.columns)
+def known_rows(
+    batch: DataFrame, history: DataFrame, key: str, max_bytes: int = BROADCAST_BYTES, keys: DataFrame | None = None,
+) -> DataFrame:
+    """Rows whose key is in the history already; ``keys`` as in ``new_rows``."""
+    return _lookup(batch, history, key, "left_semi", max_bytes, keys).select(batch.columns)

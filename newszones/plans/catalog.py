@@ -13,7 +13,7 @@ from newszones.plans import inputs, reports, zones
 from newszones.sources import tables as tb
 from newszones.sources.landing import read_landing, write_landing
 from newszones.sources.pages import allowed_pages, scan_pages
-from newszones.sources.storage import work_path
+from newszones.sources.storage import work_path, write_and_read
 from newszones.streaming.zone_stream import start_zones
 
 QUERIES = {}
@@ -312,19 +312,22 @@ def dedupe_against_history(spark, sf):
 
 @query
 def known_articles(spark, sf):
-    return known_rows(_accepted(spark, sf), inputs.known_urls(spark, sf), "url").select("data_id", "url")
+    keys = zones.url_keys(inputs.raw_articles(spark, sf))
+    return known_rows(_accepted(spark, sf), inputs.known_urls(spark, sf), "url", keys=keys).select("data_id", "url")
 
 
 @query
 def upsert_do_nothing(spark, sf):
     known = inputs.known_urls(spark, sf, good_only=True)
-    rows = zones.new_rows(_firsts(spark, sf), known, "url")
+    keys = zones.url_keys(inputs.raw_articles(spark, sf))
+    rows = zones.new_rows(_firsts(spark, sf), known, "url", keys=keys)
     return zones.consumption_projection(rows).drop("fecha_procesado")
 
 
 @query
 def consumption_backfill(spark, sf):
-    refined = zones.refined_projection(_firsts(spark, sf))
+    path = work_path(spark, "refined")
+    refined = write_and_read(zones.refined_projection(_firsts(spark, sf)), path)
     return zones.backfill(refined, inputs.known_urls(spark, sf, good_only=True)).drop("fecha_procesado")
 
 

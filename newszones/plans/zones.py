@@ -86,7 +86,13 @@ def refine(
 ) -> DataFrame:
     """Refined rows that one batch adds to ``history``."""
     rows = accepted(normalize_rows(landing, as_of=as_of, **options))
-    return refined_projection(new_rows(first_wins(rows, "url", ARRIVAL), history, "url", max_bytes))
+    return refined_projection(new_rows(
+        first_wins(rows, "url", ARRIVAL), history, "url", max_bytes, keys=url_keys(landing)))
+
+
+def url_keys(landing: DataFrame) -> DataFrame:
+    """The normalised URLs of landing rows, rejected ones included, without the cost of the other fields."""
+    return landing.select(text.null_tokens(text.normalize_text(F.col("url"))).alias("url"))
 
 
 def backfill(
@@ -99,8 +105,10 @@ def backfill(
 
     Rows without a URL cannot be told apart from those that did arrive and are left out.
     """
-    keyed = first_wins(refined.filter(F.col("url").isNotNull()), "url", ["date_saved_iso", "data_id"])
-    return consumption_projection(new_rows(keyed, consumption, "url", max_bytes), processed_at)
+    keyed = refined.filter(F.col("url").isNotNull())
+    firsts = first_wins(
+        new_rows(keyed, consumption, "url", max_bytes), "url", ["date_saved_iso", "data_id"])
+    return consumption_projection(firsts, processed_at)
 
 
 def consumption_without_refined(consumption: DataFrame, refined: DataFrame) -> DataFrame:

@@ -74,6 +74,22 @@ def test_text_matches_python(spark, values):
         assert r.cc == r.c and re.fullmatch("[a-zA-Z0-9 ]*", r.c)
 
 
+def test_whitespace_is_pythons_whole_set(spark):
+    every = [(i, chr(i)) for i in [*range(1, 0x3100), *range(0xFE00, 0x10000)]]
+    df = spark.createDataFrame(every, "i int, x string").select(
+        "i", (text.strip(F.col("x")) == "").alias("stripped"),
+        (text.clean_text(F.concat(F.lit("a"), "x", F.lit("b"))) == "a b").alias("collapsed"))
+    wrong = [r.i for r in df.collect() if not (r.stripped == r.collapsed == chr(r.i).isspace())]
+    assert not wrong
+
+
+def test_no_link_survives_cleaning(spark):
+    raw = ["http://a.b/c www.x.y z", "https://www.é.com/ñ", "www.a"]
+    cleaned = column(spark, raw, text.clean_text)
+    assert column(spark, raw, lambda c: text.remove_links(text.clean_text(c))) == cleaned
+    assert column(spark, raw, text.clean_description) == cleaned
+
+
 AUTHORITIES = [
     ("https://eldeber.com.bo/pais/x", "eldeber.com.bo", "eldeber"),
     ("https://www.lostiempos.com/a", "www.lostiempos.com", "lostiempos"),
