@@ -25,13 +25,14 @@ def normalize_rows(
 
     A ``descripcion`` of type array is joined and, unlike a text, not lower-cased.
     """
-    rows = landing
-    for name in _TEXT_FIELDS:
-        rows = rows.withColumn(name, text.null_tokens(text.normalize_text(F.col(name))))
-    if isinstance(landing.schema["descripcion"].dataType, T.ArrayType):
-        description = text.join_list(F.when(F.size("descripcion") > 0, F.col("descripcion")))
-    else:
-        description = text.null_tokens(text.normalize_text(F.col("descripcion")))
+    is_list = isinstance(landing.schema["descripcion"].dataType, T.ArrayType)
+    names = _TEXT_FIELDS if is_list else [*_TEXT_FIELDS, "descripcion"]
+    # Two projections: what the second one mentions more than once is computed once, by the first.
+    rows = landing.withColumns({name: text.normalize_text(F.col(name)) for name in names})
+    rows = rows.withColumns({name: text.null_tokens(F.col(name)) for name in names})
+    description = F.col("descripcion")
+    if is_list:
+        description = text.join_list(F.when(F.size(description) > 0, description))
     rows = rows.withColumn("descripcion", text.clean_description(description, order))
     rows = dates.parse_fecha(rows, "fecha", as_of=as_of, **date_options)
     rows = rows.withColumn("date_saved", dates.date_saved_iso(F.col("date_saved")))
