@@ -4,8 +4,10 @@ Python only turns a page into lists of matched texts, per block and selector. Wh
 or all matches, defaults, required fields, links and stamps are column expressions on those lists.
 """
 
+from contextlib import contextmanager
+
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newszones import fixed_values as fixed
@@ -26,6 +28,21 @@ _FOUND = pa.struct([
 _FOUND_DDL = "blocks array<array<array<string>>>, next_pages array<string>, error string"
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+PAGES_PER_BATCH = 500
+
+
+@contextmanager
+def page_batches(spark: SparkSession, pages: int = PAGES_PER_BATCH):
+    """Within this, Python workers get at most so many pages at a time; the default suits short rows only."""
+    before = spark.conf.get(_BATCH_ROWS)
+    spark.conf.set(_BATCH_ROWS, str(min(int(before), pages) if int(before) > 0 else pages))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
+
+
 def _plans(rules: list, slots: list[tuple[str, int]]) -> dict:
     """Per source: row selectors in order, each slot's selector, and the next-page selectors."""
     plans = {}

@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newszones.functions.text import normalize_text, null_tokens
+
 TODAY = date(2024, 1, 25)
 
 
@@ -176,8 +178,8 @@ def known_urls(spark: SparkSession, sf_dir: str, good_only: bool = False) -> Dat
     if good_only:
         labels = labels.filter("quality = 1")
     docs = table(spark, sf_dir, "documents").join(labels, "doc_id", "left_semi")
-    return docs.filter(F.col("doc_id") % 19 != 0).select(
-        F.concat(F.lit("https://eldeber.com.bo/pais/"), F.md5("text")).alias("url")).distinct()
+    url = null_tokens(normalize_text(article_url(F.col("text"), F.col("doc_id"))))
+    return docs.select(url.alias("url")).filter(F.col("url").isNotNull()).distinct()
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:

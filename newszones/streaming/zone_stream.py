@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from newszones.operators.extract import extract_blocks, landing_rows, rejected_blocks
+from newszones.operators.extract import extract_blocks, landing_rows, page_batches, rejected_blocks
 from newszones.operators.rules import collect_rules
 from newszones.plans.zones import run_batch
 from newszones.sources.landing import read_landing, read_landing_stream, write_landing
@@ -75,7 +75,8 @@ def run_pages(
     """Carry captured pages through extraction and all three zones as one batch."""
     rows = collect_rules(rules)
     with work_dir(spark, "pages") as path:
-        blocks = write_and_read(extract_blocks(allowed_pages(scan_pages(pages)), rows), path)
+        with page_batches(spark):
+            blocks = write_and_read(extract_blocks(allowed_pages(scan_pages(pages)), rows), path)
         write_landing(landing_rows(blocks), tables.landing, batch_key, mode="overwrite")
         write_batch(rejected_blocks(blocks), tables.quarantine, f"{batch_key}-extract")
     landing = read_landing(spark, f"{tables.landing}/run_ts={batch_key}")
