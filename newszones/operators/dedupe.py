@@ -13,8 +13,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 64
 
 
-def first_wins(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Keep one row per key, the first by ``order`` (NULLs last, ties settled by the other columns).
+def first_of_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """One row per key, the first by ``order`` (NULLs last, ties settled by the other columns); no NULL keys.
 
     It is an aggregation, not a window: each task reduces a key to one row before the shuffle, so a key
     that holds a large part of all rows costs no more than any other.
@@ -22,13 +22,17 @@ def first_wins(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     rest = [c for c in df.columns if c != key and c not in order]
     ranked = F.struct(
         *[x for c in order for x in (F.col(c).isNull().alias(f"__{c}_missing"), F.col(c))], *rest)
-    winners = (
+    return (
         df.filter(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.min(ranked).alias("__first"))
         .select(*[F.col(key) if c == key else F.col(f"__first.{c}").alias(c) for c in df.columns])
     )
-    return winners.unionByName(df.filter(F.col(key).isNull()))
+
+
+def first_wins(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """As ``first_of_key``, and all rows without a key."""
+    return first_of_key(df, key, order).unionByName(df.filter(F.col(key).isNull()))
 
 
 def broadcast_if_small(keys: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame | None:
@@ -52,6 +56,13 @@ def _lookup(batch, history, key, how, max_bytes, keys) -> DataFrame:
     return keyed.join(F.broadcast(hits), key, how)
 
 
+def unknown_keys(
+    batch: DataFrame, history: DataFrame, key: str, max_bytes: int = BROADCAST_BYTES, keys: DataFrame | None = None,
+) -> DataFrame:
+    """Rows with a key that is not in the history; ``keys`` as in ``new_rows``."""
+    return _lookup(batch, history, key, "left_anti", max_bytes, keys).select(batch.columns)
+
+
 def new_rows(
     batch: DataFrame, history: DataFrame, key: str, max_bytes: int = BROADCAST_BYTES, keys: DataFrame | None = None,
 ) -> DataFrame:
@@ -59,8 +70,16 @@ def new_rows(
 
     ``keys`` may name a frame that holds at least the batch's keys and is cheaper to compute than the batch.
     """
-    return _lookup(batch, history, key, "left_anti", max_bytes, keys).select(batch.columns).unionByName(
-        batch.filter(F.col(key).isNull()))
+    return unknown_keys(batch, history, key, max_bytes, keys).unionByName(batch.filter(F.col(key).isNull()))
+
+
+def new_firsts(
+    batch: DataFrame, history: DataFrame, key: str, order: list[str], max_bytes: int = BROADCAST_BYTES,
+    keys: DataFrame | None = None,
+) -> DataFrame:
+    """``first_wins``, then ``new_rows``, in one plan that computes the rows without a key only once."""
+    firsts = first_of_key(batch, key, order)
+    return unknown_keys(firsts, history, key, max_bytes, keys).unionByName(batch.filter(F.col(key).isNull()))
 
 
 def known_rows(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newszones.functions import dates, records, text, urls
 from newszones.operators import extract
-from newszones.operators.dedupe import first_wins, known_rows
+from newszones.operators.dedupe import first_wins, known_rows, new_firsts
 from newszones.operators.rules import collect_rules, default_rules
 from newszones.plans import inputs, reports, zones
 from newszones.sources import tables as tb
@@ -320,7 +320,7 @@ def known_articles(spark, sf):
 def upsert_do_nothing(spark, sf):
     known = inputs.known_urls(spark, sf, good_only=True)
     keys = zones.url_keys(inputs.raw_articles(spark, sf))
-    rows = zones.new_rows(_firsts(spark, sf), known, "url", keys=keys)
+    rows = new_firsts(_accepted(spark, sf), known, "url", zones.ARRIVAL, keys=keys)
     return zones.consumption_projection(rows).drop("fecha_procesado")
 
 

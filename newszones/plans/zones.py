@@ -6,7 +6,9 @@ from pyspark.sql import types as T
 
 from newszones import schemas
 from newszones.functions import dates, text, urls
-from newszones.operators.dedupe import BROADCAST_BYTES, first_wins, new_rows
+from newszones.operators.dedupe import (
+    BROADCAST_BYTES, first_of_key, first_wins, new_firsts, new_rows, unknown_keys,
+)
 from newszones.sources import tables as tb
 from newszones.sources.storage import work_dir, write_and_read
 
@@ -87,8 +89,7 @@ def refine(
 ) -> DataFrame:
     """Refined rows that one batch adds to ``history``."""
     rows = accepted(normalize_rows(landing, as_of=as_of, **options))
-    return refined_projection(new_rows(
-        first_wins(rows, "url", ARRIVAL), history, "url", max_bytes, keys=url_keys(landing)))
+    return refined_projection(new_firsts(rows, history, "url", ARRIVAL, max_bytes, keys=url_keys(landing)))
 
 
 def url_keys(landing: DataFrame) -> DataFrame:
@@ -106,10 +107,8 @@ def backfill(
 
     Rows without a URL cannot be told apart from those that did arrive and are left out.
     """
-    keyed = refined.filter(F.col("url").isNotNull())
-    firsts = first_wins(
-        new_rows(keyed, consumption, "url", max_bytes), "url", ["date_saved_iso", "data_id"])
-    return consumption_projection(firsts, processed_at)
+    missing = unknown_keys(refined, consumption, "url", max_bytes)
+    return consumption_projection(first_of_key(missing, "url", ["date_saved_iso", "data_id"]), processed_at)
 
 
 def consumption_without_refined(consumption: DataFrame, refined: DataFrame) -> DataFrame:
