@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from newszones.plans.catalog import QUERIES
+from newszones.plans.catalog_sql import ORACLE
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -39,14 +41,14 @@ def _bag(names, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
-    df = contract.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     got = [tuple(r) for r in df.collect()]
-    cur = db.execute(contract.oracle_sql()[name])
+    cur = db.execute(ORACLE[name])
     want_names = [d[0] for d in cur.description]
     want = cur.fetchall()
     assert sorted(df.columns) == sorted(want_names)
@@ -60,3 +62,8 @@ def test_query(spark, db, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_contract_holds_the_catalogue():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLE) <= set(contract.oracle_sql())
