@@ -2,12 +2,14 @@
 
 from newszones.llm.decontaminate import op10_decontaminate
 from newszones.llm.exact_dedup import OP9_SQL, op9_exact_dedup
+from newszones.llm.grades import op4_quality
 from newszones.llm.mixing import OP2_SQL, op2_mix_sources
 from newszones.llm.token_files import op3_token_files
 
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_token_files": op3_token_files,
+    "op4_quality": op4_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
