@@ -3,6 +3,7 @@
 from newszones.llm.decontaminate import op10_decontaminate
 from newszones.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from newszones.llm.grades import op4_quality
+from newszones.llm.html_text import op6_html_text
 from newszones.llm.jaccard import op7_jaccard_join
 from newszones.llm.mixing import OP2_SQL, op2_mix_sources
 from newszones.llm.token_files import op3_token_files
@@ -11,6 +12,7 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_token_files": op3_token_files,
     "op4_quality": op4_quality,
+    "op6_html_text": op6_html_text,
     "op7_jaccard_join": op7_jaccard_join,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontaminate": op10_decontaminate,
