@@ -316,4 +316,4 @@ def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The pipeline's stage: of each class the document with the smallest id stays, with all its repeated rows but one."""
     kept = near_duplicates(docs).filter(F.col("key").eqNullSafe(F.col("component"))).select("key").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["key"]), "left_semi").dropDuplicates(["doc_id"])
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["key"]), "left_semi").dropDuplicates(["doc_id", "text"])
