@@ -7,6 +7,7 @@ from newszones.llm.html_text import op6_html_text
 from newszones.llm.jaccard import op7_jaccard_join
 from newszones.llm.mixing import OP2_SQL, op2_mix_sources
 from newszones.llm.secrets import op1_secret_scan
+from newszones.llm.suffix_dedup import op5_suffix_dedup
 from newszones.llm.token_counts import op8_token_counts
 from newszones.llm.token_files import op3_token_files
 
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_token_files": op3_token_files,
     "op4_quality": op4_quality,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_html_text": op6_html_text,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_token_counts": op8_token_counts,

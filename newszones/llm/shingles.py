@@ -27,6 +27,21 @@ def mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+def byte_hashes(text: bytes, size: int) -> np.ndarray:
+    """The hash of every run of ``size`` bytes; texts of any length, piece by piece."""
+    if len(text) > PIECE:
+        return np.concatenate([byte_hashes(text[at:at + (PIECE >> 1) + size - 1], size)
+                               for at in range(0, len(text) - size + 1, PIECE >> 1)])
+    raw = np.frombuffer(text, np.uint8)
+    n = len(raw) - size + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    up, down = _power(len(raw) + 1)
+    with np.errstate(over="ignore"):
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[raw] * up[:len(raw)], dtype=np.uint64)))
+        return mixed((sums[size:] - sums[:n]) * down[:n])
+
+
 def _hashes(text: bytes, size: int) -> np.ndarray:
     """Of words joined by single spaces: the hash of every run of ``size`` words."""
     raw = np.frombuffer(text, np.uint8)
