@@ -11,8 +11,8 @@ the pair is what the index knows. Documents are range-partitioned by key and enc
 and ids never. A task writes files under names of its own attempt and reports them in the rows it returns; only reported
 files count, so a lost or repeated task leaves a stray file and nothing wrong. Shards end at a bounded number of ids.
 
-White space between words never joins or changes tokens of the vocabularies meant here (white space is dropped), so a text
-is encoded word by word and a word that was seen before is not encoded again: same ids, and a bounded table of words.
+Where the tokenizer drops white space, a text is encoded word by word (:class:`Encoder`), and frequent words are encoded
+once for each worker: the same ids as for the whole text, which tests compare.
 
 Null and empty texts are records of the end id alone; null keys come first. Very long texts only make long records. Empty
 tables give an empty index. Columns other than key and text are not looked at.
@@ -20,6 +20,7 @@ tables give an empty index. Columns other than key and text are not looked at.
 
 import itertools
 import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -38,8 +39,10 @@ from newszones.sources.storage import work_path
 END_ID = 1
 SHARD_IDS = 8 << 20
 SEGMENT_KEYS = 4096
-#: Words that a worker remembers; the table starts anew beyond that.
+#: Words that a worker remembers.
 KNOWN_WORDS = 300_000
+#: Bytes of texts that are encoded together.
+GROUP_BYTES = 1 << 18
 _SLOT = np.dtype([("fingerprint", "<u8"), ("file", "<i4"), ("n_tokens", "<i4"), ("offset", "<i8"), ("first", "<i8")])
 _RECORDS = "key long, nth long, file string, offset long, n_tokens long"
 
@@ -50,7 +53,12 @@ def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 class Encoder:
-    """Ids of whole texts with a vocabulary file of the tokenizers library, without special tokens added."""
+    """Ids of whole texts with a vocabulary file of the tokenizers library, without special tokens added.
+
+    Where the pre-tokenizer drops white space, texts are cut at it, and ASCII full stops and commas are cut off the words
+    they follow, as the pre-tokenizer does. Words seen before are looked up. Words of letters alone are single
+    pre-tokens, so many are encoded in one call, and the ids that end a word tell where the next begins.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -59,25 +67,64 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[bytes, bytes] = {}
         spec = json.loads(self.tokenizer.to_str())
-        #: Word by word only where white space cannot reach a token: dropped by the pre-tokenizer and no stripping specials.
-        self.by_word = "\\s" in str(spec.get("pre_tokenizer")) and not any(
-            t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"])
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def __call__(self, text: bytes) -> np.ndarray:
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.by_word = bool(suffix) and "\\s" in str(spec.get("pre_tokenizer")) and "Lowercase" in str(
+            spec.get("normalizer")) and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"])
+        if self.by_word:
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.ends[[i for w, i in self.tokenizer.get_vocab().items() if w.endswith(suffix)]] = True
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
+
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        out, plain = {}, []
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            if text.isalpha():
+                plain.append((word, text))
+            else:
+                out[word] = self._encode(text).tobytes()
+        ids = self._encode(" ".join(text for _, text in plain))
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(plain):  # never so far: then one by one
+            return out | {word: self._encode(text).tobytes() for word, text in plain}
+        raw, width, at = ids.tobytes(), self.dtype.itemsize, 0
+        for (word, _), stop in zip(plain, (stops * width).tolist()):
+            out[word] = raw[at:stop]
+            at = stop
+        return out
+
+    def _words(self, text: bytes) -> list[bytes]:
+        if b"<|" in text:  # special tokens are written in lower case
+            return text.split()
+        return _STOP.sub(rb" \1", text.lower() + b" ").split()
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text, as bytes of ``dtype``."""
         if not self.by_word:
-            return self._encode([text.decode("utf-8", "replace")])[0]
-        own = text.split()
-        new = list(set(own).difference(self.known))
+            return [self._encode(t.decode("utf-8", "replace")).tobytes() for t in texts]
+        cut = [self._words(t) for t in texts]
+        new = set().union(*cut).difference(self.known)
         if new:
-            if len(self.known) > KNOWN_WORDS:
-                self.known.clear()
-                new = list(set(own))
-            ids = self._encode([w.decode("utf-8", "replace") for w in new])
-            self.known.update(zip(new, (x.tobytes() for x in ids)))
-        return np.frombuffer(b"".join(map(self.known.__getitem__, own)), self.dtype)
+            learnt = self._learn(new)
+            self.known.update(learnt)
+        out = [b"".join(map(self.known.__getitem__, words)) for words in cut]
+        if new and len(self.known) > KNOWN_WORDS:  # words met first are the frequent ones
+            for word in itertools.islice(learnt, len(self.known) - KNOWN_WORDS):
+                del self.known[word]
+        return out
+
+
+_STOP = re.compile(rb"(?<=[a-z0-9])([.,]+)(?=[ \t\n\x0b\x0c\r])")
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One for each worker process."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def _hashes(*columns):
@@ -163,6 +210,19 @@ class TokenFiles:
             return np.frombuffer(f.read_at(places[0].n_tokens * dtype.itemsize, places[0].offset), dtype)
 
 
+def _groups(batch: pa.RecordBatch) -> Iterator[tuple[list, list[bytes]]]:
+    keys, texts, size = [], [], 0
+    for key, raw in zip(batch.column(0), batch.column(1)):
+        keys.append(key.as_py())
+        texts.append(raw.as_py())
+        size += len(texts[-1])
+        if size >= GROUP_BYTES:
+            yield keys, texts
+            keys, texts, size = [], [], 0
+    if keys:
+        yield keys, texts
+
+
 def write(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", path: str | None = None,
           end_id: int = END_ID, shard_ids: int = SHARD_IDS) -> TokenFiles:
     """Encode every whole text, append ``end_id``, write the folder and its index."""
@@ -170,26 +230,26 @@ def write(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "tex
     path = path or work_path(spark, "tokens")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
-        end = np.array([end_id], encoder.dtype)
+        encode_texts = encoder(tokenizer)
+        width = encode_texts.dtype.itemsize
+        end = np.array([end_id], encode_texts.dtype).tobytes()
         fs, root = filesystem(path)
         fs.create_dir(f"{root}/shards", recursive=True)
         name, f, written, last, nth = None, None, 0, (), 0
         for batch in batches:
             rows = []
-            for key_, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if f is None or written >= shard_ids:
-                    if f:
-                        f.close()
-                    name, written = f"shards/{uuid.uuid4().hex}.ids", 0
-                    f = fs.open_output_stream(f"{root}/{name}")
-                ids = encoder(raw.as_py())
-                f.write(ids.tobytes())
-                f.write(end.tobytes())
-                nth = nth + 1 if (key_,) == last else 0
-                last = (key_,)
-                rows.append((key_, nth, f"{path}/{name}", written * end.itemsize, len(ids) + 1))
-                written += len(ids) + 1
+            for keys, texts in _groups(batch):
+                for key_, ids in zip(keys, encode_texts(texts)):
+                    if f is None or written >= shard_ids * width:
+                        if f:
+                            f.close()
+                        name, written = f"shards/{uuid.uuid4().hex}.ids", 0
+                        f = fs.open_output_stream(f"{root}/{name}")
+                    f.write(ids + end)
+                    nth = nth + 1 if (key_,) == last else 0
+                    last = (key_,)
+                    rows.append((key_, nth, f"{path}/{name}", written, len(ids) // width + 1))
+                    written += len(ids) + width
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5,
                                                 [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()])],
@@ -211,7 +271,7 @@ def write(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "tex
     per_file.select("file", (F.row_number().over(order) - 1).alias("file_no"), before.alias("before")).write.parquet(
         f"{path}/files")
     files = spark.read.parquet(f"{path}/files")
-    width = 2 if Encoder(tokenizer).dtype.itemsize == 2 else 4
+    width = encoder(tokenizer).dtype.itemsize
     places.join(files, "file").select(
         "key", "nth", "file", "file_no", "offset", "n_tokens",
         (F.col("before") + F.col("offset") / width).cast("long").alias("first")).write.parquet(f"{path}/records")
