@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newszones.llm.components import components
+from newszones.llm.shared_tokens import shared_tokens
 from newszones.llm.shingles import mixed, shingles
 from newszones.llm.words import bytes_of
 from newszones.sources.storage import work_path, write_and_read
@@ -40,9 +41,10 @@ PERCENT = 80
 FREQUENT = 24
 PAIR_TOKENS = 256
 SKETCH_WORDS = 16
+CHUNK = 256
 #: Share of the tokens that step 2 counts, in 256ths.
 COUNTED = 104
-BLOCK_TOKENS = 1 << 20
+BUCKET_TOKENS = 1 << 22
 _SIGNATURE = "key long, n long, a long, b long, counted long"
 _SET = "node long, n long, tokens binary, sketch array<long>"
 
@@ -56,6 +58,11 @@ def _counted(tokens: np.ndarray) -> np.ndarray:
     return tokens[:np.searchsorted(tokens, np.uint64(COUNTED << 56))]
 
 
+def _counted_set(raw: bytes, key: int | None) -> Iterator[tuple[int, np.ndarray]]:
+    if key is not None:
+        yield key, _counted(shingles(raw))
+
+
 def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``key, n, a, b, counted`` of every row: the size of its set and 128 bits that tell sets apart."""
 
@@ -73,85 +80,6 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("key"), bytes_of(text).alias("raw")).mapInArrow(run, _SIGNATURE)
 
 
-def repeated_tokens(docs: DataFrame, key: str, text: str, n_buckets: int) -> DataFrame:
-    """``key, repeated``: how many counted tokens of a row other rows have too, or a few more."""
-    share = (COUNTED << 24) / n_buckets
-
-    def block(keys: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
-        tokens = np.concatenate(sets)
-        who = np.repeat(np.array(keys, np.int64), [len(s) for s in sets])
-        order = np.argsort(tokens, kind="stable")
-        tokens, who = tokens[order], who[order]
-        first = np.concatenate(([True], tokens[1:] != tokens[:-1]))
-        again = ~first | np.concatenate((tokens[1:] == tokens[:-1], [False]))
-        rows = []
-        known, counts = np.unique(who[again], return_counts=True)
-        if len(known):
-            rows.append((int(tokens[0] % np.uint64(n_buckets)), True, known.tobytes(), counts.astype("<u4").tobytes()))
-        tokens, who = tokens[first], np.where(again, -1, who)[first]
-        low, high = (tokens & np.uint64(0xFFFFFFFF)).astype("<u4"), (tokens >> np.uint64(32)).astype(np.float64)
-        bucket = np.minimum((high / share).astype(np.int64), n_buckets - 1)
-        edges = np.searchsorted(bucket, np.arange(n_buckets + 1))
-        for b in np.flatnonzero(np.diff(edges)):
-            a, z = edges[b], edges[b + 1]
-            rows.append((int(b), False, who[a:z].tobytes(), low[a:z].tobytes()))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32(), pa.bool_(), pa.binary(), pa.binary()])],
-            names=["bucket", "known", "who", "low"])
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, sets, n = [], [], 0
-        for batch in batches:
-            for key_, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = _counted(shingles(raw.as_py()))
-                if key_ is None or not len(own):
-                    continue
-                keys.append(key_)
-                sets.append(own)
-                n += len(own)
-                if n >= BLOCK_TOKENS:
-                    yield block(keys, sets)
-                    keys, sets, n = [], [], 0
-        if n:
-            yield block(keys, sets)
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, low, who = None, [], []
-
-        def done() -> Iterator[pa.RecordBatch]:
-            if low:
-                tokens, keys = np.concatenate(low), np.concatenate(who)
-                order = np.argsort(tokens, kind="stable")
-                tokens, keys = tokens[order], keys[order]
-                same = tokens[1:] == tokens[:-1]
-                again = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-                yield from counts(keys[again & (keys >= 0)], None)
-
-        def counts(keys: np.ndarray, n: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-            if n is None:
-                keys, n = np.unique(keys, return_counts=True)
-            if len(keys):
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["key", "repeated"])
-
-        for batch in batches:
-            for bucket, known, w, x in zip(*(c.to_pylist() for c in batch.columns)):
-                if bucket != at:
-                    yield from done()
-                    at, low, who = bucket, [], []
-                w, x = np.frombuffer(w, np.int64), np.frombuffer(x, "<u4")
-                if known:
-                    yield from counts(w, x)
-                else:
-                    low.append(x)
-                    who.append(w)
-        yield from done()
-
-    dealt = docs.select(F.col(key).cast("long").alias("key"), bytes_of(text).alias("raw")).mapInArrow(
-        deal, "bucket int, known boolean, who binary, low binary")
-    met = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "key long, repeated long")
-    return met.groupBy("key").agg(F.sum("repeated").alias("repeated"))
-
-
 def token_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
     """``node, n, tokens, sketch`` of the documents that name a node."""
 
@@ -180,30 +108,29 @@ def _kinds(n: int) -> tuple[bool, bool]:
     return least <= PAIR_TOKENS, most > PAIR_TOKENS
 
 
-def prefix_keys(tokens: np.ndarray, counts: np.ndarray, n: int, frequent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of a set from those of its tokens that other sets have, and which keys are of frequent tokens."""
+def prefix_keys(tokens: np.ndarray, counts: np.ndarray, n: int, frequent: int) -> np.ndarray:
+    """Keys of a set from those of its tokens that other sets have."""
     order = np.lexsort((tokens, counts))
     tokens, counts = tokens[order], counts[order]
     alone, c = n - len(tokens), required(n)  # tokens of no other set come first
     first, more = tokens[:max(0, n - c + 1 - alone)], tokens[:max(0, n - c + 2 - alone)]
     is_rare = counts[:len(first)] < frequent
-    keys, hot = [first[is_rare]], [np.zeros(int(is_rare.sum()), bool)]
+    keys = [first[is_rare]]
     pairs, single = _kinds(n)
     with np.errstate(over="ignore"):
         if single:
-            own = first[~is_rare]
-            keys.append(mixed(own + np.uint64(1)))
-            hot.append(np.ones(len(own), bool))
+            keys.append(mixed(first[~is_rare] + np.uint64(1)))
         if pairs:
             own = more[counts[:len(more)] >= frequent]
             i, j = np.triu_indices(len(own), 1)
             keys.append(mixed(own[i] * np.uint64(0x9E3779B97F4A7C15) + own[j]))
-            hot.append(np.ones(len(i), bool))
-    return np.concatenate(keys), np.concatenate(hot)
+    return np.concatenate(keys)
 
 
 def keys_of(sets: DataFrame, frequent: int = FREQUENT) -> DataFrame:
-    """``key, hot, node, n``: what the sets are indexed by."""
+    """``key, node, n, live, weight``: what the sets are indexed by. ``live`` is how many tokens of the set other sets have
+    as well: no partner can share more. ``weight`` is how many sets have a token of the set, on
+    average: in a group of near copies it is largest for the text that the others vary."""
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,10 +150,11 @@ def keys_of(sets: DataFrame, frequent: int = FREQUENT) -> DataFrame:
         for pdf in batches:
             for node, n, own in zip(pdf.node, pdf.n, pdf.own):
                 pairs = np.array([(r["token"], r["sets"]) for r in own], np.int64)
-                keys, hot = prefix_keys(pairs[:, 0].copy().view(np.uint64), pairs[:, 1], int(n), frequent)
-                yield pd.DataFrame({"key": keys.view(np.int64), "hot": hot, "node": node, "n": n})
+                keys = prefix_keys(pairs[:, 0].copy().view(np.uint64), pairs[:, 1], int(n), frequent)
+                yield pd.DataFrame({"key": keys.view(np.int64), "node": node, "n": n, "live": len(pairs),
+                                    "weight": pairs[:, 1].sum() / n})
 
-    return write_and_read(per_node.mapInPandas(index, "key long, hot boolean, node long, n long"),
+    return write_and_read(per_node.mapInPandas(index, "key long, node long, n long, live long, weight double"),
                           work_path(spark, "jaccard_keys"))
 
 
@@ -262,27 +190,59 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("x", "y", "tx", "ty").mapInArrow(run, "x long, y long")
 
 
+def between_classes(members: DataFrame) -> DataFrame:
+    """Distinct plausible ``x, y`` of different labels in one list. Lists are cut into chunks of about ``CHUNK`` members, and
+    each two chunks of a list are compared as arrays by one task: no row for a pair that is not plausible."""
+    chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / CHUNK)).alias("chunk")
+    own = F.collect_list(F.struct("node", "n", "live", "label", "sketch")).alias("own")
+    chunks = members.groupBy("key", chunk).agg(own)
+    fields = [F.col("own")[f].alias(f) for f in ("node", "n", "live", "label")] + [F.flatten("own.sketch").alias("sketch")]
+    chunks = write_and_read(chunks.select("key", "chunk", *fields), work_path(members.sparkSession, "jaccard_chunks"))
+    names = ["node", "n", "live", "label", "sketch"]
+    a = chunks.select("key", F.col("chunk").alias("c1"), *[F.col(f).alias(f"{f}1") for f in names])
+    b = chunks.select("key", F.col("chunk").alias("c2"), *[F.col(f).alias(f"{f}2") for f in names])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [(c.values.to_numpy(), c.offsets.to_numpy()) for c in batch.columns[1:]]
+            found = []
+            for r, same in enumerate(batch.column(0).to_pylist()):
+                x, nx, vx, lx, sx, y, ny, vy, ly, sy = (v[o[r]:o[r + 1]] for v, o in columns)
+                sizes = nx[:, None] + ny
+                good = (lx[:, None] != ly) & (np.minimum(vx[:, None], vy) * (100 + PERCENT) >= sizes * PERCENT)
+                if same:
+                    good = np.triu(good, 1)
+                i, j = np.nonzero(good)
+                sx, sy = (v.view(np.uint64).reshape(-1, SKETCH_WORDS) for v in (sx, sy))
+                differ = np.bitwise_count(sx[i] ^ sy[j]).sum(axis=1, dtype=np.int64)
+                near = differ * (100 + PERCENT) <= (nx[i] + ny[j]) * (100 - PERCENT)
+                pairs = np.stack((x[i[near]], y[j[near]]))
+                found.append(np.sort(pairs, axis=0))
+            pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.empty((2, 0), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["x", "y"])
+
+    both = a.join(b, "key").filter("c1 <= c2")
+    both = both.select((F.col("c1") == F.col("c2")).alias("same"), *[f"{f}{k}" for k in "12" for f in names])
+    return both.mapInArrow(compare, "x long, y long").distinct()
+
+
 def links(sets: DataFrame, keys: DataFrame) -> DataFrame:
     """``node, component`` over all nodes that have a partner."""
     spark = sets.sparkSession
-    other = F.struct(F.xxhash64("node").alias("h"), "node")
-    centres = keys.groupBy("key").agg(F.min("node").alias("c1"), F.min(other).alias("c2"), F.max(other).alias("c3"))
-    centres = centres.filter(F.col("c2.node") != F.col("c3.node")).select("key", "c1", F.col("c2.node").alias("c2"))
-    lists = write_and_read(keys.select("key", "node", "n").join(centres, "key"), work_path(spark, "jaccard_lists"))
+    central = F.struct("weight", (-F.col("node")).alias("minus"))
+    centres = keys.groupBy("key").agg(F.count("*").alias("m"), F.min("node").alias("c1"), F.max(central).alias("c2")).filter("m > 1")
+    centres = centres.select("key", "m", "c1", (-F.col("c2.minus")).alias("c2"))
+    lists = write_and_read(keys.select("key", "node", "n", "live").join(centres, "key"), work_path(spark, "jaccard_lists"))
     star = lists.select(F.explode(F.array("c1", "c2")).alias("c"), "node").filter("c <> node").select(
         F.least("c", "node").alias("x"), F.greatest("c", "node").alias("y"))
     found = write_and_read(verify(_plausible(star, sets), sets), work_path(spark, "jaccard_links"))
     classes = write_and_read(components(found), work_path(spark, "jaccard_classes"))
 
     label = F.coalesce("component", "node").alias("label")
-    members = lists.join(classes, "node", "left").select("key", "node", "n", label)
+    members = lists.join(classes, "node", "left").select("key", "node", "n", "live", "m", label)
     torn = members.groupBy("key").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).filter("l1 < l2")
-    members = write_and_read(members.join(torn.select("key"), "key", "left_semi"), work_path(spark, "jaccard_members"))
-    a = members.select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"))
-    b = members.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("label").alias("ly"))
-    near = F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * PERCENT
-    rest = a.join(b, "key").filter((F.col("x") < F.col("y")) & (F.col("lx") != F.col("ly")) & near).select("x", "y")
-    more = write_and_read(verify(_plausible(rest, sets), sets), work_path(spark, "jaccard_more"))
+    members = members.join(torn.select("key"), "key", "left_semi").join(sets.select("node", "sketch"), "node")
+    more = write_and_read(verify(between_classes(members), sets), work_path(spark, "jaccard_more"))
     if more.isEmpty():
         return classes
     return components(found.unionByName(more))
@@ -293,11 +253,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     spark = docs.sparkSession
     signed = write_and_read(signatures(docs, key, text), work_path(spark, "jaccard_signatures"))
     total = signed.agg(F.coalesce(F.sum("counted"), F.lit(0))).first()[0]
-    n_buckets = max(8, int(total // (1 << 19)) + 1)
-    repeated = repeated_tokens(docs, key, text, n_buckets)
+    raw = docs.select(F.col(key).cast("long").alias("key"), bytes_of(text).alias("raw"))
+    repeated = shared_tokens(raw, _counted_set, max(8, int(total // BUCKET_TOKENS) + 1), COUNTED / 256)
     groups = signed.filter("n > 0").groupBy("a", "b", "n").agg(F.min("key").alias("node"), F.first("counted").alias("counted"))
     groups = write_and_read(groups, work_path(spark, "jaccard_groups"))
-    left = groups.join(repeated.withColumnRenamed("key", "node"), "node", "left").filter(
+    left = groups.join(repeated.withColumnRenamed("who", "node"), "node", "left").filter(
         (F.col("n") > 1) & (F.col("counted") - F.coalesce("repeated", F.lit(0)) <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100)))
     sets = write_and_read(token_sets(docs, left.select("node"), key, text), work_path(spark, "jaccard_sets"))
     classes = links(sets, keys_of(sets))
