@@ -1,0 +1,267 @@
+"""Operators without a plain twin: SQL twins, properties, accuracy on held-out rows, and the edges of their input."""
+
+import math
+import os
+from pathlib import Path
+
+import brute
+import duckdb
+import numpy as np
+import public_tokenizers as public
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from newszones.llm import grades, html_text, mixing, mph, secrets, token_counts
+from newszones.llm.queries import ORACLE, QUERIES
+
+SF = "/root/testdata/sf0.001"
+NEWS = os.environ.get("ORACLE_SF_DIR", SF)
+
+
+@pytest.fixture(scope="session")
+def db():
+    con = duckdb.connect()
+    for path in sorted(Path(NEWS).glob("*.parquet")):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def test_registered():
+    names = set(contract.queries())
+    assert set(QUERIES) | {"pipeline"} <= names and set(ORACLE) <= set(contract.oracle_sql())
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_sql_twin(spark, db, name):
+    got = QUERIES[name](spark, NEWS)
+    want = db.execute(f"SELECT {', '.join(got.columns)} FROM ({ORACLE[name]})").fetchall()
+    assert want and brute.bag(tuple(r) for r in got.collect()) == brute.bag(want)
+
+
+# --- minimal perfect hash ---
+
+@settings(max_examples=30, deadline=None)
+@given(st.integers(0, 3000), st.integers(0, 2**32))
+def test_mph_is_minimal_and_perfect(n, seed):
+    rng = np.random.default_rng(seed)
+    a, b = rng.integers(0, 1 << 63, (2, n)).astype(np.uint64)
+    records = np.zeros(n, [("fp", "<u8")])
+    records["fp"] = b
+    segment = mph.Segment(mph.build(a, b, records), records.dtype)
+    slots = segment.slots(a, b)
+    assert sorted(slots.tolist()) == list(range(n))
+    assert (segment.records["fp"][slots] == b).all()
+
+
+def test_mph_equal_keys():
+    x = np.array([5, 5], np.uint64)
+    with pytest.raises(ValueError):
+        mph.build(x, x, np.zeros(2, [("v", "<i8")]))
+
+
+# --- mixing ---
+
+def mixed(spark, rows, weights=(3, 1, 2)):
+    docs = spark.createDataFrame(rows, "doc_id long, source string, size long, weight double")
+    sized = mixing.sizes(docs, "doc_id", "source", F.col("size"), F.col("weight"))
+    return mixing.mix(sized, mixing.plan(sized, lambda s: mixing.cyclic_weights(s, list(weights)))).collect()
+
+
+def test_mix_hits_targets(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, ["a", "b", None, "c"][min(3, int(rng.exponential(0.7)))], int(rng.integers(1, 60)), float(rng.uniform(0.2, 1)))
+            for i in range(6000)]
+    got = mixed(spark, rows)
+    by = {}
+    for r in got:
+        by.setdefault(r.source, []).append(r)
+    assert len(got) == len(rows)
+    total = sum(r["size"] for r in got)
+    assert sum(x[0].target for x in by.values()) == pytest.approx(1.5 * total)
+    for own in by.values():
+        size = sum(r["size"] for r in own)
+        assert size == own[0].source_size and own[0].target <= 2 * size + 1e-6
+        assert abs(sum(r.times * r["size"] for r in own) - own[0].target) <= 60
+        assert {r.times for r in own} <= {math.floor(own[0].target / size), math.floor(own[0].target / size) + 1}
+    assert [tuple(r) for r in mixed(spark, rows)] and brute.bag(map(tuple, mixed(spark, rows))) == brute.bag(map(tuple, got))
+
+
+def test_mix_prefers_heavy_rows(spark):
+    rows = [(i, "a" if i < 4000 else "b", 1, 2.0 if i % 2 else 0.5) for i in range(9000)]
+    got = [r for r in mixed(spark, rows, (1, 9)) if r.source == "a"]  # a: half of it or less, whole epochs none
+    taken = {odd: sum(r.times for r in got if r.key % 2 == odd) for odd in (0, 1)}
+    assert 0 < taken[0] < taken[1]
+
+
+def test_mix_caps_share_by_weight(spark):
+    rows = [(1, "a", 10, 1.0), (2, "b", 1000, 1.0), (3, "c", 500, 1.0)]
+    target = {r.source: r.target for r in mixed(spark, rows)}
+    assert target["a"] == 20  # at its cap; what is left goes 1 : 2, where c reaches its cap too
+    assert target["c"] == pytest.approx(1000) and target["b"] == pytest.approx(1.5 * 1510 - 1020)
+
+
+def test_mix_edges(spark, nothing):
+    assert mixed(spark, []) == []
+    got = mixed(spark, [(1, "a", 0, 1.0), (None, None, 5, None), (2, None, 5, 1.0), (2, None, 5, 1.0)])
+    assert len(got) == 4 and all(r.times * r["size"] <= 2 * r["size"] for r in got)
+    assert mixing.mix_documents(nothing).count() == 0
+    docs = spark.createDataFrame([(1, "a b", "s", "x", 1)], "doc_id long, text string, source string, key string, times int")
+    assert mixing.mix_documents(docs).columns == docs.columns
+
+
+# --- quality ---
+
+def test_grades_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = grades.given_grades(spark.read.parquet(f"{sf}/labels.parquet"))
+    model = grades.train(docs, labels.filter("doc_id % 4 <> 0"), grades.N_GRADES)
+    assert (np.diff(model.thresholds) > 0).all()
+    rows = (grades.score(docs.select("doc_id", "text"), model).join(labels.filter("doc_id % 4 = 0"), "doc_id")
+            .select("grade", grades.selected().alias("s"), grades.expected_grade().alias("e")).collect())
+    share = {g: np.mean([r.s for r in rows if r.grade == g]) for g in range(3)}
+    assert share[2] > 0.98 and share[0] < 0.06 and share[1] < 0.1
+    mean = [np.mean([r.e for r in rows if r.grade == g]) for g in range(3)]
+    assert mean[0] < mean[1] < mean[2]
+
+
+def test_grades_edges(spark, docs, nothing):
+    labels = spark.createDataFrame([(7, 2), (7, 0), (10, 2), (99, 1), (20, None), (None, 1)], "doc_id long, grade int")
+    model = grades.train(docs, labels, 3)
+    got = grades.score(docs, model)
+    assert got.columns == [*docs.columns, "tails_"] and got.count() == docs.count()
+    assert all(0 <= p <= 1 for r in got.collect() for p in r.tails_)
+    assert grades.train(docs, labels.limit(0), 3) is None
+    alone = grades.score(docs, None).select(grades.selected().alias("s"), grades.expected_grade().alias("e")).collect()
+    assert all(r.s and r.e is None for r in alone)
+    assert grades.score(nothing, model).count() == 0
+
+
+# --- secrets ---
+
+def test_secrets(spark, nothing):
+    hexes = [f"{i:032x}"[::-1] for i in range(10**30, 10**30 + 60)]
+    rows = [(i, f'settings token = "{h}" for the service', "conf/app") for i, h in enumerate(hexes)]
+    rows += [(100 + i, f"an extraordinarilylongwordinthistext{'abcdefgh'[i % 8]} is no key", "text") for i in range(60)]
+    rows += [(200, None, None), (201, "", "x"), (202, "short", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = secrets.findings(docs, "doc_id", "text", "source", secrets.dictionary(docs, "text"))
+    labelled = secrets.known_format(found)
+    assert {r.key for r in found.collect()} == {*range(60), *range(100, 160)}
+    scored = secrets.judged(found, labelled.filter("key % 2 = 0")).filter("key % 2 = 1").collect()
+    assert all((r.p_secret > 0.5) == (r.key < 100) for r in scored)
+    one = found.filter("key = 3").first()
+    assert rows[3][1].encode()[one.start:one.start + one.length].decode() == one.secret
+    assert secrets.judged(found, labelled.limit(0)).filter("p_secret is not null").count() == 0
+    assert secrets.findings(nothing, "doc_id", "text", "source", []).count() == 0
+
+
+# --- token counts ---
+
+RANKS, SAME = public.path("byte_bpe_50k.tiktoken"), public.path("byte_bpe_50k.json")
+
+
+@pytest.mark.parametrize("rule", token_counts.RULES)
+def test_token_counts(docs, rows, rule):
+    encoder = token_counts.Encoder(RANKS, public.PATTERN, SAME)
+    got = {}
+    for r in token_counts.count_tokens(docs, RANKS, public.PATTERN, SAME, rule=rule).collect():
+        got.setdefault(r.key, []).append(r)
+    for i, t in dict(rows).items():
+        t = t or ""
+        own = sorted(got[i], key=lambda r: r.section)
+        copies = sum(1 for k, _ in rows if k == i)
+        ends = np.cumsum([len(encoder.fast.decode_single_token_bytes(x)) for x in encoder.ids(t)])
+        spans = list(zip([0, *ends[:-1]], ends))
+        want, at = [], 0
+        for line in t.encode().splitlines(keepends=True) if "\n" in t and "\x1c" not in t else [t.encode()]:
+            a, b = at, at + len(line)
+            at = b
+            share = {"start": lambda s, e: a <= s < b, "end": lambda s, e: a < e <= b,
+                     "shares": lambda s, e: max(0, min(b, e) - max(a, s)) / (e - s)}.get(rule)
+            want.append(sum(share(s, e) for s, e in spans) if share else None)
+        assert sum(r.tokens for r in own) == pytest.approx(len(spans) * copies)
+        if copies == 1 and share and "\r" not in t and "\x0b" not in t:
+            assert [r.tokens for r in own] == pytest.approx(want)
+
+
+def test_token_counts_given_sections(spark, nothing):
+    docs = spark.createDataFrame(
+        [(1, "héllo wörld again", [(0, 8), (8, 99)]), (2, "abc", []), (3, None, None), (4, "abc", [(None, 2), (1, 2)])],
+        "doc_id long, text string, parts array<struct<start:long,end:long>>")
+    got = token_counts.count_tokens(docs, RANKS, public.PATTERN, SAME, sections="parts").collect()
+    assert sorted((r.key, r.section, r.start, r.end) for r in got) == [(1, 0, 0, 8), (1, 1, 8, 17), (3, 0, 0, 0), (4, 0, 1, 2)]
+    assert sum(r.tokens for r in got if r.key == 1) == len(tiktoken.Encoding(
+        "x", pat_str=public.PATTERN, special_tokens={}, mergeable_ranks=token_counts.Encoder(
+            RANKS, public.PATTERN, SAME).fast._mergeable_ranks).encode_ordinary("héllo wörld again"))
+    assert [r.crossing for r in got if r.key == 1] == [1, 1]  # " wörld" lies in both
+    assert token_counts.count_tokens(nothing, RANKS, public.PATTERN, SAME).count() == 0
+    with pytest.raises(ValueError):
+        token_counts.count_tokens(docs, RANKS, public.PATTERN, SAME, rule="none")
+
+
+# --- pages ---
+
+def test_lines():
+    page = ("<html><head><title>T</title><style>p{}</style></head><body><header>Site</header><nav><ul><li>Home</nav>"
+            "<div class='ad-box'>Buy</div><article><header><h1>Big &amp; bold</h1></header><p>One<br>two&nbsp; three<p>Four"
+            "<script>var x='</p>'</script><aside>Also</aside><form><p>Mail</form><div id=comments><p>First!</div></article>"
+            "<footer>(c)</footer>")
+    assert html_text.lines_of(page) == (["Big & bold", "One two three", "Four"], True)
+    assert html_text.lines_of("") == ([], False)
+    assert html_text.lines_of("plain <b>text") == (["plain text"], False)
+    assert html_text.lines_of("<nav>never closed<p>text")[0] == ["never closed", "text"]
+
+
+def test_common():
+    assert html_text.common([1, 2, 3, 2, 5], [2, 3, 2, 9]) == [1, 2, 3]
+    assert html_text.common([], [1]) == []
+
+
+def test_differencing(spark, nothing):
+    def page(n):
+        return f"<div><p>Menu line</p><p>Story {n} begins here with words {n * 7}</p><p>It goes on for long, {n}</p><p>Legal</p></div>"
+    rows = [(n, f"http://h.example/a/{n}", page(n)) for n in range(5)]
+    rows += [(10, "http://h.example/a/1b", page(1)), (11, None, page(3)), (12, "http://h.example/z", None), (0, rows[0][1], rows[0][2]),
+             (13, "http://other.example/", "<p>Menu line</p><article><p>Kept</p><p>Legal</p></article>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {}
+    for r in html_text.main_text(pages).collect():
+        got.setdefault(r.page, []).append(r.lines)
+    for n in range(5):
+        assert all(x == [f"Story {n} begins here with words {n * 7}", f"It goes on for long, {n}"] for x in got[n])
+    assert got[10] == [["Story 1 begins here with words 7", "It goes on for long, 1"]]  # its copy is passed over
+    assert len(got[11][0]) == 4 and got[12] == [[]] and got[13] == [["Kept", "Legal"]] and len(got[0]) == 2
+    assert html_text.main_text(nothing).count() == 0
+
+
+# --- pipeline ---
+
+def test_pipeline(spark, tmp_path):
+    """The stages, one by one, against what the operators' own tests have shown."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    seen = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, seen[-1], SF).write.parquet(f"{tmp_path}/{name}")
+        seen.append(spark.read.parquet(f"{tmp_path}/{name}"))
+    assert all(d.columns == docs.columns for d in seen[:-1])
+    ids = [[r.doc_id for r in d.select("doc_id").collect()] for d in seen]
+    good, single, clean, mix = ([tuple(r) for r in d.select("doc_id", "text").collect()] for d in seen[1:5])
+    assert set(ids[1]) < set(ids[0])
+    classes = {c for _, _, c in brute.jaccard(good)}
+    assert sorted(i for i, _ in single) == sorted(classes)
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    dirty = {r[0] for r in brute.decontaminate(single, items) if r[5]}
+    assert sorted(i for i, _ in clean) == sorted(set(ids[2]) - dirty)
+    assert set(mix) <= set(clean) and max(brute.bag(mix).values()) <= 2
+    words = lambda rows: sum(len((t or "").encode().split()) for _, t in rows)
+    assert words(mix) == pytest.approx(1.5 * words(clean), rel=0.2)
+    from tokenizers import Tokenizer
+    want = brute.token_files(mix, Tokenizer.from_file(public.path("word_bpe_49k.json")))
+    assert brute.bag(tuple(r) for r in seen[5].select("doc_id", "start", "n_tokens", "ids_crc32").collect()) == brute.bag(want)
