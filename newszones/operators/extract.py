@@ -4,10 +4,8 @@ Python only turns a page into lists of matched texts, per block and selector. Wh
 or all matches, defaults, required fields, links and stamps are column expressions on those lists.
 """
 
-from contextlib import contextmanager
-
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newszones import fixed_values as fixed
@@ -28,21 +26,6 @@ _FOUND = pa.struct([
 _FOUND_DDL = "blocks array<array<array<string>>>, next_pages array<string>, error string"
 
 
-_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-PAGES_PER_BATCH = 500
-
-
-@contextmanager
-def page_batches(spark: SparkSession, pages: int = PAGES_PER_BATCH):
-    """Within this, Python workers get at most so many pages at a time; the default suits short rows only."""
-    before = spark.conf.get(_BATCH_ROWS)
-    spark.conf.set(_BATCH_ROWS, str(min(int(before), pages) if int(before) > 0 else pages))
-    try:
-        yield
-    finally:
-        spark.conf.set(_BATCH_ROWS, before)
-
-
 def _plans(rules: list, slots: list[tuple[str, int]]) -> dict:
     """Per source: row selectors in order, each slot's selector, and the next-page selectors."""
     plans = {}
@@ -58,15 +41,19 @@ def _plans(rules: list, slots: list[tuple[str, int]]) -> dict:
 
 
 def _finder(plans: dict, n_slots: int):
+    def fields(tree, block, plan):
+        try:
+            return [select(tree, block, plan["slots"][k]) if k in plan["slots"] else [] for k in range(n_slots)]
+        except Exception:  # a block that cannot be read is empty: it goes to quarantine, the others of its page do not
+            return [[] for _ in range(n_slots)]
+
     def find(html, source):
         plan = plans[source]
         tree = Tree(html)
         blocks = next((b for steps in plan["rows"].values() if (b := select(tree, 0, steps))), [])
         next_pages = next((p for steps in plan["next"] if (p := select(tree, 0, steps))), [])
         return {
-            "blocks": [
-                [select(tree, block, plan["slots"][k]) if k in plan["slots"] else [] for k in range(n_slots)]
-                for block in blocks],
+            "blocks": [fields(tree, block, plan) for block in blocks],
             "next_pages": next_pages,
             "error": None,
         }
@@ -221,7 +208,7 @@ def rejected_blocks(blocks: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("data_id"), "source", "titulo", "descripcion", "fecha", "seccion",
         F.coalesce(F.nullif("href", F.lit("")), "page_url").alias("url"),
         _isoformat(F.col("captured_at")).alias("date_saved"),
-        F.lit("extract").alias("stage"), "reason")
+        F.lit("extract").alias("stage"), "reason", F.lit(None).cast("string").alias("_corrupt_record"))
 
 
 def extract_articles(pages: DataFrame, rules: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import re
 from bisect import bisect_left
+from collections import defaultdict
 from html.parser import HTMLParser
 
 _VOID = frozenset(
@@ -31,6 +32,8 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.tags, self.values, self.parents, self.ends = [""], [{}], [-1], [0]
         self._open, self._in_text = [0], False
+        self.ordinals, self._seen = [0], {}  # place among the siblings of the same tag, and how many there are so far
+        self._depths = defaultdict(list)  # of the open elements of each tag, ascending
         self.feed(html)
         self.close()
         self._close_down_to(0)
@@ -44,19 +47,26 @@ class Tree(HTMLParser):
         self.tags.append(tag)
         self.values.append(value)
         self.parents.append(self._open[-1])
+        among = self._open[-1], tag
+        self._seen[among] = self._seen.get(among, 0) + 1
+        self.ordinals.append(self._seen[among])
         self.ends.append(len(self.tags))
 
     def _close_down_to(self, depth):
         while len(self._open) > max(depth, 1):
-            self.ends[self._open.pop()] = len(self.tags)
+            node = self._open.pop()
+            self.ends[node] = len(self.tags)
+            self._depths[self.tags[node]].pop()
+
+    def _deepest(self, tags):
+        return max((self._depths[t][-1] for t in tags if self._depths[t]), default=0)
 
     def _end_implied(self, names, barriers):
-        for depth in range(len(self._open) - 1, 0, -1):
-            tag = self.tags[self._open[depth]]
-            if tag in names:
-                self._close_down_to(depth)
-            elif tag in barriers:
-                return
+        """Close the outermost open element of these names that no barrier shields."""
+        barrier = self._deepest(barriers - names)
+        reached = [d[i] for d in (self._depths[t] for t in names) if (i := bisect_left(d, barrier + 1)) < len(d)]
+        if reached:
+            self._close_down_to(min(reached))
 
     def handle_starttag(self, tag, attrs):
         self._in_text = False
@@ -66,6 +76,7 @@ class Tree(HTMLParser):
             self._end_implied(*_ENDS[tag])
         self._add(tag, {name: value or "" for name, value in reversed(attrs)})
         if tag not in _VOID:
+            self._depths[tag].append(len(self._open))
             self._open.append(len(self.tags) - 1)
 
     def handle_startendtag(self, tag, attrs):
@@ -74,15 +85,13 @@ class Tree(HTMLParser):
             self._close_down_to(len(self._open) - 1)
 
     def handle_endtag(self, tag):
+        if not self._depths[tag]:
+            return
         rank = _RANK.get(tag, 0)
-        for depth in range(len(self._open) - 1, 0, -1):
-            name = self.tags[self._open[depth]]
-            if name == tag:
-                self._in_text = False
-                self._close_down_to(depth)
-                return
-            if _RANK.get(name, 0) > rank:
-                return
+        depth = self._depths[tag][-1]
+        if depth > self._deepest([t for t, r in _RANK.items() if r > rank]):
+            self._in_text = False
+            self._close_down_to(depth)
 
     def handle_data(self, data):
         if self._in_text:
@@ -119,8 +128,7 @@ class Tree(HTMLParser):
 
     def nth(self, node):
         """Position of ``node`` among its siblings of the same tag, from 1."""
-        tag = self.tags[node]
-        return sum(1 for c in self.children(self.parents[node]) if c <= node and self.tags[c] == tag)
+        return self.ordinals[node]
 
 
 _STEP = re.compile(

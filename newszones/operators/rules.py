@@ -1,12 +1,13 @@
 """Extraction rules as a table: which selectors find a source's articles and their fields."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from newszones import fixed_values as fixed
 from newszones import schemas
 
-# Rules are configuration: a table beyond this is a mistake, and is refused rather than cut.
-MAX_RULES = 10_000
+# Rules travel in the function that uses them. A table beyond this is no configuration and is refused, never cut.
+MAX_RULE_BYTES = 64 << 20
 NEXT_PAGE = "next_page"
 
 
@@ -23,11 +24,12 @@ def default_rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, schemas.RULES)
 
 
-def collect_rules(rules: DataFrame | list) -> list:
-    """The rules as rows; rules that are collected already stay as they are."""
+def collect_rules(rules: DataFrame | list, max_bytes: int = MAX_RULE_BYTES) -> list:
+    """The rules as rows, after a check of their size; rules that are collected already stay as they are."""
     if isinstance(rules, list):
         return rules
-    rows = rules.limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} extraction rules")
-    return rows
+    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in rules.columns), F.lit(0))
+    measured = rules.agg(F.sum(size)).first()[0] or 0
+    if measured > max_bytes:
+        raise ValueError(f"{measured} bytes of extraction rules; at most {max_bytes} are meant")
+    return rules.collect()

@@ -11,8 +11,8 @@ from newszones.operators.dedupe import first_wins, known_rows, new_firsts
 from newszones.operators.rules import collect_rules, default_rules
 from newszones.plans import inputs, reports, zones
 from newszones.sources import tables as tb
-from newszones.sources.landing import read_landing, write_landing
-from newszones.sources.pages import allowed_pages, scan_pages
+from newszones.sources.landing import LIST, read_landing, write_landing
+from newszones.sources.pages import allowed_pages, rejected_pages, scan_pages
 from newszones.sources.storage import work_path, write_and_read
 from newszones.streaming.zone_stream import start_zones
 
@@ -66,11 +66,9 @@ def extract_rules(spark, sf):
 
 @query
 def union_sources(spark, sf):
-    rules = collect_rules(default_rules(spark))
-    parts = [
-        extract.extract_articles(inputs.list_pages(spark, sf), [r for r in rules if r["source"] == s])
-        for s in inputs.SOURCES]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("source", "titulo", "seccion", "url")
+    """All sources in one job: each page meets the rules of its source."""
+    return extract.extract_articles(inputs.list_pages(spark, sf), default_rules(spark)).select(
+        "source", "titulo", "seccion", "url")
 
 
 @query
@@ -157,7 +155,14 @@ def unknown_source(spark, sf):
 
 @query
 def domain_allowlist(spark, sf):
-    return allowed_pages(inputs.article_urls(spark, sf))
+    return allowed_pages(inputs.host_urls(spark, sf))
+
+
+@query
+def page_rejects(spark, sf):
+    """Pages that are of no use, by reason, as the quarantine table gets them."""
+    pages = inputs.captured_pages(spark, sf).drop("url").join(inputs.host_urls(spark, sf), "page_id")
+    return rejected_pages(pages, collect_rules(default_rules(spark))).select("url", "source", "stage", "reason")
 
 
 # Text, records, URLs
@@ -282,7 +287,16 @@ def coercion_loss(spark, sf):
 def landing_roundtrip(spark, sf):
     path = work_path(spark, "landing")
     write_landing(inputs.raw_articles(spark, sf), path, "20261201_000000")
-    return read_landing(spark, path).drop("_corrupt_record")
+    return read_landing(spark, path).drop("_corrupt_record", LIST)
+
+
+@query
+def list_descriptions(spark, sf):
+    """Lists, texts and texts that look like lists, through landing files into refined rows."""
+    path = work_path(spark, "landing")
+    inputs.landed_descriptions(spark, sf).write.text(f"{path}/run_ts=20261201_000000")
+    rows = zones.normalize_rows(read_landing(spark, path), as_of=inputs.as_of())
+    return zones.accepted(rows).select("data_id", "descripcion")
 
 
 @query
@@ -326,9 +340,14 @@ def upsert_do_nothing(spark, sf):
 
 @query
 def consumption_backfill(spark, sf):
+    """Of three batches the consumption table has lost one as a whole and single URLs of the others."""
     path = work_path(spark, "refined")
-    refined = write_and_read(zones.refined_projection(_firsts(spark, sf)), path)
-    return zones.backfill(refined, inputs.known_urls(spark, sf, good_only=True)).drop("fecha_procesado")
+    batch = F.concat(F.lit("b"), (F.regexp_extract("data_id", "[0-9]+", 0).cast("long") % 3).cast("string"))
+    refined = write_and_read(zones.refined_projection(_firsts(spark, sf)).withColumn("batch_key", batch), path)
+    there = inputs.known_urls(spark, sf, good_only=True).withColumn(
+        "batch_key", F.when(F.length("url") % 2 == 0, "b0").otherwise("b1"))
+    there = there.unionByName(spark.createDataFrame([(None, "b0"), (None, "b1")], "url string, batch_key string"))
+    return zones.backfill(refined, there).drop("fecha_procesado")
 
 
 # Streaming: the zone tables after real runs over landing files

@@ -37,6 +37,11 @@ _URLS = """SELECT page_id, CASE WHEN page_id % 10 = 0 THEN regexp_replace(u, '^h
 FROM (SELECT page_id, replace(replace(url, 'spam-farm.example.org', 'eldeber.com.bo'), 'example.com', 'com.bo') AS u
       FROM pages)"""
 
+_HOSTS = """SELECT page_id, 'https://' || ['eldeber.com.bo', 'www.lostiempos.com', 'notahoraelpueblo.bo',
+  'EL.AhoraElPueblo.bo', 'lostiempos.com:8080', 'user@eldeber.com.bo', 'eldeber.com.bo.example',
+  'example.org'][page_id % 8 + 1] || '/n/' || page_id AS url
+FROM pages"""
+
 _AUTHORITY = "regexp_extract(url, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)', 1)"
 
 _FUENTE = """CASE WHEN url IS NULL OR url = '' THEN NULL
@@ -195,8 +200,14 @@ SELECT 'extract', unnest(['titulo_vacio', 'url_vacia']), n
 FROM (SELECT count(*) AS n FROM documents WHERE doc_id % 4 <> 3)""",
     "unknown_source": f"""SELECT page_id, source FROM ({_CAPTURED})
 WHERE source IS NULL OR source NOT IN ('eldeber', 'lostiempos', 'ahoraelpueblo')""",
-    "domain_allowlist": f"""SELECT page_id, url FROM (SELECT page_id, url, lower({_AUTHORITY}) AS host FROM ({_URLS}))
-WHERE regexp_matches(host, '(^|\\.)(eldeber\\.com\\.bo|lostiempos\\.com|ahoraelpueblo\\.bo)$')""",
+    "domain_allowlist": f"SELECT page_id, url FROM ({_HOSTS}) WHERE page_id % 8 IN (0, 1, 3, 4, 5)",
+    "page_rejects": f"""SELECT * FROM (SELECT h.url, source, 'pages' AS stage,
+  CASE WHEN status <> 200 THEN 'estado_http' WHEN page_id % 8 NOT IN (0, 1, 3, 4, 5) THEN 'dominio_ajeno'
+       WHEN source IS NULL OR source = 'otro' THEN 'fuente_desconocida' END AS reason
+  FROM ({_CAPTURED}) c JOIN ({_HOSTS}) h USING (page_id)) WHERE reason IS NOT NULL""",
+    "list_descriptions": """SELECT CAST(doc_id AS VARCHAR) AS data_id, CASE doc_id % 3
+  WHEN 0 THEN 'Uno DOS Nota ' || doc_id WHEN 1 THEN 'a' || doc_id ELSE 'x uno ' || doc_id END AS descripcion
+FROM documents""",
     "normalize_text": f"""SELECT doc_id, {_normal(
         "'  ' || text || CASE WHEN doc_id % 3 = 0 THEN chr(160) || chr(28) ELSE ' ' || chr(128512) END")} AS normalized
 FROM documents""",
@@ -261,7 +272,8 @@ WHERE url IS NULL OR url NOT IN ({_known()})""",
     "known_articles": f"SELECT data_id, url FROM ({_GOOD}) WHERE url IN ({_known()})",
     "upsert_do_nothing": f"""SELECT {_CONSUMPTION} FROM ({_FIRST})
 WHERE url IS NULL OR url NOT IN ({_known('quality = 1')})""",
-    "consumption_backfill": f"SELECT {_CONSUMPTION} FROM ({_FIRST}) WHERE url NOT IN ({_known('quality = 1')})",
+    "consumption_backfill": f"""SELECT {_CONSUMPTION} FROM ({_FIRST})
+WHERE CASE WHEN url IS NULL THEN doc_id % 3 = 2 ELSE url NOT IN ({_known('quality = 1')}) END""",
     "stream_refine": f"SELECT {_REFINED} FROM ({_FIRST})",
     "stream_upsert_idempotent": f"{_CONSUMED} UNION ALL {_CONSUMED} WHERE url IS NULL",
     "stream_available_now": _CONSUMED,

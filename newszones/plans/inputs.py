@@ -47,6 +47,26 @@ def article_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _urls(table(spark, sf_dir, "pages").select("page_id", "url"))
 
 
+def host_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page URLs whose hosts are, in turn, allowed, subdomains, look-alikes, and written with case, port or user."""
+    hosts = ["eldeber.com.bo", "www.lostiempos.com", "notahoraelpueblo.bo", "EL.AhoraElPueblo.bo", "lostiempos.com:8080",
+             "user@eldeber.com.bo", "eldeber.com.bo.example", "example.org"]
+    host = F.element_at(F.array(*map(F.lit, hosts)), (F.col("page_id") % len(hosts) + 1).cast("int"))
+    return table(spark, sf_dir, "pages").select(
+        "page_id", F.concat(F.lit("https://"), host, F.lit("/n/"), F.col("page_id").cast("string")).alias("url"))
+
+
+def landed_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing lines whose description is a list, a text, or a text that looks like a list."""
+    n = F.col("doc_id").cast("string")
+    title = F.concat(F.lit("Nota "), n)
+    row = F.struct(n.alias("data_id"), title.alias("titulo"), F.array(F.lit("Uno DOS"), title, F.lit("Ñ!")).alias("descripcion"))
+    text = F.when(F.col("doc_id") % 3 == 1, F.concat(F.lit('["A",'), n, F.lit("]"))).otherwise(F.concat(F.lit("[x] Uno "), n))
+    plain = F.struct(n.alias("data_id"), title.alias("titulo"), text.alias("descripcion"))
+    return table(spark, sf_dir, "documents").select(
+        F.when(F.col("doc_id") % 3 == 0, F.to_json(row)).otherwise(F.to_json(plain)).alias("value"))
+
+
 def captured_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page table with crawl facts: source, section, page number, status, capture time."""
     return table(spark, sf_dir, "pages").select(

@@ -2,12 +2,12 @@
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newszones import fixed_values as fixed
 from newszones.functions.dates import coerce_date, coerce_time
-from newszones.sources.tables import MONTH, month_of
+from newszones.sources.tables import MONTH, ZoneTables, month_of, read_consumption
 
 
 def newest_first(report: DataFrame) -> DataFrame:
@@ -15,19 +15,31 @@ def newest_first(report: DataFrame) -> DataFrame:
 
 
 def load_report(consumption: DataFrame) -> DataFrame:
-    """The report columns that exist, of rows with a valid date and time.
+    """The report columns that exist, of rows with a valid date and time, as far as there are such columns.
 
-    A typed table needs no coercion, so its filters stay plain and are pushed to the scan.
+    A typed table holds valid times beside its dates, so its filters stay plain and are pushed to the scan.
     """
     keep = [c for c in [*fixed.REPORT_COLUMNS, MONTH] if c in consumption.columns]
-    report = consumption.select(*keep).filter(
-        F.col("fecha_noticia").isNotNull() & F.col("hora_noticia").isNotNull())
-    if dict(report.dtypes)["fecha_noticia"] != "date":
-        report = report.withColumn("fecha_noticia", coerce_date(F.col("fecha_noticia")))
-    return (
-        report.withColumn("hora_noticia", coerce_time(F.col("hora_noticia")))
-        .dropna(subset=["fecha_noticia", "hora_noticia"])
-    )
+    dated = [c for c in ("fecha_noticia", "hora_noticia") if c in keep]
+    report = _with_values(consumption.select(*keep), dated)
+    if dict(report.dtypes).get("fecha_noticia") == "date":
+        return report
+    for name, coerced in (("fecha_noticia", coerce_date), ("hora_noticia", coerce_time)):
+        if name in dated:
+            report = report.withColumn(name, coerced(F.col(name)))
+    return _with_values(report, dated)
+
+
+def _with_values(report: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows with all of these columns; plain null checks, unlike ``dropna``, reach the scan."""
+    for name in columns:
+        report = report.filter(F.col(name).isNotNull())
+    return report
+
+
+def read_report(spark: SparkSession, tables: ZoneTables) -> DataFrame:
+    """The report frame of the zone tables, with the month column that lets date filters skip folders."""
+    return load_report(read_consumption(spark, tables, MONTH))
 
 
 def coercion_loss(consumption: DataFrame) -> DataFrame:

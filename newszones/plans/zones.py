@@ -1,5 +1,7 @@
 """Raw articles to refined and consumption rows, and the batch that carries them there."""
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,8 +12,11 @@ from newszones.operators.dedupe import (
     BROADCAST_BYTES, first_of_key, first_wins, new_firsts, new_rows, unknown_keys,
 )
 from newszones.sources import tables as tb
+from newszones.sources.landing import LIST
 from newszones.sources.storage import work_dir, write_and_read
 
+log = logging.getLogger(__name__)
+
 ARRIVAL = ["date_saved", "data_id"]
 _TEXT_FIELDS = ["data_id", "source", "titulo", "fecha", "seccion", "url", "date_saved"]
 
@@ -25,36 +30,38 @@ def normalize_rows(
 ) -> DataFrame:
     """All landing rows with normalised fields and a ``reason``, NULL unless the row is rejected.
 
-    A ``descripcion`` of type array is joined and, unlike a text, not lower-cased.
+    A list-valued description (the column itself, or ``descripcion_lista`` of landing files) is joined and, unlike a
+    text, not lower-cased.
     """
-    is_list = isinstance(landing.schema["descripcion"].dataType, T.ArrayType)
-    names = _TEXT_FIELDS if is_list else [*_TEXT_FIELDS, "descripcion"]
+    if isinstance(landing.schema["descripcion"].dataType, T.ArrayType):
+        landing = landing.withColumnRenamed("descripcion", LIST).withColumn("descripcion", F.lit(None).cast("string"))
+    names = [*_TEXT_FIELDS, "descripcion"]
     # Two projections: what the second one mentions more than once is computed once, by the first.
     rows = landing.withColumns({name: text.normalize_text(F.col(name)) for name in names})
     rows = rows.withColumns({name: text.null_tokens(F.col(name)) for name in names})
     description = F.col("descripcion")
-    if is_list:
-        description = text.join_list(F.when(F.size(description) > 0, description))
+    if LIST in rows.columns:
+        description = F.coalesce(text.join_list(F.when(F.size(LIST) > 0, F.col(LIST))), description)
     rows = rows.withColumn("descripcion", text.clean_description(description, order))
     rows = dates.parse_fecha(rows, "fecha", as_of=as_of, **date_options)
     rows = rows.withColumn("date_saved", dates.date_saved_iso(F.col("date_saved")))
-    corrupt = F.col("_corrupt_record").isNotNull() if "_corrupt_record" in rows.columns else F.lit(False)
+    raw = F.col("_corrupt_record") if "_corrupt_record" in rows.columns else F.lit(None).cast("string")
     return rows.select(
-        *schemas.LANDING_FIELDS,
-        F.when(corrupt, "json_corrupto")
+        *schemas.LANDING_FIELDS, raw.alias("_corrupt_record"),
+        F.when(raw.isNotNull(), "json_corrupto")
         .when(F.col("fecha_overflow"), "fecha_overflow")
         .when(F.col("titulo").isNull(), "titulo_vacio").alias("reason"),
     )
 
 
 def accepted(normalized: DataFrame) -> DataFrame:
-    return normalized.filter(F.col("reason").isNull()).drop("reason")
+    return normalized.filter(F.col("reason").isNull()).drop("reason", "_corrupt_record")
 
 
 def quarantined(normalized: DataFrame) -> DataFrame:
     return normalized.filter(F.col("reason").isNotNull()).select(
         *schemas.LANDING_FIELDS,
-        F.when(F.col("reason") == "json_corrupto", "landing").otherwise("refined").alias("stage"), "reason")
+        F.when(F.col("reason") == "json_corrupto", "landing").otherwise("refined").alias("stage"), "reason", "_corrupt_record")
 
 
 def quarantine_counts(quarantine: DataFrame) -> DataFrame:
@@ -105,10 +112,15 @@ def backfill(
 ) -> DataFrame:
     """Consumption rows for refined articles that the consumption table lacks, as after an outage.
 
-    Rows without a URL cannot be told apart from those that did arrive and are left out.
+    Rows with a URL go by that. Rows without one cannot be told apart, but batches can: with a column ``batch_key`` on
+    both sides, those of batches that the consumption table has nothing of are restored, too.
     """
-    missing = unknown_keys(refined, consumption, "url", max_bytes)
-    return consumption_projection(first_of_key(missing, "url", ["date_saved_iso", "data_id"]), processed_at)
+    missing = first_of_key(unknown_keys(refined, consumption, "url", max_bytes), "url", ["date_saved_iso", "data_id"])
+    if "batch_key" in refined.columns and "batch_key" in consumption.columns:
+        there = consumption.select("batch_key").distinct()
+        missing = missing.unionByName(refined.filter(F.col("url").isNull()).join(there, "batch_key", "left_anti")
+                                      .select(refined.columns))
+    return consumption_projection(missing, processed_at)
 
 
 def consumption_without_refined(consumption: DataFrame, refined: DataFrame) -> DataFrame:
@@ -144,16 +156,36 @@ def run_batch(
         refined = tb.read_refined(spark, tables, without_batch=batch_key)
         tb.write_batch(
             refined_projection(new_rows(firsts, refined, "url", max_bytes)), tables.refined, batch_key)
-        consumption = tb.read_consumption(spark, tables, without_batch=batch_key)
+        # A failed write of this table must not cost the batch; a later batch, or a backfill, fills the gap.
+        try:
+            fill_gaps(spark, tables, batch_key, processed_at, max_bytes)
+            consumption = tb.read_consumption(spark, tables, without_batch=batch_key)
+            tb.write_consumption_batch(
+                consumption_projection(new_rows(firsts, consumption, "url", max_bytes), processed_at),
+                tables.consumption, batch_key)
+        except Exception:
+            log.exception("consumption rows of batch %s are missing", batch_key)
+
+
+def fill_gaps(spark: SparkSession, tables: tb.ZoneTables, current: str, processed_at: Column | None = None,
+              max_bytes: int = BROADCAST_BYTES) -> list[str]:
+    """Write the consumption batches that are missing for complete refined ones, each under its own key, in key order."""
+    gaps = sorted(tb.complete_batches(spark, tables.refined) - tb.complete_batches(spark, tables.consumption) - {current})
+    for key in gaps:
+        rows = tb.read_refined(spark, tables, "batch_key").filter(F.col("batch_key") == key).drop("batch_key")
+        rows = rows.withColumnRenamed("date_saved_iso", "date_saved")
+        consumption = tb.read_consumption(spark, tables, without_batch=key)
         tb.write_consumption_batch(
-            consumption_projection(new_rows(firsts, consumption, "url", max_bytes), processed_at),
-            tables.consumption, batch_key)
+            consumption_projection(new_rows(rows, consumption, "url", max_bytes), processed_at), tables.consumption, key)
+    return gaps
 
 
 def run_backfill(
     spark: SparkSession, tables: tb.ZoneTables, batch_key: str, processed_at: Column | None = None,
     max_bytes: int = BROADCAST_BYTES,
 ) -> None:
+    """Restore what the consumption table lacks: whole batches under their own keys, then single URLs under ``batch_key``."""
+    fill_gaps(spark, tables, batch_key, processed_at, max_bytes)
     rows = backfill(
         tb.read_refined(spark, tables), tb.read_consumption(spark, tables, without_batch=batch_key),
         processed_at, max_bytes)

@@ -21,7 +21,10 @@ PAGES = T.StructType([
 ])
 
 LANDING = _strings(LANDING_FIELDS)
-LANDING_ON_DISK = _strings([*LANDING_FIELDS, "_corrupt_record", "run_ts"])
+# ``descripcion`` may be a JSON text or a JSON list; only the raw value tells them apart.
+LANDING_ON_DISK = T.StructType([
+    *[T.StructField(n, T.VariantType() if n == "descripcion" else T.StringType()) for n in LANDING_FIELDS],
+    T.StructField("_corrupt_record", T.StringType()), T.StructField("run_ts", T.StringType())])
 
 REFINED = _strings(REFINED_FIELDS)
 
@@ -35,7 +38,7 @@ CONSUMPTION = T.StructType([
     T.StructField("fecha_procesado", T.TimestampType()),
 ])
 
-QUARANTINE = _strings([*LANDING_FIELDS, "stage", "reason"])
+QUARANTINE = _strings([*LANDING_FIELDS, "stage", "reason", "_corrupt_record"])
 
 RULES = T.StructType([
     T.StructField("source", T.StringType()),

@@ -1,6 +1,7 @@
 """Landing zone: raw article rows as JSON lines, one partition per run."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from newszones import schemas
 
@@ -9,6 +10,20 @@ def _options(reader):
     return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
 
 
+#: Where a list-valued description is after reading; its text column is NULL then.
+LIST = "descripcion_lista"
+
+
+def _typed(rows: DataFrame) -> DataFrame:
+    """Descriptions by the type they have in the file: a text that looks like a list stays a text."""
+    is_list = F.coalesce(F.startswith(F.schema_of_variant("descripcion"), F.lit("ARRAY")), F.lit(False))
+    found = F.col("descripcion")
+    columns = {
+        "descripcion": F.when(~is_list, F.try_variant_get(found, "$", "string")),
+        LIST: F.when(is_list, F.try_variant_get(found, "$", "array<string>"))}
+    return rows.select(*[columns.get(c, F.col(c)).alias(c) for c in rows.columns], columns[LIST].alias(LIST))
+
+
 def write_landing(rows: DataFrame, path: str, run_ts: str, mode: str = "append") -> None:
     """Add raw rows under ``run_ts``; keys with NULL values are written too."""
     (
@@ -20,11 +35,11 @@ def write_landing(rows: DataFrame, path: str, run_ts: str, mode: str = "append")
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    return _options(spark.read.schema(schemas.LANDING_ON_DISK)).json(path)
+    return _typed(_options(spark.read.schema(schemas.LANDING_ON_DISK)).json(path))
 
 
 def read_landing_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     reader = _options(spark.readStream.schema(schemas.LANDING_ON_DISK))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    return _typed(reader.json(path))

@@ -17,6 +17,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder; none if there is no folder."""
+    fs, p = _hadoop_path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     fs, p = _hadoop_path(spark, path)
     fs.delete(p, True)

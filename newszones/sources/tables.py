@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newszones import schemas
-from newszones.sources.storage import path_exists
+from newszones.sources.storage import folder_names, path_exists
 
 MONTH = "fecha_mes"
 NO_MONTH = "none"
@@ -70,14 +70,31 @@ def read_quarantine(spark: SparkSession, tables: ZoneTables, *more: str) -> Data
     return read_table(spark, tables.quarantine, schemas.QUARANTINE, *more)
 
 
+def complete_batches(spark: SparkSession, path: str) -> set[str]:
+    """Keys of the batches that were written to the end; a batch without rows is one as well."""
+    keys = {name.partition("=")[2] for name in folder_names(spark, path) if name.startswith("batch_key=")}
+    return {k for k in keys if path_exists(spark, f"{path}/batch_key={k}/_SUCCESS")}
+
+
+def batch_clock(spark: SparkSession, tables: "ZoneTables", batch_key: str) -> Column:
+    """The time a batch was first run at, as local time of the session; a replay of the batch gets the same."""
+    path = f"{tables.root}/clocks/batch_key={batch_key}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        spark.range(1).select(F.localtimestamp().cast("string").alias("as_of")).coalesce(1).write.mode("overwrite").text(path)
+    return F.to_timestamp_ntz(F.lit(spark.read.text(path).first()[0]))
+
+
 def write_batch(df: DataFrame, path: str, batch_key: str) -> None:
     """Make ``df`` the whole content of the batch."""
     df.write.mode("overwrite").parquet(f"{path}/batch_key={batch_key}")
 
 
 def write_consumption_batch(df: DataFrame, path: str, batch_key: str) -> None:
-    """As ``write_batch``, below that one folder per month so that date filters skip files."""
+    """As ``write_batch``, below that one folder per month so that date filters skip files.
+
+    The rebalance gives each month as many files as its size needs, not one for each task.
+    """
     (
-        df.withColumn(MONTH, month_of(F.col("fecha_noticia")))
+        df.withColumn(MONTH, month_of(F.col("fecha_noticia"))).hint("rebalance", MONTH)
         .write.mode("overwrite").partitionBy(MONTH).parquet(f"{path}/batch_key={batch_key}")
     )

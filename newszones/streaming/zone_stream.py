@@ -3,19 +3,16 @@
 The tables are the only state and never expire; late rows are always accepted, so there is no watermark.
 """
 
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from newszones.operators.extract import extract_blocks, landing_rows, page_batches, rejected_blocks
+from newszones.operators.extract import extract_blocks, landing_rows, rejected_blocks
 from newszones.operators.rules import collect_rules
 from newszones.plans.zones import run_batch
 from newszones.sources.landing import read_landing, read_landing_stream, write_landing
-from newszones.sources.pages import allowed_pages, scan_pages
+from newszones.sources.pages import page_reason, rejected_pages
 from newszones.sources.storage import work_dir, write_and_read
-from newszones.sources.tables import ZoneTables, write_batch
+from newszones.sources.tables import ZoneTables, batch_clock, write_batch
 
 
 def _batch_key(batch: DataFrame, batch_id: int) -> str:
@@ -26,10 +23,6 @@ def _batch_key(batch: DataFrame, batch_id: int) -> str:
     return f"{query_id}-{batch_id:012d}"
 
 
-def _now() -> Column:
-    return F.lit(datetime.now())
-
-
 def _start(stream: DataFrame, handle, checkpoint: str, available_now: bool, interval: str) -> StreamingQuery:
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
@@ -55,8 +48,8 @@ def start_zones(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        run_batch(batch.sparkSession, batch, tables, _batch_key(batch, batch_id),
-                  as_of=_now() if as_of is None else as_of, **options)
+        spark, key = batch.sparkSession, _batch_key(batch, batch_id)
+        run_batch(spark, batch, tables, key, as_of=batch_clock(spark, tables, key) if as_of is None else as_of, **options)
 
     stream = read_landing_stream(spark, landing or tables.landing, max_files)
     return _start(stream, handle, checkpoint, available_now, interval)
@@ -75,12 +68,13 @@ def run_pages(
     """Carry captured pages through extraction and all three zones as one batch."""
     rows = collect_rules(rules)
     with work_dir(spark, "pages") as path:
-        with page_batches(spark):
-            blocks = write_and_read(extract_blocks(allowed_pages(scan_pages(pages)), rows), path)
+        usable = pages.filter(page_reason(rows).isNull())
+        blocks = write_and_read(extract_blocks(usable, rows), path)
+        write_batch(rejected_pages(pages, rows), tables.quarantine, f"{batch_key}-pages")
         write_landing(landing_rows(blocks), tables.landing, batch_key, mode="overwrite")
         write_batch(rejected_blocks(blocks), tables.quarantine, f"{batch_key}-extract")
     landing = read_landing(spark, f"{tables.landing}/run_ts={batch_key}")
-    run_batch(spark, landing, tables, batch_key, as_of=_now() if as_of is None else as_of, **options)
+    run_batch(spark, landing, tables, batch_key, as_of=batch_clock(spark, tables, batch_key) if as_of is None else as_of, **options)
 
 
 def start_pages(

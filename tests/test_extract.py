@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newszones import schemas
+from newszones.operators.html_tree import Tree, compile_selector, select
 from newszones.operators import extract
 from newszones.operators.html_tree import Tree, compile_selector, select
 from newszones.operators.rules import collect_rules, default_rules
@@ -134,3 +135,13 @@ def test_selectors(selector, expected):
 def test_unsupported_selector():
     with pytest.raises(ValueError):
         compile_selector("//a[last()]")
+
+
+def test_unclosed_and_stray_tags_cost_little():
+    """Work per node stays the same: these pages of some MB would take hours otherwise."""
+    n = 40_000
+    row = "<div><a href=\"{}\">x</a></div>"
+    tree = Tree("<div>" + "".join(row.format(i) for i in range(n)) + "</div>")
+    assert select(tree, 0, compile_selector("//div/div[3]/a/@href")) == ["2"]
+    tree = Tree("<p>" + "<b>x</i></td>" * n)
+    assert len(tree.inside(0, "b")) == n

@@ -167,3 +167,11 @@ def test_zone_batch_needs_no_python(spark):
     from test_zones import landing
     df = zones.normalize_rows(landing(spark, ("a", "u", "t")), as_of=F.expr("timestamp_ntz'2026-12-01 00:00:00'"))
     assert "Eval" not in plan(df)
+
+
+def test_typed_times_are_not_coerced_and_missing_columns_are_no_error(spark, stored):
+    text = formatted(reports.read_report(spark, stored))
+    assert "RLIKE" not in text and "atleastnnonnulls" not in text.lower()
+    rows = tb.read_consumption(spark, stored)
+    assert reports.load_report(rows.drop("fecha_noticia", "hora_noticia")).count() == rows.count()
+    assert "hora_noticia" not in reports.load_report(rows.drop("hora_noticia")).columns

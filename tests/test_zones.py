@@ -1,6 +1,7 @@
 """First-wins, history lookups, batches and streams on small hand-made tables."""
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from newszones.operators.dedupe import first_wins, known_rows, new_rows
 from newszones.plans import zones
 from newszones.sources import tables as tb
 from newszones.sources.landing import read_landing, write_landing
+from newszones.sources.storage import remove_path
 from newszones.streaming.zone_stream import run_pages, start_zones
 from newszones.operators.rules import default_rules
 
@@ -62,7 +64,9 @@ def test_batch_against_history(spark, tables, max_bytes):
 
 def test_known_in_refined_still_reaches_consumption(spark, tables):
     rows = zones.normalize_rows(landing(spark, ("d0", "https://a.bo/1", "t0")), as_of=as_of())
-    tb.write_batch(zones.refined_projection(zones.accepted(rows)), tables.refined, "h")
+    refined = zones.refined_projection(zones.accepted(rows))
+    tb.write_batch(refined, tables.refined, "h")
+    tb.write_consumption_batch(zones.consumption_projection(refined.limit(0)), tables.consumption, "h")  # written, and empty
     run(spark, tables, "b", BATCH)
     assert titles(tb.read_refined(spark, tables)) == ["t0", "t2", "t4", "t5"]
     assert titles(tb.read_consumption(spark, tables)) == ["t1", "t2", "t4", "t5"]
@@ -73,9 +77,9 @@ def test_backfill_and_audit(spark, tables):
     refined = zones.refined_projection(zones.accepted(rows))
     tb.write_batch(first_wins(refined, "url", ["date_saved_iso", "data_id"]), tables.refined, "h")
     zones.run_backfill(spark, tables, "fill")
-    assert titles(tb.read_consumption(spark, tables)) == ["t1", "t2"]
+    assert titles(tb.read_consumption(spark, tables)) == ["t1", "t2", "t4", "t5"]  # the batch lacks as a whole
     zones.run_backfill(spark, tables, "fill2")
-    assert titles(tb.read_consumption(spark, tables)) == ["t1", "t2"]
+    assert titles(tb.read_consumption(spark, tables)) == ["t1", "t2", "t4", "t5"]
     audit = zones.consumption_without_refined(
         tb.read_consumption(spark, tables), tb.read_refined(spark, tables).filter("url <> 'https://a.bo/2'"))
     assert titles(audit) == ["t2"]
@@ -165,3 +169,69 @@ def test_pages_to_consumption(spark, tables, pages):  # noqa: F811
     assert titles(tb.read_consumption(spark, tables)) == ["por lugar", "t1", "t2", "tp1", "tres", "uno & dos"]
     assert tb.read_quarantine(spark, tables).filter("stage = 'extract'").count() == 3
     assert read_landing(spark, tables.landing).count() == 6
+
+
+def shown(df):
+    return sorted((tuple(r) for r in df.drop("fecha_procesado").collect()), key=str)
+
+
+def test_outage_is_made_good_by_the_next_batch(spark, tables, tmp_path, monkeypatch):
+    more = [("e1", "https://a.bo/9", "u1"), ("e2", None, "u2"), ("e3", "https://a.bo/2", "u3")]
+    whole = tb.ZoneTables(str(tmp_path / "whole"))
+    for zones_ in (whole, tables):
+        with monkeypatch.context() as m:
+            if zones_ is tables:
+                m.setattr(tb, "write_consumption_batch", lambda *a: 1 / 0)
+            run(spark, zones_, "a", BATCH)
+        run(spark, zones_, "b", more)
+    assert shown(tb.read_consumption(spark, tables, "batch_key")) == shown(tb.read_consumption(spark, whole, "batch_key"))
+    assert titles(tb.read_consumption(spark, tables)) == ["t1", "t2", "t4", "t5", "u1", "u2"]
+    for _ in range(2):
+        zones.run_backfill(spark, tables, "fill")
+    assert shown(tb.read_consumption(spark, tables)) == shown(tb.read_consumption(spark, whole))
+
+
+def test_backfill_restores_a_lost_batch_with_rows_without_url(spark, tables):
+    run(spark, tables, "a", BATCH)
+    before = shown(tb.read_consumption(spark, tables, "batch_key"))
+    remove_path(spark, f"{tables.consumption}/batch_key=a")
+    zones.run_backfill(spark, tables, "fill")
+    assert shown(tb.read_consumption(spark, tables, "batch_key")) == before
+
+
+def test_corrupt_text_is_kept(spark, tables, tmp_path):
+    path = tmp_path / "raw.jsonl"
+    path.write_text('{"data_id": "1", broken\n', encoding="utf-8")
+    zones.run_batch(spark, read_landing(spark, str(path)), tables, "a", as_of=as_of())
+    assert [(r.reason, r._corrupt_record) for r in tb.read_quarantine(spark, tables).collect()] == [
+        ("json_corrupto", '{"data_id": "1", broken')]
+
+
+def test_clock_of_a_batch_is_fixed(spark, tables):
+    first = spark.range(1).select(tb.batch_clock(spark, tables, "a")).first()[0]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert spark.range(1).select(tb.batch_clock(spark, tables, "a")).first()[0] == first
+        assert spark.range(1).select(tb.batch_clock(spark, tables, "b")).first()[0] > first
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_pages_of_no_use_are_quarantined(spark, tables):
+    rows = [("eldeber", "pais", 1, "https://eldeber.com.bo/a", 404, "x"), ("eldeber", "pais", 2, "https://e.example/a", 200, "x"),
+            ("otro", "pais", 3, "https://eldeber.com.bo/b", 200, "x"), (None, "pais", 4, "https://eldeber.com.bo/c", 200, "x"),
+            ("eldeber", "pais", 5, "https://eldeber.com.bo/d", None, "x"), ("eldeber", "pais", 6, None, 200, "x")]
+    pages_ = spark.createDataFrame([(*r, None) for r in rows], schemas.PAGES)
+    run_pages(spark, pages_, default_rules(spark), tables, "a")
+    got = tb.read_quarantine(spark, tables).filter("stage = 'pages'").collect()
+    assert sorted(r.reason for r in got) == ["dominio_ajeno"] * 2 + ["estado_http"] * 2 + ["fuente_desconocida"] * 2
+
+
+def test_months_make_few_files(spark, tables):
+    rows = spark.range(3000, numPartitions=16).selectExpr(
+        "concat('d', id) data_id", "'eldeber' source", "'t' titulo", "'x' descripcion",
+        "concat('2025-', lpad(id % 12 + 1, 2, '0'), '-03') fecha", "'s' seccion", "concat('https://a.bo/', id) url", "'' date_saved")
+    zones.run_batch(spark, rows, tables, "a", as_of=as_of())
+    files = [f for f in Path(tables.consumption).rglob("part-*.parquet")]
+    assert tb.read_consumption(spark, tables).count() == 3000 and len(files) <= 24
