@@ -10,19 +10,19 @@ from pyspark.sql import functions as F
 BLOCK_TOKENS = 1 << 20
 
 
-def shared_tokens(docs: DataFrame, sets_of: Callable[[bytes, int | None], Iterator[tuple[int, np.ndarray]]], n_buckets: int,
+def shared_tokens(docs: DataFrame, sets_of: Callable[[bytes, int | None], Iterator[tuple]], n_buckets: int,
                   share: float = 1.0) -> DataFrame:
     """``who, repeated``: how many of its tokens another owner has too, or a few more (32 bits of a bucket are compared).
 
-    ``docs`` has ``key, raw``; ``sets_of(raw, key)`` gives owners and their distinct tokens, hashes below ``share`` of 2^64.
-    An owner may come again with the same tokens; it counts as one, and its count then counts each coming. A block sends
+    ``docs`` has ``key, raw``; ``sets_of(raw, key)`` gives owners (one, or one for each token) and tokens, hashes below
+    ``share`` of 2^64. An owner may come again with the same tokens; it counts as one, and its count then counts each coming. A block sends
     each token once, with its owner or a sign that it has several, so a token that all rows have is no hot spot.
     """
     scale = share * 2.0 ** 32 / n_buckets
 
-    def block(owners: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+    def block(owners: list[np.ndarray], sets: list[np.ndarray]) -> pa.RecordBatch:
         tokens = np.concatenate(sets)
-        who = np.repeat(np.array(owners, np.int64), [len(s) for s in sets])
+        who = np.concatenate(owners)
         order = np.lexsort((who, tokens))
         tokens, who = tokens[order], who[order]
         new = np.concatenate(([True], tokens[1:] != tokens[:-1]))
@@ -53,7 +53,7 @@ def shared_tokens(docs: DataFrame, sets_of: Callable[[bytes, int | None], Iterat
                 for owner, tokens in sets_of(raw.as_py(), key):
                     if not len(tokens):
                         continue
-                    owners.append(owner)
+                    owners.append(np.full(len(tokens), owner, np.int64))
                     sets.append(tokens)
                     n += len(tokens)
                     if n >= BLOCK_TOKENS:

@@ -7,8 +7,9 @@ bytes; matches never cross documents.
    has the ``SPAN - 1`` bytes after it as well; every string of a text starts in one piece and lies in it. Of equal pieces the
    one of the smallest key is sorted; the strings of the others start in a smaller document and go. Long runs of copies
    thus cost a digest each, however many there are.
-2. *Marks.* Of each window of a piece the smallest hash of 16 bytes is a mark, so two pieces with a common string have a
-   common mark. Pieces without a mark of another piece are finished. This loses nothing.
+2. *Marks.* In each string the place with the smallest hash of 28 bytes is a mark, so equal strings have equal marks. A mark
+   belongs to the piece it lies in together with the piece before, one of which its strings start in. If all marks like it
+   belong to equal pairs of pieces, step 1 has done what there is to do. Pieces without other marks are finished.
 3. *Difference cover.* In the remaining pieces, positions 1 and 2 modulo 3 are sampled. Their strings of 27 bytes (triples of
    triples of triples) are sorted in buckets and named by rank. A string of ``SPAN`` bytes is then two names and at most two
    single bytes, and whatever the residues of two positions are, there is a shift of 0, 1 or 2 at which both have names:
@@ -41,8 +42,8 @@ from newszones.llm.words import bytes_of
 from newszones.sources.storage import work_path, write_and_read
 
 SPAN = 50
-CUT, CUT_BITS, LONGEST_PIECE = 16, 8, 4096
-MARK = 16
+CUT, CUT_BITS, LONGEST_PIECE = 16, 7, 4096
+MARK = 28
 NAMED = 27
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 4 << 20
@@ -59,39 +60,60 @@ def cuts(raw: bytes) -> np.ndarray:
     return at
 
 
-def pieces_of(raw: bytes) -> list[tuple[int, int, bytes]]:
+def pieces_of(raw: bytes, at: np.ndarray | None = None) -> list[tuple[int, int, bytes]]:
     """``start, end, text`` of the pieces that hold a whole string; the text reaches ``SPAN - 1`` bytes further."""
-    at = cuts(raw)
+    at = cuts(raw) if at is None else at
     return [(a, b, raw[a:b + SPAN - 1]) for a, b in zip(at[:-1].tolist(), at[1:].tolist()) if len(raw) - a >= SPAN]
 
 
-def marks(text: bytes) -> np.ndarray:
-    """Distinct hashes such that texts with a common string of ``SPAN`` bytes have one in common."""
-    h = byte_hashes(text, MARK)
-    window = SPAN - MARK + 1
-    low, size = h, 1  # minima of runs whose length doubles
-    while size * 2 <= window:
-        low = np.minimum(low[:len(low) - size], low[size:])
-        size *= 2
-    low = np.minimum(low[:len(h) - window + 1], low[window - size:][:len(h) - window + 1])
-    return np.unique(mixed(np.unique(low)))
+def _runs(x: np.ndarray, size: int, least: bool) -> np.ndarray:
+    """The minimum or maximum of every run of ``size``, by runs whose length doubles."""
+    pick, n, done = (np.minimum if least else np.maximum), len(x) - size + 1, 1
+    while done * 2 <= size:
+        x = pick(x[:len(x) - done], x[done:])
+        done *= 2
+    return pick(x[:n], x[size - done:][:n])
+
+
+def marks(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes such that equal strings of ``SPAN`` bytes hold an equal hash at the same place of them."""
+    if len(raw) < SPAN:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    h, window = byte_hashes(raw, MARK), SPAN - MARK + 1
+    low = _runs(h, window, least=True)
+    # A hash is a mark if it is the smallest of some window that it lies in.
+    ends = np.zeros(window - 1, np.uint64)
+    at = np.flatnonzero(_runs(np.concatenate((ends, low, ends)), window, least=False) == h)
+    return at, mixed(h[at])
+
+
+def layout(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cuts, and for each piece a hash of it and one of it with the piece before."""
+    at = cuts(raw)
+    own = np.array([xxhash.xxh3_64_intdigest(raw[a:b + SPAN - 1]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())], np.uint64)
+    with np.errstate(over="ignore"):
+        pairs = mixed(own ^ mixed(np.concatenate((np.zeros(1, np.uint64), own[:-1])) + np.uint64(1)))
+    return at, own, pairs
 
 
 def pieces(docs: DataFrame) -> DataFrame:
-    """``key, start, stop, d1, d2`` of all pieces; ``stop`` is the end of the strings in it."""
+    """``key, start, stop, d1, d2, pair, next`` of all pieces; ``stop`` is the end of the strings in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for key, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for start, _, text in pieces_of(raw.as_py()):
+                raw = raw.as_py()
+                at, _, pairs = layout(raw)
+                pairs = np.append(pairs, np.uint64(0)).view(np.int64)
+                for k, (start, _, text) in enumerate(pieces_of(raw, at)):
                     d = np.frombuffer(xxhash.xxh3_128_digest(text), "<i8")
-                    rows.append((key, start, start + len(text), d[0], d[1]))
-            columns = np.array(rows, np.int64).reshape(-1, 5)
-            yield pa.RecordBatch.from_arrays([pa.array(columns[:, i]) for i in range(5)],
-                                             names=["key", "start", "stop", "d1", "d2"])
+                    rows.append((key, start, start + len(text), d[0], d[1], pairs[k], pairs[k + 1]))
+            columns = np.array(rows, np.int64).reshape(-1, 7)
+            yield pa.RecordBatch.from_arrays([pa.array(columns[:, i]) for i in range(7)],
+                                             names=["key", "start", "stop", "d1", "d2", "pair", "next"])
 
-    return docs.mapInArrow(run, "key long, start long, stop long, d1 long, d2 long")
+    return docs.mapInArrow(run, "key long, start long, stop long, d1 long, d2 long, pair long, next long")
 
 
 def _sorted_columns(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -295,14 +317,17 @@ def repeats(docs: DataFrame) -> DataFrame:
     cut = write_and_read(cut, work_path(spark, "pieces_owned"))
     total = cut.agg(F.coalesce(F.sum(F.col("stop") - F.col("start")), F.lit(0))).first()[0]
 
-    def marked(raw: bytes, _) -> Iterator[tuple[int, np.ndarray]]:
-        for _, _, text in pieces_of(raw):
-            yield int.from_bytes(xxhash.xxh3_128_digest(text)[:8], "little", signed=True), marks(text)
-
-    shared = shared_tokens(docs, marked, max(8, int(total // (40 << 20)) + 1)).filter("repeated > 0")
-    wanted = cut.filter(F.col("owner").isNull() | (F.col("owner") == F.col("key"))).join(
-        shared.select(F.col("who").alias("d1")), "d1", "left_semi")
-    blocks = write_and_read(_blocks(docs, wanted.select("key", "start")), work_path(spark, "suffix_blocks"))
+    def marked(raw: bytes, _) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        places, hashes = marks(raw)
+        if len(places):
+            at, _, pairs = layout(raw)
+            yield pairs[np.searchsorted(at, places, "right") - 1].view(np.int64), hashes
+
+    shared = shared_tokens(docs, marked, max(8, int(total // (40 << 20)) + 1)).filter("repeated > 0").select("who")
+    owned = cut.filter(F.col("owner").isNull() | (F.col("owner") == F.col("key"))).select("key", "start", "pair", "next")
+    wanted = (owned.join(shared.withColumnRenamed("who", "pair"), "pair", "left_semi").select("key", "start")
+              .unionByName(owned.join(shared.withColumnRenamed("who", "next"), "next", "left_semi").select("key", "start")))
+    blocks = write_and_read(_blocks(docs, wanted), work_path(spark, "suffix_blocks"))
     size = blocks.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n_buckets = max(8, int(size * NAMED // BUCKET_BYTES) + 1)
     named = exchange(blocks, _sampled_strings, NAMED, "name", n_buckets, _name,
