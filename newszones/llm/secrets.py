@@ -34,7 +34,7 @@ from newszones.sources.storage import work_path, write_and_read
 TREES, DEPTH = 24, 6
 TRAIN_ROWS = 20_000
 DICTIONARY = 4_000
-LOCAL = 3
+LOCAL, BLOCK_DOCS = 3, 1000
 HASHED = 32
 _CANDIDATE = re.compile(rb"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{16,}={0,2}(?![A-Za-z0-9_+/-])")
 _WORD = re.compile(rb"[A-Za-z]+")
@@ -47,12 +47,13 @@ def dictionary(docs: DataFrame, text: str, size: int = DICTIONARY) -> list[bytes
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = Counter()
-            for raw in batch.column(0):
-                seen.update(set(_WORD.findall(raw.as_py().lower())))
-            rows = [(w, n) for w, n in seen.items() if n >= LOCAL and len(w) > 2]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in rows], pa.binary()), pa.array([n for _, n in rows], pa.int64())], names=["w", "n"])
+            for at in range(0, batch.num_rows, BLOCK_DOCS):
+                seen = Counter()
+                for raw in batch.column(0).slice(at, BLOCK_DOCS):
+                    seen.update(set(_WORD.findall(raw.as_py().lower())))
+                rows = [(w, n) for w, n in seen.items() if n >= LOCAL and len(w) > 2]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([w for w, _ in rows], pa.binary()), pa.array([n for _, n in rows], pa.int64())], names=["w", "n"])
 
     counted = docs.select(bytes_of(text).alias("raw")).mapInArrow(count, "w binary, n long")
     top = counted.groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(size)
@@ -105,7 +106,8 @@ def findings(docs: DataFrame, key: str, text: str, path: str, words: list[bytes]
         judge = Judge(shared.value)
         for batch in batches:
             rows = []
-            for key_, path_, raw in zip(*(c.to_pylist() for c in batch.columns)):
+            for key_, path_, raw in zip(*batch.columns):
+                key_, path_, raw = key_.as_py(), path_.as_py(), raw.as_py()
                 for m in _CANDIDATE.finditer(raw):
                     before = raw[max(0, m.start() - 40):m.start()].decode("utf-8", "ignore")
                     rows.append((key_, m.start(), len(m[0]), m[0].decode(), before, judge(raw, m.start(), m.end(), path_)))
