@@ -6,8 +6,8 @@ its dictionary coverage (share of its characters in frequent words of the corpus
 names where the text is from) and its neighbouring words (hashed, and whether something is assigned). Labelled findings
 train a forest of ``TREES`` trees; it removes false positives and leaves a probability.
 
-The dictionary holds at most ``DICTIONARY`` words, those of most documents; words are counted in all documents, and
-counts below ``LOCAL`` within one block of documents are not passed on. The forest is trained by Spark on at most
+The dictionary holds at most ``DICTIONARY`` words, those of most documents; every word of every document counts, so it does
+not depend on partitions. A task passes its counts on whenever it holds ``HELD_WORDS`` of them. The forest is trained by Spark on at most
 ``train_rows`` findings, chosen by a hash. Documents are only mapped; findings are few.
 
 Null and empty texts have no findings. Null paths have no parts. Repeated rows give repeated findings. Without labelled
@@ -34,7 +34,7 @@ from newszones.sources.storage import work_path, write_and_read
 TREES, DEPTH = 24, 6
 TRAIN_ROWS = 20_000
 DICTIONARY = 4_000
-LOCAL, BLOCK_DOCS = 3, 1000
+HELD_WORDS = 50_000
 HASHED = 32
 _CANDIDATE = re.compile(rb"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{16,}={0,2}(?![A-Za-z0-9_+/-])")
 _WORD = re.compile(rb"[A-Za-z]+")
@@ -46,14 +46,20 @@ def dictionary(docs: DataFrame, text: str, size: int = DICTIONARY) -> list[bytes
     """The words of three letters or more that most documents have."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Counter()
+
+        def passed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["w", "n"])
+
         for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK_DOCS):
-                seen = Counter()
-                for raw in batch.column(0).slice(at, BLOCK_DOCS):
-                    seen.update(set(_WORD.findall(raw.as_py().lower())))
-                rows = [(w, n) for w, n in seen.items() if n >= LOCAL and len(w) > 2]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([w for w, _ in rows], pa.binary()), pa.array([n for _, n in rows], pa.int64())], names=["w", "n"])
+            for raw in batch.column(0):
+                seen.update({w for w in _WORD.findall(raw.as_py().lower()) if len(w) > 2})
+                if len(seen) >= HELD_WORDS:
+                    yield passed()
+                    seen.clear()
+        if seen:
+            yield passed()
 
     counted = docs.select(bytes_of(text).alias("raw")).mapInArrow(count, "w binary, n long")
     top = counted.groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(size)

@@ -162,6 +162,20 @@ def test_secrets(spark, nothing):
     assert secrets.findings(nothing, "doc_id", "text", "source", []).count() == 0
 
 
+@pytest.mark.parametrize("held", [1, 7, 50_000])
+def test_secrets_dictionary_counts_all_documents(spark, monkeypatch, held):
+    """However the documents are dealt, and for words that few documents of a partition have."""
+    monkeypatch.setattr(secrets, "HELD_WORDS", held)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [f"Common to {'often ' * (i % 2)} and again common word{letters[i % 20]} rare{letters[i // 26]}{letters[i % 26]}" for i in range(60)]
+    counts = brute.Counter(w for t in texts for w in set(t.lower().encode().split()) if len(w) > 2)
+    want = sorted(counts, key=lambda w: (-counts[w], w))
+    docs = spark.createDataFrame([(t,) for t in [*texts, None, ""]], "text string")
+    for n in (1, 5, 62):
+        assert secrets.dictionary(docs.repartition(n), "text") == want
+    assert secrets.dictionary(docs.repartition(9), "text", 30) == want[:30]
+
+
 # --- token counts ---
 
 RANKS, SAME = public.path("byte_bpe_50k.tiktoken"), public.path("byte_bpe_50k.json")
