@@ -3,13 +3,14 @@
 A byte goes if a string of ``SPAN`` bytes that covers it also starts in a document with a smaller key. Texts are UTF-8
 bytes; matches never cross documents.
 
-1. *Pieces.* Texts are cut where a hash of the 16 bytes before is zero in some bits, so equal passages are cut alike. A piece
-   has the ``SPAN - 1`` bytes after it as well; every string of a text starts in one piece and lies in it. Of equal pieces the
+1. *Pieces.* Texts are cut where a hash of the 16 bytes before is zero in some bits and no such place is in the ``REACH``
+   bytes before, so equal passages are cut alike, and only the first and last piece of a text can be short. A piece has the ``SPAN - 1`` bytes after it as well; every string of a text starts in one piece and lies in it. Of equal pieces the
    one of the smallest key is sorted; the strings of the others start in a smaller document and go. Long runs of copies
    thus cost a digest each, however many there are.
-2. *Marks.* In each string the place with the smallest hash of 28 bytes is a mark, so equal strings have equal marks. A mark
-   belongs to the piece it lies in together with the piece before, one of which its strings start in. If all marks like it
-   belong to equal pairs of pieces, step 1 has done what there is to do. Pieces without other marks are finished.
+2. *Marks.* In each string the place with the smallest hash of 28 bytes is a mark, so equal strings have equal marks. The
+   strings of a mark start up to ``REACH`` bytes before it: in the piece it lies in, or else in that piece or the one before,
+   and the mark belongs to that piece or pair. If all marks like it belong to equal ones, step 1 has done what there is to
+   do. Pieces without other marks are finished.
 3. *Difference cover.* In the remaining pieces, positions 1 and 2 modulo 3 are sampled. Their strings of 27 bytes (triples of
    triples of triples) are sorted in buckets and named by rank. A string of ``SPAN`` bytes is then two names and at most two
    single bytes, and whatever the residues of two positions are, there is a shift of 0, 1 or 2 at which both have names:
@@ -44,6 +45,7 @@ from newszones.sources.storage import work_path, write_and_read
 SPAN = 50
 CUT, CUT_BITS, LONGEST_PIECE = 16, 7, 4096
 MARK = 28
+REACH = SPAN - MARK  # from the start of a string to its mark, at most
 NAMED = 27
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 4 << 20
@@ -51,12 +53,13 @@ _NO_KEY = (1 << 63) - 1  # a missing key, larger than all
 
 
 def cuts(raw: bytes) -> np.ndarray:
-    """Where pieces begin, with the end of the text at last."""
+    """Where pieces begin, with the end of the text at last. All but the first and last have more than ``REACH`` bytes."""
     h = byte_hashes(raw, CUT)
     at = np.flatnonzero((h >> np.uint64(64 - CUT_BITS)) == 0) + CUT
+    at = at[np.diff(at, prepend=-SPAN) > REACH]
     at = np.concatenate(([0], at[at < len(raw)], [len(raw)]))
     if np.diff(at).max(initial=0) > LONGEST_PIECE:
-        at = np.concatenate([np.arange(a, b, LONGEST_PIECE) for a, b in zip(at[:-1], at[1:])] + [[len(raw)]])
+        at = np.concatenate([np.arange(a, max(a + 1, b - REACH), LONGEST_PIECE) for a, b in zip(at[:-1], at[1:])] + [[len(raw)]])
     return at
 
 
@@ -88,14 +91,26 @@ def marks(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def layout(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Cuts, and for each piece a hash of it and one of it with the piece before."""
+    """Cuts, and for each piece its digest (two words) and a hash of it with the piece before."""
     at = cuts(raw)
-    own = np.array([xxhash.xxh3_64_intdigest(raw[a:b + SPAN - 1]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())], np.uint64)
+    own = b"".join(xxhash.xxh3_128_digest(raw[a:b + SPAN - 1]) for a, b in zip(at[:-1].tolist(), at[1:].tolist()))
+    own = np.frombuffer(own, "<u8").reshape(-1, 2)
     with np.errstate(over="ignore"):
-        pairs = mixed(own ^ mixed(np.concatenate((np.zeros(1, np.uint64), own[:-1])) + np.uint64(1)))
+        pairs = mixed(own[:, 0] ^ mixed(np.concatenate((np.zeros(1, np.uint64), own[:-1, 0])) + np.uint64(1)))
     return at, own, pairs
 
 
+def mark_owners(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The marks of a text: for each what its strings start in, a piece (first word of its digest) or a pair; and its hash."""
+    places, hashes = marks(raw)
+    if not len(places):
+        return np.empty(0, np.int64), hashes
+    at, own, pairs = layout(raw)
+    piece = np.searchsorted(at, places, "right") - 1
+    crossing = np.maximum(places - REACH, 0) < at[piece]
+    return np.where(crossing, pairs[piece], own[piece, 0]).view(np.int64), hashes
+
+
 def pieces(docs: DataFrame) -> DataFrame:
     """``key, start, stop, d1, d2, pair, next`` of all pieces; ``stop`` is the end of the strings in it."""
 
@@ -104,11 +119,10 @@ def pieces(docs: DataFrame) -> DataFrame:
             rows = []
             for key, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
                 raw = raw.as_py()
-                at, _, pairs = layout(raw)
-                pairs = np.append(pairs, np.uint64(0)).view(np.int64)
+                at, own, pairs = layout(raw)
+                own, pairs = own.view(np.int64), np.append(pairs, np.uint64(0)).view(np.int64)
                 for k, (start, _, text) in enumerate(pieces_of(raw, at)):
-                    d = np.frombuffer(xxhash.xxh3_128_digest(text), "<i8")
-                    rows.append((key, start, start + len(text), d[0], d[1], pairs[k], pairs[k + 1]))
+                    rows.append((key, start, start + len(text), *own[k], pairs[k], pairs[k + 1]))
             columns = np.array(rows, np.int64).reshape(-1, 7)
             yield pa.RecordBatch.from_arrays([pa.array(columns[:, i]) for i in range(7)],
                                              names=["key", "start", "stop", "d1", "d2", "pair", "next"])
@@ -318,15 +332,12 @@ def repeats(docs: DataFrame) -> DataFrame:
     total = cut.agg(F.coalesce(F.sum(F.col("stop") - F.col("start")), F.lit(0))).first()[0]
 
     def marked(raw: bytes, _) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        places, hashes = marks(raw)
-        if len(places):
-            at, _, pairs = layout(raw)
-            yield pairs[np.searchsorted(at, places, "right") - 1].view(np.int64), hashes
+        yield mark_owners(raw)
 
     shared = shared_tokens(docs, marked, max(8, int(total // (40 << 20)) + 1)).filter("repeated > 0").select("who")
-    owned = cut.filter(F.col("owner").isNull() | (F.col("owner") == F.col("key"))).select("key", "start", "pair", "next")
-    wanted = (owned.join(shared.withColumnRenamed("who", "pair"), "pair", "left_semi").select("key", "start")
-              .unionByName(owned.join(shared.withColumnRenamed("who", "next"), "next", "left_semi").select("key", "start")))
+    owned = cut.filter(F.col("owner").isNull() | (F.col("owner") == F.col("key")))
+    of = F.explode(F.array("d1", "pair", "next")).alias("who")
+    wanted = owned.select("key", "start", of).join(shared, "who", "left_semi").select("key", "start")
     blocks = write_and_read(_blocks(docs, wanted), work_path(spark, "suffix_blocks"))
     size = blocks.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n_buckets = max(8, int(size * NAMED // BUCKET_BYTES) + 1)

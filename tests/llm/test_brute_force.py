@@ -1,6 +1,7 @@
 """Operators against plain versions, on odd rows and on the smallest tables."""
 
 import brute
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -67,6 +68,35 @@ def test_suffix_dedup_table(spark, table):
     assert collected(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.bag(brute.suffix_dedup(table))
 
 
+def test_suffix_dedup_left_borders(spark):
+    """Passages of little over 50 bytes that start at any distance from the cuts, also where cuts lie close together."""
+    rng = np.random.default_rng(5)
+    random_text = lambda n: bytes(rng.integers(97, 123, n, np.uint8)).decode()
+    first, rows = random_text(200_000), []
+    rows.append((1, first))
+    for i in range(2, 22):
+        parts = []
+        for at, n, gap in zip(rng.integers(0, 199_900, 250), rng.integers(50, 90, 250), rng.integers(20, 60, 250)):
+            parts += [random_text(gap), first[at:at + n]]
+        rows.append((i, "".join(parts)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = suffix_dedup.remove_repeats(docs).select("key", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    assert collected(got, "*") == brute.bag(brute.suffix_dedup(rows))
+
+
+@pytest.mark.parametrize("text", ["random", *"abcdefghijklmnopqrstuvwxyz"])
+def test_suffix_dedup_strings_start_in_marked_pieces(text):
+    """Every string starts in the piece of its mark or in the one before, as far as a mark belongs to both."""
+    rng = np.random.default_rng(3)
+    raw = (bytes(rng.integers(0, 256, 100_000, np.uint8)) if text == "random" else
+           bytes(rng.integers(97, 123, 40, np.uint8)) + text.encode() * 9000 + bytes(rng.integers(97, 123, 4000, np.uint8)))
+    at = suffix_dedup.cuts(raw)
+    assert at[0] == 0 and at[-1] == len(raw) and (np.diff(at) > 0).all()
+    places, _ = suffix_dedup.marks(raw)
+    piece = lambda x: np.searchsorted(at, x, "right") - 1
+    assert (piece(places) - piece(np.maximum(places - (suffix_dedup.SPAN - suffix_dedup.MARK), 0)) <= 1).all()
+
+
 def test_decontaminate(spark, docs, rows):
     items = [(1, "w0 w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 W12 w13"), (2, "one, TWO!"), (3, None), (4, ""), (5, "漢字漢字"),
              (6, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"), (6, "one two"), (10, "one two")]
