@@ -1,4 +1,4 @@
-"""Removal of repeated passages with a distributed difference-cover suffix sort.
+"""Removal of repeated passages: strings grouped by equality through names of a difference-cover sample.
 
 A byte goes if a string of ``SPAN`` bytes that covers it also starts in a document with a smaller key. Texts are UTF-8
 bytes; matches never cross documents.
@@ -12,16 +12,18 @@ bytes; matches never cross documents.
    and the mark belongs to that piece or pair. If all marks like it belong to equal ones, step 1 has done what there is to
    do. Pieces without other marks are finished.
 3. *Difference cover.* In the remaining pieces, positions 1 and 2 modulo 3 are sampled. Their strings of 27 bytes (triples of
-   triples of triples) are sorted in buckets and named by rank. A string of ``SPAN`` bytes is then two names and at most two
+   triples of triples) meet in buckets by their hash; a name is a bucket and a rank in it, so it is equal for equal strings
+   and for no others, but gives no order over buckets. A string of ``SPAN`` bytes is then two names and at most two
    single bytes, and whatever the residues of two positions are, there is a shift of 0, 1 or 2 at which both have names:
    so every position has two of the three kinds of merge keys, and any two positions one kind in common.
-4. *Adjacent prefixes.* The merge keys are sorted in buckets, too, and equal neighbours give the smallest document that has
-   the string. What a document has from a smaller one is joined to runs and cut out.
+4. *Equal strings.* The merge keys (kind, two names and two bytes, compared whole) meet in buckets, too, and equal
+   neighbours give the smallest document that has the string. That takes the place of a suffix order: nothing recurses on
+   names, and suffixes are not merged, as only the equality of strings of ``SPAN`` bytes is asked for. What a document has
+   from a smaller one is joined to runs and cut out.
 
 Work is in packed arrays: blocks of at most ``BLOCK_BYTES`` bytes send each distinct string to its bucket once, and get its
-name or smallest document back. No bucket, block or group grows with the number of copies. Buckets are dealt by hash, so
-neighbours in a bucket are what a global order would have as neighbours among equals. Names compare exactly; marks, digests
-and merge keys are hashes of 64 bits or more.
+name or smallest document back. No bucket, block or group grows with the number of copies. Names and merge keys compare
+exactly; marks and the digests of pieces are hashes of 64 bits or more.
 
 Null and empty texts keep nothing and lose nothing. Rows without key are smaller than all others for nobody: they lose what
 any other row has, and nobody loses to them. Rows with equal keys do not lose to each other. Texts of any length are cut as
@@ -47,6 +49,7 @@ CUT, CUT_BITS, LONGEST_PIECE = 16, 7, 4096
 MARK = 28
 REACH = SPAN - MARK  # from the start of a string to its mark, at most
 NAMED = 27
+MERGE_KEY = 19  # two names, two bytes and the kind
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 4 << 20
 _NO_KEY = (1 << 63) - 1  # a missing key, larger than all
@@ -132,21 +135,28 @@ def pieces(docs: DataFrame) -> DataFrame:
 
 def _sorted_columns(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of fixed-width byte rows, and which rows of that order differ from the one before."""
-    n, width = keys.shape
-    wide = np.zeros((n, -(-width // 8) * 8), np.uint8)
-    wide[:, :width] = keys
-    columns = wide.view(">u8").astype(np.uint64)
-    order = np.lexsort(columns.T[::-1])
-    columns = columns[order]
-    return order, np.concatenate((np.ones(min(n, 1), bool), (columns[1:] != columns[:-1]).any(axis=1)))
+    columns = list(_columns(keys, ">u8"))
+    order = np.lexsort(columns[::-1])
+    new = np.zeros(len(keys), bool)
+    new[:1] = True
+    for column in columns:
+        column = column[order]
+        new[1:] |= column[1:] != column[:-1]
+    return order, new
+
+
+def _columns(keys: np.ndarray, kind: str) -> Iterator[np.ndarray]:
+    """Fixed-width byte rows as numbers of eight bytes, filled up with zeros."""
+    for at in range(0, keys.shape[1], 8):
+        part = keys[:, at:at + 8]
+        wide = np.zeros((len(keys), 8), np.uint8)
+        wide[:, :part.shape[1]] = part
+        yield wide.view(kind)[:, 0].astype(np.uint64)
 
 
 def _buckets(keys: np.ndarray, n_buckets: int) -> np.ndarray:
-    n, width = keys.shape
-    h = np.zeros(n, np.uint64)
-    wide = np.zeros((n, -(-width // 8) * 8), np.uint8)
-    wide[:, :width] = keys
-    for column in wide.view("<u8").T:
+    h = np.zeros(len(keys), np.uint64)
+    for column in _columns(keys, "<u8"):
         h = mixed(h ^ column)
     return (h % np.uint64(n_buckets)).astype(np.int64)
 
@@ -244,9 +254,9 @@ def _sampled_strings(row) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _merge_keys(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Two keys for every position that starts a string: hashes, documents, positions.
+    """Two keys for every position that starts a string: rows of ``MERGE_KEY`` bytes, documents, positions.
 
-    With names at ``i + d`` and ``i + d + 23 - (2 - d)``, the string is ``d`` bytes, two overlapping names and ``2 - d`` bytes.
+    With names at ``i + d`` and ``i + d + 21``, the string is ``d`` bytes, two overlapping names and ``2 - d`` bytes.
     """
     text, place, left, piece = _positions(row)
     names = np.zeros(len(text), np.uint64)
@@ -256,11 +266,13 @@ def _merge_keys(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts = np.flatnonzero(left >= SPAN)
     for d in range(3):
         i = starts[(place[starts] + d) % 3 != 0]
-        h = mixed(names[i + d] + np.uint64(d + 1))
-        h = mixed(h ^ names[i + d + 21])
-        for k in [*range(d), *range(d + 48, SPAN)]:
-            h = mixed(h ^ text[i + k].astype(np.uint64))
-        keys.append(h)
+        key = np.empty((len(i), MERGE_KEY), np.uint8)
+        key[:, :8] = names[i + d].astype(">u8").view(np.uint8).reshape(-1, 8)
+        key[:, 8:16] = names[i + d + 21].astype(">u8").view(np.uint8).reshape(-1, 8)
+        for n, k in enumerate([*range(d), *range(d + 48, SPAN)]):
+            key[:, 16 + n] = text[i + k]
+        key[:, 18] = d
+        keys.append(key)
         who.append(docs[piece[i]])
         where.append(i)
     return np.concatenate(keys), np.concatenate(who), np.concatenate(where)
@@ -272,7 +284,7 @@ def _name(row, answers: np.ndarray) -> list[tuple]:
 
 def _final_keys(row) -> tuple[np.ndarray, np.ndarray]:
     keys, who, _ = _merge_keys(row)
-    return keys.view(np.uint8).reshape(-1, 8), who
+    return keys, who
 
 
 def _covered(row, answers: np.ndarray) -> list[tuple]:
@@ -344,7 +356,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     named = exchange(blocks, _sampled_strings, NAMED, "name", n_buckets, _name,
                      "block string, docs binary, starts binary, lengths binary, text binary, names binary")
     named = write_and_read(named, work_path(spark, "suffix_names"))
-    found = exchange(named, _final_keys, 8, "least", n_buckets, _covered, "key long, start long, stop long")
+    found = exchange(named, _final_keys, MERGE_KEY, "least", n_buckets, _covered, "key long, start long, stop long")
     copies = cut.filter("owner < key").select("key", "start", "stop")
     return found.unionByName(copies)
 

@@ -1,5 +1,7 @@
 """Operators against plain versions, on odd rows and on the smallest tables."""
 
+from types import SimpleNamespace
+
 import brute
 import numpy as np
 import public_tokenizers
@@ -97,6 +99,25 @@ def test_suffix_dedup_strings_start_in_marked_pieces(text):
     assert (piece(places) - piece(np.maximum(places - (suffix_dedup.SPAN - suffix_dedup.MARK), 0)) <= 1).all()
 
 
+def test_suffix_dedup_compares_whole_strings(monkeypatch):
+    """Keys of different strings differ, also if all hashes are equal."""
+    rng = np.random.default_rng(8)
+    text = np.frombuffer(bytes(rng.integers(97, 100, 400, np.uint8)), np.uint8)
+    other = text.copy()
+    other[::40] ^= 1
+    row = SimpleNamespace(text=text.tobytes() + other.tobytes(), lengths=np.array([400, 400]).tobytes(),
+                          docs=np.array([1, 2]).tobytes())
+    strings, _ = suffix_dedup._sampled_strings(row)
+    row.names = np.unique(strings, axis=0, return_inverse=True)[1].astype(np.int64).tobytes()
+    monkeypatch.setattr(suffix_dedup, "mixed", lambda x: x & np.uint64(0))
+    keys, _ = suffix_dedup._final_keys(row)
+    _, _, where = suffix_dedup._merge_keys(row)
+    found = {}
+    for key, at in zip(map(bytes, keys), where):
+        found.setdefault(key, set()).add(row.text[at:at + suffix_dedup.SPAN])
+    assert len(found) > 400 and all(len(x) == 1 for x in found.values())
+
+
 def test_decontaminate(spark, docs, rows):
     items = [(1, "w0 w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 W12 w13"), (2, "one, TWO!"), (3, None), (4, ""), (5, "漢字漢字"),
              (6, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"), (6, "one two"), (10, "one two")]
