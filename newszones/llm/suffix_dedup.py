@@ -26,8 +26,8 @@ name or smallest document back. No bucket, block or group grows with the number
 exactly; marks and the digests of pieces are hashes of 64 bits or more.
 
 Null and empty texts keep nothing and lose nothing. Rows without key are smaller than all others for nobody: they lose what
-any other row has, and nobody loses to them. Rows with equal keys do not lose to each other. Texts of any length are cut as
-a whole. An empty table gives no rows. Other columns are not looked at.
+any other row has, and nobody loses to them. Rows with equal keys do not lose to each other; they are told apart by a digest
+of their texts, so each loses its own runs. Texts of any length are cut as a whole. An empty table gives no rows. Other columns are not looked at.
 """
 
 import uuid
@@ -115,22 +115,22 @@ def mark_owners(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pieces(docs: DataFrame) -> DataFrame:
-    """``key, start, stop, d1, d2, pair, next`` of all pieces; ``stop`` is the end of the strings in it."""
+    """``key, row, start, stop, d1, d2, pair, next`` of all pieces; ``stop`` is the end of the strings in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for key, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for key, row, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 raw = raw.as_py()
                 at, own, pairs = layout(raw)
                 own, pairs = own.view(np.int64), np.append(pairs, np.uint64(0)).view(np.int64)
                 for k, (start, _, text) in enumerate(pieces_of(raw, at)):
-                    rows.append((key, start, start + len(text), *own[k], pairs[k], pairs[k + 1]))
-            columns = np.array(rows, np.int64).reshape(-1, 7)
-            yield pa.RecordBatch.from_arrays([pa.array(columns[:, i]) for i in range(7)],
-                                             names=["key", "start", "stop", "d1", "d2", "pair", "next"])
+                    rows.append((key, row, start, start + len(text), *own[k], pairs[k], pairs[k + 1]))
+            columns = np.array(rows, np.int64).reshape(-1, 8)
+            yield pa.RecordBatch.from_arrays([pa.array(columns[:, i]) for i in range(8)],
+                                             names=["key", "row", "start", "stop", "d1", "d2", "pair", "next"])
 
-    return docs.mapInArrow(run, "key long, start long, stop long, d1 long, d2 long, pair long, next long")
+    return docs.select("key", "row", "raw").mapInArrow(run, "key long, row long, start long, stop long, d1 long, d2 long, pair long, next long")
 
 
 def _sorted_columns(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -279,7 +279,7 @@ def _merge_keys(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _name(row, answers: np.ndarray) -> list[tuple]:
-    return [(row.block, row.docs, row.starts, row.lengths, row.text, answers.tobytes())]
+    return [(row.block, row.docs, row.rows, row.starts, row.lengths, row.text, answers.tobytes())]
 
 
 def _final_keys(row) -> tuple[np.ndarray, np.ndarray]:
@@ -288,9 +288,9 @@ def _final_keys(row) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _covered(row, answers: np.ndarray) -> list[tuple]:
-    """Runs of bytes that smaller documents have: ``key, start, stop``."""
+    """Runs of bytes that smaller documents have: ``key, row, start, stop``."""
     _, who, where = _merge_keys(row)
-    starts, docs = np.frombuffer(row.starts, np.int64), np.frombuffer(row.docs, np.int64)
+    starts, docs, rows = (np.frombuffer(x, np.int64) for x in (row.starts, row.docs, row.rows))
     _, place, _, piece = _positions(row)
     at = np.unique(where[answers < who])
     if not len(at):
@@ -298,28 +298,28 @@ def _covered(row, answers: np.ndarray) -> list[tuple]:
     run = np.flatnonzero(np.concatenate(([True], (np.diff(at) > SPAN) | (piece[at[1:]] != piece[at[:-1]]))))
     ends = np.append(run[1:], len(at)) - 1
     p = piece[at[run]]
-    return list(zip(docs[p].tolist(), (starts[p] + place[at[run]]).tolist(), (starts[p] + place[at[ends]] + SPAN).tolist()))
+    return list(zip(docs[p].tolist(), rows[p].tolist(), (starts[p] + place[at[run]]).tolist(), (starts[p] + place[at[ends]] + SPAN).tolist()))
 
 
 def _blocks(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Packed blocks of the wanted pieces (``key, starts``)."""
+    """Packed blocks of the wanted pieces (``key, row, start``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def pack() -> pa.RecordBatch:
             i64 = lambda x: np.array(x, np.int64).tobytes()
-            row = [uuid.uuid4().hex, i64([k for k, _, _ in held]), i64([s for _, s, _ in held]),
-                   i64([len(t) for _, _, t in held]), b"".join(t for _, _, t in held)]
+            row = [uuid.uuid4().hex, *(i64(x) for x in list(zip(*held))[:3]),
+                   i64([len(t) for *_, t in held]), b"".join(t for *_, t in held)]
             return pa.RecordBatch.from_arrays(
-                [pa.array([x]) for x in row], names=["block", "docs", "starts", "lengths", "text"])
+                [pa.array([x]) for x in row], names=["block", "docs", "rows", "starts", "lengths", "text"])
 
         for batch in batches:
-            for key, raw, starts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            for key, row, raw, starts in zip(*(c.to_pylist() for c in batch.columns[:2]), *batch.columns[2:]):
                 own = set(starts.as_py())
                 for start, _, text in pieces_of(raw.as_py()):
                     if start in own:
-                        held.append((key, start, text))
+                        held.append((key, row, start, text))
                         size += len(text)
                         if size >= BLOCK_BYTES:
                             yield pack()
@@ -327,13 +327,13 @@ def _blocks(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         if held:
             yield pack()
 
-    rows = docs.join(wanted.groupBy("key").agg(F.collect_set("start").alias("starts")), "key")
-    return rows.select("key", "raw", "starts").mapInArrow(
-        run, "block string, docs binary, starts binary, lengths binary, text binary")
+    found = docs.join(wanted.groupBy("key", "row").agg(F.collect_set("start").alias("starts")), ["key", "row"])
+    return found.select("key", "row", "raw", "starts").mapInArrow(
+        run, "block string, docs binary, rows binary, starts binary, lengths binary, text binary")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """``key, start, stop``: all runs of bytes that documents with smaller keys have, in any order, also overlapping."""
+    """``key, row, start, stop``: all runs of bytes that documents with smaller keys have, in any order, also overlapping."""
     from newszones.llm.shared_tokens import shared_tokens
 
     spark = docs.sparkSession
@@ -349,31 +349,32 @@ def repeats(docs: DataFrame) -> DataFrame:
     shared = shared_tokens(docs, marked, max(8, int(total // (40 << 20)) + 1)).filter("repeated > 0").select("who")
     owned = cut.filter(F.col("owner").isNull() | (F.col("owner") == F.col("key")))
     of = F.explode(F.array("d1", "pair", "next")).alias("who")
-    wanted = owned.select("key", "start", of).join(shared, "who", "left_semi").select("key", "start")
+    wanted = owned.select("key", "row", "start", of).join(shared, "who", "left_semi").select("key", "row", "start")
     blocks = write_and_read(_blocks(docs, wanted), work_path(spark, "suffix_blocks"))
     size = blocks.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n_buckets = max(8, int(size * NAMED // BUCKET_BYTES) + 1)
     named = exchange(blocks, _sampled_strings, NAMED, "name", n_buckets, _name,
-                     "block string, docs binary, starts binary, lengths binary, text binary, names binary")
+                     "block string, docs binary, rows binary, starts binary, lengths binary, text binary, names binary")
     named = write_and_read(named, work_path(spark, "suffix_names"))
-    found = exchange(named, _final_keys, MERGE_KEY, "least", n_buckets, _covered, "key long, start long, stop long")
-    copies = cut.filter("owner < key").select("key", "start", "stop")
+    found = exchange(named, _final_keys, MERGE_KEY, "least", n_buckets, _covered, "key long, row long, start long, stop long")
+    copies = cut.filter("owner < key").select("key", "row", "start", "stop")
     return found.unionByName(copies)
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, kept, n_bytes, n_removed, n_spans`` of every row; ``kept`` is the rest of the text as bytes."""
     spark = docs.sparkSession
-    own = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_NO_KEY)).alias("key"), bytes_of(text).alias("raw"))
+    own = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_NO_KEY)).alias("key"),
+                      F.xxhash64(bytes_of(text)).alias("row"), bytes_of(text).alias("raw"))
     gone = write_and_read(repeats(own), work_path(spark, "suffix_repeats"))
-    lists = gone.groupBy("key").agg(F.collect_set(F.struct("start", "stop")).alias("gone"))
+    lists = gone.groupBy("key", "row").agg(F.collect_set(F.struct("start", "stop")).alias("gone"))
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for key_, raw, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 raw, at, kept, removed, n = raw.as_py(), 0, [], 0, 0
-                spans = sorted((s["start"], s["stop"]) for s in spans.as_py() or [] if s["stop"] <= len(raw))
+                spans = sorted((s["start"], s["stop"]) for s in spans.as_py() or [])
                 end = -1
                 for a, b in spans:
                     if a > end:
@@ -390,7 +391,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                 [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, types)],
                 names=["key", "kept", "n_bytes", "n_removed", "n_spans"])
 
-    return own.join(lists, "key", "left").select("key", "raw", "gone").mapInArrow(
+    return own.join(lists, ["key", "row"], "left").select("key", "raw", "gone").mapInArrow(
         cut_out, "key long, kept binary, n_bytes long, n_removed long, n_spans long")
 
 

@@ -190,6 +190,16 @@ def test_null_keys(spark):
     assert collected(kept, "key", "keep", "rows") == brute.bag([(None, 1, 2), (1, 1, 2), (None, 2, 2), (2, 2, 2)])
 
 
+def test_suffix_dedup_rows_of_one_key(spark):
+    """Rows without key, or with one key, of equal length and different texts: each loses its own runs only."""
+    words = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    rows = [(1, words), (None, words[:60] + "A" * 40), (None, "B" * 40 + words[-60:]), (None, "".join(map(chr, range(200, 250)))),
+            (5, "C" * 20 + words[5:75] + "D" * 10), (5, "".join(map(chr, range(33, 122))) + "E" * 11), (5, "F" * 100), (5, "F" * 100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffix_dedup.remove_repeats(docs).select("key", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    assert collected(got, "*") == brute.bag(brute.suffix_dedup(rows))
+
+
 def test_empty_tables(nothing):
     assert exact_dedup.dedup(nothing, F.col("key") <= 1).count() == 0
     assert jaccard.near_duplicates(nothing).count() == 0
