@@ -1,6 +1,8 @@
 """Secret scans: candidate strings, judged by a random forest that is trained from labelled findings.
 
-Candidates are runs of 16 or more letters, digits and signs of keys and tokens. A finding has features of the string (length,
+Candidates are runs of 16 or more letters, digits and signs of keys and tokens, with what is joined to them by dots; and what
+is assigned to a telling name, of any length and signs, up to the next blank or the closing quote (without quotes, a last
+full stop, comma or semicolon is the sentence's). Of candidates that lie in each other the longest stays. A finding has features of the string (length,
 transitions between kinds of characters, variety, share of digits and capitals, how likely its letter pairs are in words),
 its dictionary coverage (share of its characters in frequent words of the corpus), its path (hashed parts of a column that
 names where the text is from) and its neighbouring words (hashed, and whether something is assigned). Labelled findings
@@ -37,6 +39,11 @@ DICTIONARY = 4_000
 HELD_WORDS = 50_000
 HASHED = 32
 _CANDIDATE = re.compile(rb"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{16,}={0,2}(?![A-Za-z0-9_+/-])")
+_DOTTED = re.compile(rb"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]++(?:\.[A-Za-z0-9_+/-]++)+={0,2}")
+_LONG = re.compile(rb"[A-Za-z0-9_+/-]{16}")
+#: Names that secrets are assigned to.
+_NAMES = r"(?i)(?:password|passwd|pwd|token|secret|api_?key)[\"']?\s*[=:]\s*"
+_VALUE = re.compile(_NAMES.encode() + rb"(?:\"([^\"\s]+)|'([^'\s]+)|([^\s\"']\S*))")
 _WORD = re.compile(rb"[A-Za-z]+")
 _KINDS = np.full(256, 3, np.int64)
 _KINDS[list(range(97, 123))], _KINDS[list(range(65, 91))], _KINDS[list(range(48, 58))] = 0, 1, 2
@@ -66,6 +73,24 @@ def dictionary(docs: DataFrame, text: str, size: int = DICTIONARY) -> list[bytes
     return [bytes(r.w) for r in top.collect()]
 
 
+def candidates(raw: bytes) -> list[tuple[int, int]]:
+    """Start and end of every candidate, in order."""
+    spans = {m.span() for m in _CANDIDATE.finditer(raw)}
+    spans.update(m.span() for m in _DOTTED.finditer(raw) if _LONG.search(m[0]))
+    for m in _VALUE.finditer(raw):
+        start, end = m.span(m.lastindex)
+        if m.lastindex == 3:
+            end = start + len(m[3].rstrip(b".,;"))
+        if start < end:
+            spans.add((start, end))
+    out, last = [], -1
+    for start, end in sorted(spans, key=lambda x: (x[0], -x[1])):
+        if end > last:
+            out.append((start, end))
+            last = end
+    return out
+
+
 class Judge:
     """Features of one finding."""
 
@@ -114,9 +139,10 @@ def findings(docs: DataFrame, key: str, text: str, path: str, words: list[bytes]
             rows = []
             for key_, path_, raw in zip(*batch.columns):
                 key_, path_, raw = key_.as_py(), path_.as_py(), raw.as_py()
-                for m in _CANDIDATE.finditer(raw):
-                    before = raw[max(0, m.start() - 40):m.start()].decode("utf-8", "ignore")
-                    rows.append((key_, m.start(), len(m[0]), m[0].decode(), before, judge(raw, m.start(), m.end(), path_)))
+                for start, end in candidates(raw):
+                    before = raw[max(0, start - 40):start].decode("utf-8", "ignore")
+                    own = raw[start:end].decode("utf-8", "replace")
+                    rows.append((key_, start, end - start, own, before, judge(raw, start, end, path_)))
             columns = zip(*rows) if rows else [[]] * 6
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.float64())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
@@ -141,15 +167,24 @@ def judged(found: DataFrame, labelled: DataFrame, train_rows: int = TRAIN_ROWS)
     return scored.withColumn("p_secret", vector_to_array("p_")[1]).drop("vector", "p_", "r_", "y_")
 
 
-#: Names that secrets are assigned to, and a key format that is told by its first letters.
-ASSIGNED = r"(?i)(password|passwd|pwd|token|secret|api_?key)\s*[=:]\s*[\"']?$"
+#: What stands before an assigned value, and a key format that is told by its first letters.
+ASSIGNED = _NAMES + r"[\"']?$"
 KEY_FORMAT = r"^AKIA[A-Z0-9]{16}$"
+#: Share of a string in frequent words from which it is words.
+WORDS = 0.9
+#: Small letters, perhaps with a first capital, and such joined by signs; or numbers: hardly ever a key of 16 or more.
+WORD_LIKE = r"^([A-Z]?[a-z]+([-_/+][A-Z]?[a-z]+)*|[0-9_/+-]+)$"
 
 
 def known_format(found: DataFrame) -> DataFrame:
-    """Labels by format, as the tables have none for findings: keys of a known format and assigned values are real."""
-    real = F.col("before").rlike(ASSIGNED) | F.col("secret").rlike(KEY_FORMAT)
-    return found.withColumn("label", real.cast("int"))
+    """Labels by format, as the tables have none for findings: keys of a known format and assigned values are real; strings
+    that look like words or numbers, or are made of frequent words, and are assigned to nothing, are not. All others, as
+    keys of other formats or words after ``password:``, have none."""
+    words = F.col("features")[5] >= WORDS
+    assigned = F.col("before").rlike(ASSIGNED)
+    label = F.when(F.col("secret").rlike(KEY_FORMAT) | (assigned & ~words), 1).when(
+        (words | F.col("secret").rlike(WORD_LIKE)) & ~assigned, 0)
+    return found.withColumn("label", label.cast("int"))
 
 
 def op1_secret_scan(spark, sf_dir: str) -> DataFrame:
