@@ -2,11 +2,14 @@
 
 from newszones.llm.decontaminate import op10_decontaminate
 from newszones.llm.exact_dedup import OP9_SQL, op9_exact_dedup
+from newszones.llm.fertility import op12_quality_rules
 from newszones.llm.grades import op4_quality
 from newszones.llm.html_text import op6_html_text
 from newszones.llm.jaccard import op7_jaccard_join
+from newszones.llm.manifest import OP11_SQL, op11_merkle_manifest
 from newszones.llm.mixing import OP2_SQL, op2_mix_sources
 from newszones.llm.secrets import op1_secret_scan
+from newszones.llm.source_audit import OP13_SQL, op13_source_audit
 from newszones.llm.suffix_dedup import op5_suffix_dedup
 from newszones.llm.token_counts import op8_token_counts
 from newszones.llm.token_files import op3_token_files
@@ -22,5 +25,8 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_source_audit": op13_source_audit,
 }
-ORACLE = {"op2_mix_sources": OP2_SQL, "op9_exact_dedup": OP9_SQL}
+ORACLE = {"op2_mix_sources": OP2_SQL, "op9_exact_dedup": OP9_SQL, "op11_merkle_manifest": OP11_SQL, "op13_source_audit": OP13_SQL}
