@@ -83,12 +83,11 @@ def token_numbers(words: list[bytes], path: str) -> tuple[int, int, int]:
 def measure_text(raw: bytes, path: str) -> tuple[int, ...]:
     """The numbers of one text, in the order of ``COUNTS``; texts without enough words are not encoded."""
     words = raw.split()
-    chars = sum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80) if len(raw) < 64 else int(
-        np.count_nonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80))
+    chars = int(np.count_nonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80))
     spaces = len(raw) - len(raw.translate(None, SPACES.encode()))
     lines = [x for x in raw.split(b"\n") if x.strip()]
     tokens = token_numbers(words, path) if len(words) >= MIN_WORDS else (0, 0, 0)
-    return (len(words), int(chars) - spaces, len(raw) - len(raw.translate(None, SYMBOLS)), len(lines) - len(set(lines)),
+    return (len(words), chars - spaces, len(raw) - len(raw.translate(None, SYMBOLS)), len(lines) - len(set(lines)),
             repeated_words(words), *tokens)
 
 

@@ -191,10 +191,10 @@ def manifest(docs: DataFrame) -> DataFrame:
     stored = write_and_read(nodes.filter(~is_leaf).withColumn("copy", F.explode(
         F.sequence(F.lit(0).cast("long"), _copies(F.col("leaves")) - 1))), work_path(spark, "manifest_nodes"))
     climbed = _unlimited(spark, _CLIMB, {"leaves": nodes.filter(is_leaf), "nodes": stored})
+    whole = F.lit(None if root is None else root["top"].hex()).cast("string")
     return climbed.select(
-        "doc_id", "leaf", "subroot", F.lit(None if root is None else root["top"].hex()).alias("root"),
-        F.sha2(_hex(F.col("proof")).cast("binary"), 256).alias("proof_sha256"), "folded_root",
-        (F.col("folded_root") == F.lit(None if root is None else root["top"].hex())).alias("verified"))
+        "doc_id", "leaf", "subroot", whole.alias("root"), F.sha2(_hex(F.col("proof")).cast("binary"), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == whole).alias("verified"))
 
 
 def _unlimited(spark, query: str, tables: dict[str, DataFrame]) -> DataFrame:
