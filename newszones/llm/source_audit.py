@@ -30,9 +30,9 @@ from newszones.sources.storage import work_path, write_and_read
 MIN_DOCS = 3
 TOP_TERMS = 200
 BILLION = 1_000_000_000
-#: Terms that a task holds before it passes them on, and sources of one language whose pairs it adds up at once.
-LOT_TERMS = 400_000
-LOT_SOURCES = 512
+#: Terms that a task holds before it passes them on, and pairs of sources that it looks at together.
+LOT_TERMS = 1_000_000
+LOT_PAIRS = 1 << 20
 #: Bytes to bytes: A-Z to a-z, a-z and what is beyond ASCII unchanged, the rest to spaces.
 TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -91,7 +91,8 @@ def kept_terms(texts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``lang, term, places``: terms in at least ``min_docs`` documents, with ``source, n`` of the sources that have them."""
     seen = texts.select("lang", F.col("text").cast("binary").alias("text"), "places").mapInArrow(
         _term_lots, "lang string, term string, source string, n long")
-    sums = seen.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
+    # Tasks have added up their own; dealt by term, the sums per source and those per term need one shuffle.
+    sums = seen.repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
     place = F.when(F.col("source").isNotNull(), F.struct("source", "n"))
     return (sums.groupBy("lang", "term").agg(
                 F.max(F.when(F.col("source").isNull(), F.col("n"))).alias("docs"), F.collect_list(place).alias("places"))
@@ -101,7 +102,9 @@ def kept_terms(texts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 def share(count: Column, total: Column) -> Column:
     """``1 + floor(10^9 (count + 1) / total)``, exact for counts of any size."""
     whole = (count.cast("decimal(20,0)") + F.lit(1)) * F.lit(BILLION).cast("decimal(10,0)")
-    return F.call_function("div", whole, total.cast("decimal(20,0)")).cast("long") + 1
+    large = F.call_function("div", whole, total.cast("decimal(20,0)")).cast("long")
+    small = F.call_function("div", (F.least(count, F.lit(BILLION)) + 1) * F.lit(BILLION), total)
+    return F.when(count < BILLION, small).otherwise(large) + 1
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -124,62 +127,50 @@ def _groups(docs: DataFrame, terms: DataFrame) -> DataFrame:
 def _pair_lots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For terms that two sources have: what is to be added to the sums that take the sources one by one.
 
-    Sums are kept modulo 2^64, as the final value fits a long.
+    Terms with equally many sources are taken together, at most ``LOT_PAIRS`` pairs at once. Sums are kept modulo 2^64, as the
+    final value fits a long.
     """
-    number: dict[str, dict[str, int]] = {}
-    sums: dict[str, np.ndarray] = {}
-
-    def lot(lang):
-        names, table = list(number.pop(lang)), sums.pop(lang)
-        a, b = np.nonzero(table)
-        rows = pa.array(names, pa.string())
+    def far(x, y):
+        return (x - y) ** 2 // y
+
+    def lot(lang, names, codes, more):
+        """Sums per pair, from the pairs' codes."""
+        n = len(names)
+        if n * n <= LOT_PAIRS:
+            table = np.zeros(n * n, np.int64)
+            np.add.at(table, codes, more)
+            codes = np.flatnonzero(table)
+            more = table[codes]
+        else:
+            order = np.argsort(codes, kind="stable")
+            codes, first = np.unique(codes[order], return_index=True)
+            more = np.add.reduceat(more[order], first)
         return pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(a), pa.string()), rows.take(pa.array(a)), rows.take(pa.array(b)), pa.array(table[a, b])],
-            schema=_PAIR_ROWS)
-
-    def add(lang, names, p, p0):
-        """Of one term; at most LOT_SOURCES sources at a time."""
-        known = number.setdefault(lang, {})
-        if len(known) + sum(n not in known for n in names) > LOT_SOURCES and known:
-            yield lot(lang)
-            known = number.setdefault(lang, {})
-        at = np.array([known.setdefault(n, len(known)) for n in names])
-        table = sums.setdefault(lang, np.zeros((LOT_SOURCES, LOT_SOURCES), np.int64))
-        far = lambda x, y: (x[:, None] - y[None, :]) ** 2 // y[None, :]
-        with np.errstate(over="ignore"):
-            more = far(p, p) - far(p, p0) - far(p0, p) + far(p0, p0)
-            np.fill_diagonal(more, 0)
-            table[np.ix_(at, at)] += more
-
-    def across(lang, names, p, p0):
-        """A term with more sources than one table holds: its sources in halves of a table, each two of them together."""
-        half = LOT_SOURCES // 2
-        cuts = [slice(x, x + half) for x in range(0, len(names), half)]
-        for i, one in enumerate(cuts):
-            for other in cuts[:i]:
-                own = names[one] + names[other]
-                n = len(names[one])
-                far = lambda x, y: (x[:, None] - y[None, :]) ** 2 // y[None, :]
-                q, q0 = np.concatenate((p[one], p[other])), np.concatenate((p0[one], p0[other]))
-                with np.errstate(over="ignore"):
-                    more = far(q, q) - far(q, q0) - far(q0, q) + far(q0, q0)
-                more[:n, :n] = more[n:, n:] = 0  # pairs within a cut are added below
-                a, b = np.nonzero(more)
-                rows = pa.array(own, pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(a), pa.string()), rows.take(pa.array(a)), rows.take(pa.array(b)),
-                     pa.array(more[a, b])], schema=_PAIR_ROWS)
-            yield from add(lang, names[one], p[one], p0[one])
+            [pa.array([lang] * len(codes), pa.string()), names.take(pa.array(codes // n)), names.take(pa.array(codes % n)),
+             pa.array(more)], schema=_PAIR_ROWS)
 
     for batch in batches:
-        langs, places = batch.columns
-        for k in range(len(batch)):
-            where = places[k].values
-            names = where.field("source").to_pylist()
-            p, p0 = (where.field(c).to_numpy() for c in ("p", "p0"))
-            yield from (add if len(names) <= LOT_SOURCES else across)(langs[k].as_py(), names, p, p0)
-    for lang in list(number):
-        yield lot(lang)
+        langs, places = batch.column(0).dictionary_encode(), batch.column(1)
+        starts = places.offsets.to_numpy()
+        sizes, of = np.diff(starts), langs.indices.to_numpy()
+        where = places.values
+        sources = where.field("source").dictionary_encode()
+        names, code = sources.dictionary, sources.indices.to_numpy().astype(np.int64)
+        p, p0 = (where.field(c).to_numpy() for c in ("p", "p0"))
+        for k, lang in enumerate(langs.dictionary.to_pylist()):
+            for size in np.unique(sizes[of == k]).tolist():
+                rows = starts[:-1][(of == k) & (sizes == size)]
+                wide = max(1, min(size, LOT_PAIRS // size))
+                deep = max(1, LOT_PAIRS // (size * wide))
+                for at in range(0, len(rows), deep):
+                    every = rows[at:at + deep, None] + np.arange(size)
+                    for left in range(0, size, wide):
+                        some = every[:, left:left + wide]
+                        a, a0, b, b0 = p[some][:, :, None], p0[some][:, :, None], p[every][:, None], p0[every][:, None]
+                        pairs = code[some][:, :, None] * len(names) + code[every][:, None]
+                        with np.errstate(over="ignore"):
+                            more = far(a, b) - far(a, b0) - far(a0, b) + far(a0, b0)
+                            yield lot(lang, names, *(x[some[:, :, None] != every[:, None]] for x in (pairs, more)))
 
 
 def _near(rows: DataFrame, groups: DataFrame, on) -> DataFrame:

@@ -227,18 +227,19 @@ def audited(rows, min_docs=3, top=200):
 AUDIT = ("lang", "source", "part", "item", "value", "rank")
 
 
-@pytest.mark.parametrize("lot_terms,lot_sources,top", [(400_000, 512, 200), (3, 2, 5), (50, 4, 1)])
-def test_audit_odd_rows(odd, monkeypatch, lot_terms, lot_sources, top):
-    """Also with lots so small that terms and sources are passed on again and again."""
+@pytest.mark.parametrize("lot_terms,lot_pairs,top", [(1_000_000, 1 << 20, 200), (3, 1, 5), (50, 4, 1)])
+def test_audit_odd_rows(odd, monkeypatch, lot_terms, lot_pairs, top):
+    """Also with lots so small that terms and pairs are passed on again and again."""
     monkeypatch.setattr(source_audit, "LOT_TERMS", lot_terms)
-    monkeypatch.setattr(source_audit, "LOT_SOURCES", lot_sources)
+    monkeypatch.setattr(source_audit, "LOT_PAIRS", lot_pairs)
     got = source_audit.audit(odd[1], top_terms=top).select(*AUDIT).collect()
     want = audited(odd[0], top=top)
     assert brute.bag(map(tuple, got)) == brute.bag(want)
     assert {r[2] for r in want} == {"pair", "term"}
 
 
-def test_audit_pair_lots():
+@pytest.mark.parametrize("lot", [1 << 20, 600, 40, 7, 1])
+def test_audit_pair_lots(monkeypatch, lot):
     """The corrections for shared terms, whatever the size of a lot, against all pairs."""
     import numpy as np
     import pyarrow as pa
@@ -256,17 +257,13 @@ def test_audit_pair_lots():
                 if a != b:
                     want["l", a, b] += far(p, q) - far(p, base[b]) - far(base[a], q) + far(base[a], base[b])
     batch = pa.RecordBatch.from_arrays([pa.array(["l"] * len(rows)), pa.array(rows, kind)], names=["lang", "places"])
-    for lot in (512, 7, 2):
-        source_audit.LOT_SOURCES, before = lot, source_audit.LOT_SOURCES
-        try:
-            got = Counter()
-            for out in source_audit._pair_lots(iter([batch])):
-                for r in out.to_pylist():
-                    got[r["lang"], r["source"], r["item"]] += r["part"]
-        finally:
-            source_audit.LOT_SOURCES = before
-        wrap = lambda v: (v + (1 << 63)) % (1 << 64) - (1 << 63)
-        assert {k: wrap(v) for k, v in got.items() if wrap(v)} == {k: wrap(v) for k, v in want.items() if wrap(v)}
+    monkeypatch.setattr(source_audit, "LOT_PAIRS", lot)
+    got = Counter()
+    for out in source_audit._pair_lots(iter([batch])):
+        for r in out.to_pylist():
+            got[r["lang"], r["source"], r["item"]] += r["part"]
+    wrap = lambda v: (v + (1 << 63)) % (1 << 64) - (1 << 63)
+    assert {k: wrap(v) for k, v in got.items() if wrap(v)} == {k: wrap(v) for k, v in want.items() if wrap(v)}
 
 
 def test_audit_without_kept_terms(spark):
