@@ -333,8 +333,7 @@ def known_articles(spark, sf):
 @query
 def upsert_do_nothing(spark, sf):
     known = inputs.known_urls(spark, sf, good_only=True)
-    keys = zones.url_keys(inputs.raw_articles(spark, sf))
-    rows = new_firsts(_accepted(spark, sf), known, "url", zones.ARRIVAL, keys=keys)
+    rows = new_firsts(_accepted(spark, sf), known, "url", zones.ARRIVAL)
     return zones.consumption_projection(rows).drop("fecha_procesado")
 
 

@@ -1,16 +1,16 @@
 """Raw articles to refined and consumption rows, and the batch that carries them there."""
 
 import logging
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newszones import schemas
 from newszones.functions import dates, text, urls
-from newszones.operators.dedupe import (
-    BROADCAST_BYTES, first_of_key, first_wins, new_firsts, new_rows, unknown_keys,
-)
+from newszones.operators.dedupe import BROADCAST_BYTES, first_of_key, first_wins, new_firsts, new_rows, unknown_keys
+from newszones.sources import ledger
 from newszones.sources import tables as tb
 from newszones.sources.landing import LIST
 from newszones.sources.storage import work_dir, write_and_read
@@ -91,12 +91,11 @@ def refine(
     history: DataFrame,
     *,
     as_of: Column,
-    max_bytes: int = BROADCAST_BYTES,
     **options,
 ) -> DataFrame:
     """Refined rows that one batch adds to ``history``."""
     rows = accepted(normalize_rows(landing, as_of=as_of, **options))
-    return refined_projection(new_firsts(rows, history, "url", ARRIVAL, max_bytes, keys=url_keys(landing)))
+    return refined_projection(new_firsts(rows, history, "url", ARRIVAL))
 
 
 def url_keys(landing: DataFrame) -> DataFrame:
@@ -129,6 +128,26 @@ def consumption_without_refined(consumption: DataFrame, refined: DataFrame) -> D
     return consumption.filter(F.col("url").isNotNull()).join(keys, "url", "left_anti").select(consumption.columns)
 
 
+#: Reasons for which a row is rejected, in the order of precedence.
+REASONS = ["json_corrupto", "fecha_overflow", "titulo_vacio"]
+#: Batches that the consumption table may lack before its fault ends the run.
+MAX_OPEN = 10
+
+
+@dataclass(frozen=True)
+class BatchCounts:
+    """What became of a batch's rows, counted by the writes themselves. ``known`` are articles that refined had already;
+    a number is None where nothing was written, as for a batch that was merged long ago."""
+
+    rows: int
+    rejected: dict[str, int]
+    articles: int
+    refined: int | None
+    known: int | None
+    consumption: int | None
+    filled: list[str] = field(default_factory=list)
+
+
 def run_batch(
     spark: SparkSession,
     landing: DataFrame,
@@ -138,46 +157,74 @@ def run_batch(
     as_of: Column,
     processed_at: Column | None = None,
     max_bytes: int = BROADCAST_BYTES,
+    max_open: int = MAX_OPEN,
     **options,
-) -> None:
+) -> BatchCounts:
     """Carry one batch of landing rows into quarantine, refined and consumption.
 
     The rows are normalised once and reduced to one per URL once; both tables take their new rows from
     that. The history a batch is compared with excludes the batch itself, so it can be run again.
     """
     with work_dir(spark, "batch") as path:
-        normalized = normalize_rows(landing, as_of=as_of, **options)
+        refined, consumption = (ledger.read(spark, t) for t in (tables.refined, tables.consumption))
+        seen, articles = Observation(), Observation()
+        normalized = normalize_rows(landing, as_of=as_of, **options).observe(
+            seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col("reason") == r).alias(r) for r in REASONS])
         staged = write_and_read(
             normalized.withColumn("rejected", F.col("reason").isNotNull()), f"{path}/rows", ["rejected"])
-        tb.write_batch(
-            quarantined(staged.filter("rejected").drop("rejected")), tables.quarantine, batch_key)
+        rejected = {r: n for r in REASONS if (n := seen.get[r])}
+        tb.write_batch(quarantined(staged.filter("rejected").drop("rejected")), tables.quarantine, batch_key, with_keys=False)
         rows = accepted(staged.filter("NOT rejected").drop("rejected"))
-        firsts = write_and_read(first_wins(rows, "url", ARRIVAL), f"{path}/firsts")
-        refined = tb.read_refined(spark, tables, without_batch=batch_key)
-        tb.write_batch(
-            refined_projection(new_rows(firsts, refined, "url", max_bytes)), tables.refined, batch_key)
+        firsts = write_and_read(
+            first_wins(rows, "url", ARRIVAL).observe(articles, F.count(F.lit(1)).alias("rows")), f"{path}/firsts")
+        lacking = [k for k in refined.open if k not in consumption.batches and k != batch_key]
+        known = tb.known_keys(spark, tables.refined, refined, firsts, batch_key)
+        added = tb.write_batch(refined_projection(new_rows(firsts, known, "url", max_bytes)), tables.refined, batch_key,
+                               refined, still_open=lacking)
         # A failed write of this table must not cost the batch; a later batch, or a backfill, fills the gap.
+        filled, shown = [], None
         try:
-            fill_gaps(spark, tables, batch_key, processed_at, max_bytes)
-            consumption = tb.read_consumption(spark, tables, without_batch=batch_key)
-            tb.write_consumption_batch(
-                consumption_projection(new_rows(firsts, consumption, "url", max_bytes), processed_at),
-                tables.consumption, batch_key)
-        except Exception:
+            filled = fill_gaps(spark, tables, lacking, processed_at, max_bytes)
+            consumption = ledger.read(spark, tables.consumption) if filled else consumption
+            known = tb.known_keys(spark, tables.consumption, consumption, firsts, batch_key)
+            shown = tb.write_consumption_batch(
+                consumption_projection(new_rows(firsts, known, "url", max_bytes), processed_at),
+                tables.consumption, batch_key, consumption)
+        except Exception as e:
             log.exception("consumption rows of batch %s are missing", batch_key)
-
-
-def fill_gaps(spark: SparkSession, tables: tb.ZoneTables, current: str, processed_at: Column | None = None,
+            record_failure(spark, tables, batch_key, "consumption", e)
+            if len(lacking) + 1 >= max_open:
+                raise
+    for table, schema in ((tables.refined, schemas.REFINED), (tables.consumption, schemas.CONSUMPTION),
+                          (tables.quarantine, schemas.QUARANTINE)):
+        tb.compact(spark, table, schema)
+    total = articles.get["rows"]
+    return BatchCounts(seen.get["rows"], rejected, total, added and added.rows, added and total - added.rows,
+                       shown and shown.rows, filled)
+
+
+def record_failure(spark: SparkSession, tables: tb.ZoneTables, batch_key: str, table: str, error: Exception) -> None:
+    """Add a fault to the table of failures; a fault of that table itself is only logged."""
+    try:
+        row = spark.createDataFrame([(batch_key, table, f"{type(error).__name__}: {error}"[:2000])],
+                                    "failed_batch string, `table` string, error string")
+        tb.write_batch(row.withColumn("failed_at", F.current_timestamp().cast("string")), tables.failures,
+                       f"{batch_key} {ledger.new_name()}", with_keys=False)
+    except Exception:
+        log.exception("the failure of batch %s could not be recorded", batch_key)
+
+
+def fill_gaps(spark: SparkSession, tables: tb.ZoneTables, keys: list[str], processed_at: Column | None = None,
               max_bytes: int = BROADCAST_BYTES) -> list[str]:
-    """Write the consumption batches that are missing for complete refined ones, each under its own key, in key order."""
-    gaps = sorted(tb.complete_batches(spark, tables.refined) - tb.complete_batches(spark, tables.consumption) - {current})
-    for key in gaps:
+    """Write the consumption rows of these refined batches, each under its own key, in key order."""
+    for key in sorted(keys):
+        state = ledger.read(spark, tables.consumption)
         rows = tb.read_refined(spark, tables, "batch_key").filter(F.col("batch_key") == key).drop("batch_key")
         rows = rows.withColumnRenamed("date_saved_iso", "date_saved")
-        consumption = tb.read_consumption(spark, tables, without_batch=key)
+        known = tb.known_keys(spark, tables.consumption, state, rows, key)
         tb.write_consumption_batch(
-            consumption_projection(new_rows(rows, consumption, "url", max_bytes), processed_at), tables.consumption, key)
-    return gaps
+            consumption_projection(new_rows(rows, known, "url", max_bytes), processed_at), tables.consumption, key, state)
+    return sorted(keys)
 
 
 def run_backfill(
@@ -185,8 +232,10 @@ def run_backfill(
     max_bytes: int = BROADCAST_BYTES,
 ) -> None:
     """Restore what the consumption table lacks: whole batches under their own keys, then single URLs under ``batch_key``."""
-    fill_gaps(spark, tables, batch_key, processed_at, max_bytes)
+    lacking = tb.complete_batches(spark, tables.refined).missing_from(tb.complete_batches(spark, tables.consumption))
+    fill_gaps(spark, tables, lacking, processed_at, max_bytes)
+    state = ledger.read(spark, tables.consumption)
     rows = backfill(
-        tb.read_refined(spark, tables), tb.read_consumption(spark, tables, without_batch=batch_key),
+        tb.read_refined(spark, tables), tb.read_consumption(spark, tables, without_batch=batch_key, state=state),
         processed_at, max_bytes)
-    tb.write_consumption_batch(rows, tables.consumption, batch_key)
+    tb.write_consumption_batch(rows, tables.consumption, batch_key, state)

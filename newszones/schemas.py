@@ -40,6 +40,8 @@ CONSUMPTION = T.StructType([
 
 QUARANTINE = _strings([*LANDING_FIELDS, "stage", "reason", "_corrupt_record"])
 
+FAILURES = _strings(["failed_batch", "table", "error", "failed_at"])
+
 RULES = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("row_selector", T.StringType()),

@@ -1,9 +1,11 @@
 """Shared-storage helpers: existence, cleanup, and the folder for intermediate tables."""
 
+import os
 import tempfile
 import uuid
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -59,3 +61,42 @@ def work_dir(spark: SparkSession, name: str):
         yield path
     finally:
         remove_path(spark, path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _hadoop_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file with ``text`` appear in one step; False, and nothing changed, if there is one of that name already.
+
+    Local files are linked, elsewhere the file is renamed without overwriting, which HDFS does in one step. On an object
+    store without such a rename, only one writer at a time is safe.
+    """
+    fs, target = _hadoop_path(spark, path)
+    _, draft = _hadoop_path(spark, f"{path.rpartition('/')[0]}/.draft-{uuid.uuid4().hex}")
+    stream = fs.create(draft, True)
+    stream.write(text.encode("utf-8"))
+    stream.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            os.link(draft.toUri().getPath(), target.toUri().getPath())
+        else:
+            jvm = spark.sparkContext._jvm
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+            context.rename(draft, target, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    except FileExistsError:
+        return False
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" not in str(e.java_exception):
+            raise
+        return False
+    finally:
+        fs.delete(draft, False)
+    return True

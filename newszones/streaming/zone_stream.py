@@ -70,9 +70,9 @@ def run_pages(
     with work_dir(spark, "pages") as path:
         usable = pages.filter(page_reason(rows).isNull())
         blocks = write_and_read(extract_blocks(usable, rows), path)
-        write_batch(rejected_pages(pages, rows), tables.quarantine, f"{batch_key}-pages")
+        write_batch(rejected_pages(pages, rows), tables.quarantine, f"{batch_key}-pages", with_keys=False)
         write_landing(landing_rows(blocks), tables.landing, batch_key, mode="overwrite")
-        write_batch(rejected_blocks(blocks), tables.quarantine, f"{batch_key}-extract")
+        write_batch(rejected_blocks(blocks), tables.quarantine, f"{batch_key}-extract", with_keys=False)
     landing = read_landing(spark, f"{tables.landing}/run_ts={batch_key}")
     run_batch(spark, landing, tables, batch_key, as_of=batch_clock(spark, tables, batch_key) if as_of is None else as_of, **options)
 

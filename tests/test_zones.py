@@ -11,7 +11,6 @@ from newszones.operators.dedupe import first_wins, known_rows, new_rows
 from newszones.plans import zones
 from newszones.sources import tables as tb
 from newszones.sources.landing import read_landing, write_landing
-from newszones.sources.storage import remove_path
 from newszones.streaming.zone_stream import run_pages, start_zones
 from newszones.operators.rules import default_rules
 
@@ -194,7 +193,7 @@ def test_outage_is_made_good_by_the_next_batch(spark, tables, tmp_path, monkeypa
 def test_backfill_restores_a_lost_batch_with_rows_without_url(spark, tables):
     run(spark, tables, "a", BATCH)
     before = shown(tb.read_consumption(spark, tables, "batch_key"))
-    remove_path(spark, f"{tables.consumption}/batch_key=a")
+    tb.drop_batch(spark, tables.consumption, "a")
     zones.run_backfill(spark, tables, "fill")
     assert shown(tb.read_consumption(spark, tables, "batch_key")) == before
 
