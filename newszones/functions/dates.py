@@ -21,6 +21,13 @@ from newszones import fixed_values as fixed
 from newszones.functions.text import WHITESPACE
 
 
+def iso_text(ts: Column) -> Column:
+    """A timestamp as ISO text, with a fraction only if there is one."""
+    fraction = F.date_format(ts, "SSSSSS")
+    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"),
+                    F.when(fraction == "000000", "").otherwise(F.concat(F.lit("."), fraction)))
+
+
 def _alternatives(names) -> str:
     return "|".join(sorted(names, key=len, reverse=True))
 

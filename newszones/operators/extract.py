@@ -4,12 +4,15 @@ Python only turns a page into lists of matched texts, per block and selector. Wh
 or all matches, defaults, required fields, links and stamps are column expressions on those lists.
 """
 
+from html import escape
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newszones import fixed_values as fixed
 from newszones import schemas
+from newszones.functions.dates import iso_text
 from newszones.functions.text import join_list, strip
 from newszones.functions.urls import resolve_url
 from newszones.operators.html_tree import Tree, compile_selector, select
@@ -21,9 +24,12 @@ _TEXTS = pa.list_(pa.string())
 _FOUND = pa.struct([
     ("blocks", pa.list_(pa.list_(_TEXTS))),
     ("next_pages", _TEXTS),
+    ("faults", pa.list_(pa.struct([("place", pa.int32()), ("error", pa.string()), ("markup", pa.string())]))),
     ("error", pa.string()),
+    ("markup", pa.string()),
 ])
-_FOUND_DDL = "blocks array<array<array<string>>>, next_pages array<string>, error string"
+_FOUND_DDL = ("blocks array<array<array<string>>>, next_pages array<string>, "
+              "faults array<struct<place: int, error: string, markup: string>>, error string, markup string")
 
 
 def _plans(rules: list, slots: list[tuple[str, int]]) -> dict:
@@ -40,23 +46,34 @@ def _plans(rules: list, slots: list[tuple[str, int]]) -> dict:
     return plans
 
 
-def _finder(plans: dict, n_slots: int):
-    def fields(tree, block, plan):
-        try:
-            return [select(tree, block, plan["slots"][k]) if k in plan["slots"] else [] for k in range(n_slots)]
-        except Exception:  # a block that cannot be read is empty: it goes to quarantine, the others of its page do not
-            return [[] for _ in range(n_slots)]
+def _markup(tree: Tree, node: int) -> str:
+    """An element as it was understood."""
+    out, opened = [], []
+    for n in range(node, tree.ends[node]):
+        while opened and tree.ends[opened[-1]] <= n:
+            out.append(f"</{tree.tags[opened.pop()]}>")
+        if tree.tags[n] is None:
+            out.append(escape(tree.values[n], quote=False))
+        else:
+            out.append(f"<{tree.tags[n]}" + "".join(f' {k}="{escape(v)}"' for k, v in tree.values[n].items()) + ">")
+            opened.append(n)
+    return "".join(out + [f"</{tree.tags[n]}>" for n in reversed(opened)])
+
 
+def _finder(plans: dict, n_slots: int):
     def find(html, source):
         plan = plans[source]
         tree = Tree(html)
         blocks = next((b for steps in plan["rows"].values() if (b := select(tree, 0, steps))), [])
         next_pages = next((p for steps in plan["next"] if (p := select(tree, 0, steps))), [])
-        return {
-            "blocks": [fields(tree, block, plan) for block in blocks],
-            "next_pages": next_pages,
-            "error": None,
-        }
+        found, faults = [], []
+        for place, block in enumerate(blocks):
+            try:
+                found.append([select(tree, block, plan["slots"][k]) if k in plan["slots"] else [] for k in range(n_slots)])
+            except Exception as e:  # a block that cannot be read goes to quarantine, the others of its page do not
+                found.append([[] for _ in range(n_slots)])
+                faults.append({"place": place, "error": f"{type(e).__name__}: {e}", "markup": _markup(tree, block)})
+        return {"blocks": found, "next_pages": next_pages, "faults": faults, "error": None, "markup": None}
 
     @F.arrow_udf(_FOUND_DDL)
     def found(html: pa.Array, source: pa.Array) -> pa.Array:
@@ -65,7 +82,7 @@ def _finder(plans: dict, n_slots: int):
             try:
                 out.append(find(h or "", s))
             except Exception as e:  # one bad page must not end the job; it goes to quarantine
-                out.append({"blocks": [], "next_pages": [], "error": f"{type(e).__name__}: {e}"})
+                out.append({"blocks": [], "next_pages": [], "faults": [], "error": f"{type(e).__name__}: {e}", "markup": h})
         return pa.array(out, _FOUND)
 
     return found
@@ -117,9 +134,10 @@ def unknown_sources(pages: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def with_matches(pages: DataFrame, rules: DataFrame | list) -> DataFrame:
-    """Pages of known sources with a struct column ``found``: blocks, next-page links, error.
+    """Pages of known sources with a struct column ``found``: blocks, next-page links, faults, error.
 
-    Blocks hold one list per (field, fallback order), as ``slots_of`` numbers them. The rules are bounded
+    Blocks hold one list per (field, fallback order), as ``slots_of`` numbers them; a block that raised is listed among the
+    faults, an unreadable page has an error, both with their markup. The rules are bounded
     configuration and travel in the function itself; the page table is neither joined nor shuffled.
     """
     rows = collect_rules(rules)
@@ -167,22 +185,22 @@ def extract_blocks(pages: DataFrame, rules: DataFrame, keep_empty_pages: bool =
             value = F.when(F.col("source").isin(used_by), text).otherwise(value)
         fields[field] = value
     has_section = sorted({s for s, name in settings if name == "seccion"})
+    fault = F.get(F.filter("found.faults", lambda x: x["place"] == F.col("position")), F.lit(0))
     return blocks.select(
         "source", "section", "page", page_url.alias("page_url"), "captured_at", "position",
-        F.col("found.error").alias("error"),
+        F.col("found.error").alias("page_error"), F.coalesce("found.error", fault["error"]).alias("error"),
+        F.coalesce("found.markup", fault["markup"]).alias("markup"),
         fields["titulo"].alias("titulo"),
         fields["descripcion"].alias("descripcion"),
         fields["fecha"].alias("fecha"),
         F.when(F.col("source").isin(has_section), fields["seccion"]).otherwise(F.col("section")).alias("seccion"),
         fields["url"].alias("href"),
-    ).withColumn("reason", F.when(F.col("error").isNotNull(), "pagina_ilegible").otherwise(
-        missing_field(F.col("titulo"), F.col("href"))))
+    ).withColumn("reason", F.when(F.col("page_error").isNotNull(), "pagina_ilegible").when(
+        F.col("error").isNotNull(), "bloque_ilegible").otherwise(missing_field(F.col("titulo"), F.col("href")))).drop("page_error")
 
 
-def _isoformat(ts: Column) -> Column:
-    fraction = F.date_format(ts, "SSSSSS")
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"),
-                    F.when(fraction == "000000", "").otherwise(F.concat(F.lit("."), fraction)))
+#: Reasons for which a block or page is rejected.
+BLOCK_REASONS = ["pagina_ilegible", "bloque_ilegible", "titulo_vacio", "url_vacia"]
 
 
 def landing_rows(blocks: DataFrame) -> DataFrame:
@@ -197,7 +215,7 @@ def landing_rows(blocks: DataFrame) -> DataFrame:
         blocks.filter(F.col("reason").isNull())
         .withColumn("url", url)
         .withColumn("data_id", provenance_key(F.col("source"), F.col("url")))
-        .withColumn("date_saved", _isoformat(saved))
+        .withColumn("date_saved", iso_text(saved))
         .select(*schemas.LANDING_FIELDS)
     )
 
@@ -207,8 +225,8 @@ def rejected_blocks(blocks: DataFrame) -> DataFrame:
     return blocks.filter(F.col("reason").isNotNull()).select(
         F.lit(None).cast("string").alias("data_id"), "source", "titulo", "descripcion", "fecha", "seccion",
         F.coalesce(F.nullif("href", F.lit("")), "page_url").alias("url"),
-        _isoformat(F.col("captured_at")).alias("date_saved"),
-        F.lit("extract").alias("stage"), "reason", F.lit(None).cast("string").alias("_corrupt_record"))
+        iso_text(F.col("captured_at")).alias("date_saved"),
+        F.lit("extract").alias("stage"), "reason", "error", F.col("markup").alias("_corrupt_record"))
 
 
 def extract_articles(pages: DataFrame, rules: DataFrame) -> DataFrame:

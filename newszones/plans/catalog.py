@@ -11,10 +11,10 @@ from newszones.operators.dedupe import first_wins, known_rows, new_firsts
 from newszones.operators.rules import collect_rules, default_rules
 from newszones.plans import inputs, reports, zones
 from newszones.sources import tables as tb
-from newszones.sources.landing import LIST, read_landing, write_landing
+from newszones.sources.landing import LIST, archived_landing, read_landing, write_landing
 from newszones.sources.pages import allowed_pages, rejected_pages, scan_pages
 from newszones.sources.storage import work_path, write_and_read
-from newszones.streaming.zone_stream import start_zones
+from newszones.streaming.zone_stream import start_bounded, start_zones
 
 QUERIES = {}
 
@@ -391,8 +391,51 @@ def stream_available_now(spark, sf):
     return tb.read_consumption(spark, tables).drop("fecha_procesado")
 
 
+@query
+def stream_watermark_dedupe(spark, sf):
+    """URLs and rows of a stream whose state forgets; all rows are of one day, so none is late."""
+    root = work_path(spark, "bounded")
+    write_landing(inputs.raw_articles(spark, sf), f"{root}/landing", "20261201_000000")
+    start_bounded(spark, f"{root}/landing", f"{root}/refined", f"{root}/checkpoint", as_of=inputs.as_of()).awaitTermination()
+    return spark.read.parquet(f"{root}/refined").groupBy("url").agg(F.count("*").alias("n"))
+
+
+@query
+def stream_archived_landing(spark, sf):
+    """Where landing lines are after two incremental runs: a run archives the files of the one before."""
+    root = work_path(spark, "archived")
+    tables = tb.ZoneTables(f"{root}/zones")
+    rows, odd = inputs.raw_articles(spark, sf), F.regexp_extract("data_id", "[0-9]+", 0).cast("long") % 2 == 1
+    name = "spark.sql.streaming.fileSource.cleaner.numThreads"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "0")  # files are moved before a run ends
+    try:
+        for run, part in (("20261201_000000", rows.filter(odd)), ("20261203_000000", rows.filter(~odd))):
+            write_landing(part, tables.landing, run)
+            start_zones(spark, tables, f"{root}/checkpoint", as_of=inputs.as_of(), archive=f"{root}/archive").awaitTermination()
+    finally:
+        spark.conf.set(name, before)
+    places = {"archive": archived_landing(f"{root}/archive", tables.landing), "landing": tables.landing}
+    archived, landed = (read_landing(spark, path).select("data_id", "descripcion", "run_ts", F.lit(where).alias("folder"))
+                        for where, path in places.items())
+    return archived.unionByName(landed)
+
+
 # Reports
 
+def _view(name):
+    def read_back(spark, sf):
+        path = work_path(spark, "mart")
+        reports.write_views(_chosen(spark, sf), path, [name])
+        return reports.read_view(spark, path, name)
+
+    QUERIES[f"extract_{name}"] = read_back
+
+
+for _name in ("total", "per_day", "per_source", "top_sections", "latest"):
+    _view(_name)
+
+
 @query
 def load_report(spark, sf):
     return reports.newest_first(_report(spark, sf))
@@ -412,9 +455,8 @@ def filter_date_range(spark, sf):
 def filter_last_30_days(spark, sf):
     """A range asked for the wrong way round gives the last 30 days."""
     report = _report(spark, sf)
-    bounds = reports.date_bounds(report).first()
-    lo, hi = reports.resolve_range(
-        bounds["fecha_min"], bounds["fecha_max"], bounds["fecha_max"], bounds["fecha_min"], as_of=inputs.TODAY)
+    lo, hi = reports.lazy_range(
+        reports.date_bounds(report), F.col("fecha_max"), F.col("fecha_min"), as_of=inputs.TODAY)
     return reports.filter_dates(report, lo, hi)
 
 

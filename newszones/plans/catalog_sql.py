@@ -297,3 +297,13 @@ FROM ({_REPORT})""",
     "latest_20": f"""SELECT titulo, fecha_noticia, hora_noticia, seccion, fuente, url FROM ({_CHOSEN})
 ORDER BY fecha_noticia DESC, hora_noticia DESC, url LIMIT 20""",
 }
+ORACLE["stream_watermark_dedupe"] = f"""SELECT url, CASE WHEN url IS NULL THEN count(*)
+  ELSE count(*) FILTER (date_saved IS NULL) + CAST(count(date_saved) > 0 AS BIGINT) END AS n FROM ({_GOOD}) GROUP BY url"""
+ORACLE["stream_archived_landing"] = f"""SELECT data_id, descripcion,
+  CASE WHEN odd THEN '20261201_000000' ELSE '20261203_000000' END AS run_ts,
+  CASE WHEN odd THEN 'archive' ELSE 'landing' END AS folder
+FROM (SELECT *, CAST(regexp_extract(data_id, '[0-9]+') AS BIGINT) % 2 = 1 AS odd FROM ({ORACLE["landing_roundtrip"]}))"""
+# The extracts of a report, read back from their files.
+for _extract, _query in [("total", "filtered_total"), ("per_day", "articles_per_day"), ("top_sections", "top10_sections"),
+                         ("latest", "latest_20"), ("per_source", "articles_per_source")]:
+    ORACLE[f"extract_{_extract}"] = ORACLE[_query]

@@ -93,6 +93,31 @@ def resolve_range(
     return (lo, hi) if lo <= hi else (None, None)
 
 
+def lazy_range(
+    bounds: DataFrame,
+    asked_lo: date | Column | None = None,
+    asked_hi: date | Column | None = None,
+    *,
+    as_of: date,
+    fallback: tuple[date, date] | None = None,
+) -> tuple[Column | None, Column | None]:
+    """``resolve_range`` inside the plan: ends as scalar subqueries on ``date_bounds``, for ``filter_dates``.
+
+    Nothing runs while the query is built, and month folders outside the range are skipped when it runs. What was asked for
+    may be an expression on ``fecha_min`` and ``fecha_max``. A fallback that runs backwards leaves the data's own range.
+    """
+    lo, hi = F.col("fecha_min"), F.col("fecha_max")
+    asked_lo, asked_hi = (d if d is None or isinstance(d, Column) else F.lit(d) for d in (asked_lo, asked_hi))
+    first, last = (lo if asked_lo is None else asked_lo), (hi if asked_hi is None else asked_hi)
+    back = fallback or last_days(as_of)
+    back = back if back[0] <= back[1] else (lo, hi)
+    good = F.coalesce((lo <= hi) & (first <= last), F.lit(False))
+    resolved = bounds.select(*[
+        F.when(good, own).otherwise(b if isinstance(b, Column) else F.lit(b)).alias(name)
+        for name, own, b in zip(("lo", "hi"), (first, last), back)])
+    return resolved.select("lo").scalar(), resolved.select("hi").scalar()
+
+
 def last_days(as_of: date, days: int = fixed.FALLBACK_DAYS) -> tuple[date, date]:
     return as_of - timedelta(days=days), as_of
 
@@ -154,7 +179,12 @@ def report_views(report: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def write_views(report: DataFrame, path: str) -> None:
+def write_views(report: DataFrame, path: str, names: list[str] | None = None) -> None:
     """Write the views as Parquet extracts for charting tools; each scan reads only its own columns."""
     for name, view in report_views(report).items():
-        view.write.mode("overwrite").parquet(f"{path}/{name}")
+        if names is None or name in names:
+            view.write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def read_view(spark: SparkSession, path: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/{name}")

@@ -61,7 +61,8 @@ def accepted(normalized: DataFrame) -> DataFrame:
 def quarantined(normalized: DataFrame) -> DataFrame:
     return normalized.filter(F.col("reason").isNotNull()).select(
         *schemas.LANDING_FIELDS,
-        F.when(F.col("reason") == "json_corrupto", "landing").otherwise("refined").alias("stage"), "reason", "_corrupt_record")
+        F.when(F.col("reason") == "json_corrupto", "landing").otherwise("refined").alias("stage"), "reason",
+        F.lit(None).cast("string").alias("error"), "_corrupt_record")
 
 
 def quarantine_counts(quarantine: DataFrame) -> DataFrame:

@@ -38,7 +38,8 @@ CONSUMPTION = T.StructType([
     T.StructField("fecha_procesado", T.TimestampType()),
 ])
 
-QUARANTINE = _strings([*LANDING_FIELDS, "stage", "reason", "_corrupt_record"])
+# ``_corrupt_record`` is what could not be read: a landing line, or the markup of a block or page; ``error`` says why.
+QUARANTINE = _strings([*LANDING_FIELDS, "stage", "reason", "error", "_corrupt_record"])
 
 FAILURES = _strings(["failed_batch", "table", "error", "failed_at"])
 

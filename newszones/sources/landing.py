@@ -1,5 +1,7 @@
 """Landing zone: raw article rows as JSON lines, one partition per run."""
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,8 +40,18 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     return _typed(_options(spark.read.schema(schemas.LANDING_ON_DISK)).json(path))
 
 
-def read_landing_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def archived_landing(archive: str, path: str) -> str:
+    """Where the files of a landing folder are that a stream has archived; to be read with ``read_landing``."""
+    return f"{archive.rstrip('/')}/{re.sub('^[a-z0-9]+://[^/]*', '', path).strip('/')}"
+
+
+def read_landing_stream(spark: SparkSession, path: str, max_files: int | None = None,
+                        archive: str | None = None) -> DataFrame:
+    """New landing files. With ``archive``, a folder outside of ``path``, the files of a batch move there when the next one is
+    complete, so that a trigger lists what is new and the last batch, and not all there ever was."""
     reader = _options(spark.readStream.schema(schemas.LANDING_ON_DISK))
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return _typed(reader.json(path))

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newszones import schemas
+from newszones.functions.dates import iso_text
 from newszones.functions.urls import on_allowed_domain
 
 
@@ -33,7 +34,7 @@ def rejected_pages(pages: DataFrame, rules: list) -> DataFrame:
     """Pages that nobody can use, in the shape of the quarantine table."""
     empty = F.lit(None).cast("string")
     facts = {"source": F.col("source"), "seccion": F.col("section"), "url": F.col("url"),
-             "date_saved": F.col("captured_at").cast("string"), "stage": F.lit("pages"), "reason": page_reason(rules)}
+             "date_saved": iso_text(F.col("captured_at")), "stage": F.lit("pages"), "reason": page_reason(rules)}
     return pages.filter(page_reason(rules).isNotNull()).select(
         *[facts.get(name, empty).alias(name) for name in schemas.QUARANTINE.names])
 

@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from newszones import schemas
-from newszones.operators.html_tree import Tree, compile_selector, select
 from newszones.operators import extract
 from newszones.operators.html_tree import Tree, compile_selector, select
 from newszones.operators.rules import collect_rules, default_rules
+from newszones.plans.zones import quarantine_counts
 from newszones.sources.pages import scan_pages
 
 FIRST = """<html><body><ul><li><p>x<br>
@@ -145,3 +145,17 @@ def test_unclosed_and_stray_tags_cost_little():
     assert select(tree, 0, compile_selector("//div/div[3]/a/@href")) == ["2"]
     tree = Tree("<p>" + "<b>x</i></td>" * n)
     assert len(tree.inside(0, "b")) == n
+
+
+def test_failing_block_is_quarantined_with_its_markup(spark):
+    """A selector that cannot be applied to what one block holds costs that block alone."""
+    rules = [dict(source="eldeber", row_selector="//li", row_order=0, field=f, selector=x, fallback_order=0, mode="first", default=None)
+             for f, x in (("titulo", ".//b/text()"), ("url", ".//a/@href"), ("fecha", './/i/text()[@x="1"]'))]
+    html = '<ul><li><b>uno</b><a href="/1"></a><li class="q"><b>a &lt; b</b><i>dos</i><li><b>tres</b><a href="/3"></a></ul>'
+    df = spark.createDataFrame([("eldeber", "s", 1, "https://eldeber.com.bo/", 200, html, AT)], schemas.PAGES)
+    blocks = extract.extract_blocks(df, rules)
+    assert [r.titulo for r in extract.landing_rows(blocks).orderBy("url").collect()] == ["uno", "tres"]
+    (bad,) = extract.rejected_blocks(blocks).collect()
+    assert (bad.reason, bad.error.partition(":")[0]) == ("bloque_ilegible", "AttributeError")
+    assert bad._corrupt_record == '<li class="q"><b>a &lt; b</b><i>dos</i></li>'
+    assert [(r.reason, r.n) for r in quarantine_counts(extract.rejected_blocks(blocks)).collect()] == [("bloque_ilegible", 1)]

@@ -153,7 +153,8 @@ def test_bucketed_history_is_not_shuffled(spark):
 
 PYTHON = {"extract_rules", "union_sources", "html_first_and_all", "next_page_link", "articles_per_page",
           "quarantine_counts"}
-RUNS_STREAMS = {"stream_refine", "stream_upsert_idempotent", "stream_available_now", "landing_roundtrip"}
+RUNS_STREAMS = {"stream_refine", "stream_upsert_idempotent", "stream_available_now", "landing_roundtrip",
+                "stream_watermark_dedupe", "stream_archived_landing"}
 
 
 def test_no_python_outside_extraction(spark):
@@ -175,3 +176,22 @@ def test_typed_times_are_not_coerced_and_missing_columns_are_no_error(spark, sto
     rows = tb.read_consumption(spark, stored)
     assert reports.load_report(rows.drop("fecha_noticia", "hora_noticia")).count() == rows.count()
     assert "hora_noticia" not in reports.load_report(rows.drop("hora_noticia")).columns
+
+
+def test_lazy_range_skips_months_in_one_plan(spark, stored):
+    """The data's own range, an asked one, and the fallback, without a job while the query is built."""
+    report = reports.read_report(spark, stored)
+    days = [r.fecha_noticia for r in report.select("fecha_noticia").collect()]
+    as_of = date(2026, 12, 1)
+    for asked in [(None, None), (date(2026, 11, 20), None), (date(2027, 1, 1), date(2026, 1, 1)), (None, date(2026, 11, 25))]:
+        lo, hi = reports.resolve_range(min(days), max(days), *asked, as_of=as_of)
+        df = reports.filter_dates(report, *reports.lazy_range(reports.date_bounds(report), *asked, as_of=as_of))
+        assert sorted(r.fecha_noticia for r in df.collect()) == sorted(d for d in days if lo <= d <= hi)
+    text = formatted(df)
+    partition = [x for x in re.findall(r"PartitionFilters: \[(.*)\]", text) if "ubquery" in x]
+    assert partition and "fecha_mes" in partition[0]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    reports.filter_dates(report, *reports.lazy_range(reports.date_bounds(report), as_of=as_of))
+    assert not tracker.getJobIdsForGroup("lazy")
+    spark.sparkContext._jsc.clearJobGroup()

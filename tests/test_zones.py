@@ -10,8 +10,9 @@ from newszones import schemas
 from newszones.operators.dedupe import first_wins, known_rows, new_rows
 from newszones.plans import zones
 from newszones.sources import tables as tb
-from newszones.sources.landing import read_landing, write_landing
-from newszones.streaming.zone_stream import run_pages, start_zones
+from newszones.operators.extract import articles_per_page, extract_blocks, rejected_blocks
+from newszones.sources.landing import archived_landing, read_landing, write_landing
+from newszones.streaming.zone_stream import run_pages, start_bounded, start_zones
 from newszones.operators.rules import default_rules
 
 from test_extract import pages  # noqa: F401
@@ -234,3 +235,52 @@ def test_months_make_few_files(spark, tables):
     zones.run_batch(spark, rows, tables, "a", as_of=as_of())
     files = [f for f in Path(tables.consumption).rglob("part-*.parquet")]
     assert tb.read_consumption(spark, tables).count() == 3000 and len(files) <= 24
+
+
+def bounded(spark, tmp_path, delay="1 hour"):
+    start_bounded(spark, str(tmp_path / "landing"), str(tmp_path / "out"), str(tmp_path / "c"), as_of=as_of(),
+                  delay=delay).awaitTermination()
+    return sorted(r.data_id for r in spark.read.parquet(str(tmp_path / "out")).select("data_id").collect())
+
+
+def test_bounded_state_forgets(spark, tmp_path):
+    """Known within the delay, new after it, dropped beyond it; rows without URL or time pass, and a restart goes on."""
+    def land(run, *rows):
+        data = [(d, "s", "t", "x", "2025-04-01", "p", u, at) for d, u, at in rows]
+        write_landing(spark.createDataFrame(data, schemas.LANDING).coalesce(1), str(tmp_path / "landing"), run)
+
+    day = "2025-04-01T"
+    land("1", ("a1", "u1", day + "10:00:00"), ("n1", None, day + "10:00:00"), ("n2", None, day + "10:00:00"), ("x1", "u1", "ayer"))
+    assert bounded(spark, tmp_path) == ["a1", "n1", "n2", "x1"]
+    land("2", ("a2", "U1 ", day + "10:30:00"), ("b2", "u2", day + "12:00:00"), ("n3", None, day + "01:00:00"))
+    assert bounded(spark, tmp_path) == ["a1", "b2", "n1", "n2", "n3", "x1"]  # u1 is known
+    land("3", ("a3", "u3", day + "09:00:00"), ("b3", "u2", day + "12:10:00"), ("c3", "u1", day + "12:20:00"))
+    assert bounded(spark, tmp_path) == ["a1", "b2", "c3", "n1", "n2", "n3", "x1"]  # a3 is too late, u1 is forgotten
+
+
+def test_progress_and_archive(spark, tables, tmp_path):
+    spark.conf.set("spark.sql.streaming.fileSource.cleaner.numThreads", "0")
+    try:
+        for run_, rows in (("r1", BATCH[:2]), ("r2", BATCH[2:])):
+            write_landing(landing(spark, *rows), tables.landing, run_)
+            q = start_zones(spark, tables, str(tmp_path / "c"), as_of=as_of(), archive=str(tmp_path / "old"))
+            q.awaitTermination()
+            seen = [p.observedMetrics["landing"] for p in q.recentProgress if p.numInputRows]
+            assert [(s.rows, s.corrupt) for s in seen] == [(len(rows), 0)]
+    finally:
+        spark.conf.unset("spark.sql.streaming.fileSource.cleaner.numThreads")
+    assert {p.parent.name for p in Path(tables.landing).rglob("part-*.json")} == {"run_ts=r2"}
+    old = read_landing(spark, archived_landing(str(tmp_path / "old"), tables.landing))
+    replayed = tb.ZoneTables(str(tmp_path / "replayed"))
+    zones.run_batch(spark, old, replayed, "again", as_of=as_of())
+    assert titles(tb.read_refined(spark, replayed)) == ["t1", "t2"]
+
+
+def test_page_counts_equal_the_queries(spark, tables, pages):  # noqa: F811
+    rules = default_rules(spark)
+    got = run_pages(spark, pages, rules, tables, "b1", as_of=as_of())
+    usable = pages.filter("status = 200 AND source <> 'otro'")
+    blocks = extract_blocks(usable, rules)
+    want = {r.reason: r.n for r in zones.quarantine_counts(rejected_blocks(blocks)).collect()}
+    articles = articles_per_page(usable, rules).agg(F.sum("n_articles")).first()[0]
+    assert (got.articles, got.rejected) == (articles, want) and got.batch.rows == articles
