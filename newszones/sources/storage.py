@@ -14,6 +14,12 @@ def _hadoop_path(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of its file system: without one, it lies in Spark's default file system."""
+    fs, p = _hadoop_path(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _hadoop_path(spark, path)
     return fs.exists(p)
