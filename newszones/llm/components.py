@@ -20,7 +20,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         edges = _star(_star(edges, larger=True), larger=False)
         edges = write_and_read(edges, work_path(spark, "edges"))
-        now = edges.agg(F.count("*"), F.sum("lo"), F.sum("hi"), F.sum(F.xxhash64("lo", "hi") % (1 << 40))).first()
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi") % (1 << 30)), F.sum(F.xxhash64("hi", "lo") % (1 << 30))).first()
         if now == before:
             break
         before = now

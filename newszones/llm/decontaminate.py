@@ -11,7 +11,7 @@ shuffle, so neither a hot source nor a passage in every document matters.
 
 Null text has no words and is never contaminated. Items without words or without text match nothing. Items with equal
 texts all count. Rows are judged one by one, so repeated rows and repeated keys are kept; item ids may be of any type and
-repeat. Empty tables work. The result has the documents' own columns, and ``hit_`` columns whose names nothing clashes with.
+repeat. Empty tables work. The result has the documents' own columns, and a struct ``hit_``, or another name to be chosen (:func:`fresh_name`).
 """
 
 from collections.abc import Iterator
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newszones.llm.words import bytes_of
+from newszones.llm.words import bytes_of, fresh_name, through_python
 
 WINDOW = 13
 MAX_BENCHMARK_BYTES = 64 << 20
@@ -85,8 +85,8 @@ HITS = T.StructType([
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
-              window: int = WINDOW, max_bytes: int = MAX_BENCHMARK_BYTES) -> DataFrame:
-    """``docs`` with a struct ``hit_``: ``n_words, n_hit, items, spans`` (character spans of hit text)."""
+              window: int = WINDOW, max_bytes: int = MAX_BENCHMARK_BYTES, out: str = "hit_") -> DataFrame:
+    """``docs`` with a struct ``out``: ``n_words, n_hit, items, spans`` (character spans of hit text)."""
     spark = docs.sparkSession
     given = benchmark.select(F.col(item).cast("string").alias("item"), bytes_of(item_text).alias("text"))
     size = given.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
@@ -100,34 +100,30 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: s
         if "windows" not in built:
             built["windows"] = Windows(items.value, window)
         for batch in batches:
-            out = []
-            for text_ in batch.column(batch.num_columns - 1):
-                raw = text_.as_py()
+            rows = []
+            for text_ in batch.column(at):
+                raw = text_.as_py() or b""
                 n, runs, names = built["windows"].hits(raw)
                 spans = char_spans(raw, runs) if runs else []
-                out.append({"n_words": n, "n_hit": sum(b - a + 1 for a, b in runs), "items": names,
+                rows.append({"n_words": n, "n_hit": sum(b - a + 1 for a, b in runs), "items": names,
                             "spans": [{"start": a, "end": b} for a, b in spans]})
-            hit = pa.array(out, pa.struct([
+            hit = pa.array(rows, pa.struct([
                 ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())),
                 ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], hit], names=[*batch.schema.names[:-1], "hit_"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, hit], names=[*batch.schema.names, "hit"])
 
-    inside = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)], bytes_of(text).alias("raw"))
-    schema = T.StructType([*inside.schema.fields[:-1], T.StructField("hit_", HITS)])
-    found = inside.mapInArrow(scan, schema)
-    return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)], "hit_")
+    inside, outside, at = through_python(docs, text)
+    found = inside.mapInArrow(scan, T.StructType([*inside.schema.fields, T.StructField("hit", HITS)]))
+    return found.select(*outside, F.col("hit").alias(out))
 
 
-def contaminated():
-    return (F.col("hit_.n_hit") > 0) & (20 * F.col("hit_.n_hit") >= F.col("hit_.n_words"))
+def contaminated(hit: str = "hit_"):
+    return (F.col(f"{hit}.n_hit") > 0) & (20 * F.col(f"{hit}.n_hit") >= F.col(f"{hit}.n_words"))
 
 
 def op10_decontaminate(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    # The text goes to Python once, as bytes; it is not among the columns that come back.
-    docs = docs.select("doc_id", F.col("text").alias("whole"))
-    found = find_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "whole")
+    found = find_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select(
         "doc_id", "hit_.n_words", "hit_.n_hit", F.size("hit_.items").cast("long").alias("n_items"),
         F.sha2(F.array_join("hit_.items", ","), 256).alias("items_sha256"), contaminated().alias("contaminated"))
@@ -135,4 +131,5 @@ def op10_decontaminate(spark, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The pipeline's stage: documents that are not contaminated."""
-    return find_hits(docs, benchmark).filter(~contaminated()).drop("hit_")
+    hit = fresh_name(docs, "hit_")
+    return find_hits(docs, benchmark, out=hit).filter(~contaminated(hit)).drop(hit)

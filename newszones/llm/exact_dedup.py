@@ -38,9 +38,10 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
 def winners(rows: DataFrame) -> DataFrame:
     """``digest, chars, key, rows``: of each digest the row that stays and the number of rows."""
-    best = F.max(F.struct("chars", (-F.col("key")).alias("minus")))
+    # The complement turns the order of keys round without overflow; no key is less than any.
+    best = F.max(F.struct("chars", F.bitwise_not("key").alias("turned")))
     return (rows.groupBy("digest").agg(best.alias("best"), F.count("*").alias("rows"))
-            .select("digest", F.col("best.chars").alias("chars"), (-F.col("best.minus")).alias("key"), "rows"))
+            .select("digest", F.col("best.chars").alias("chars"), F.bitwise_not("best.turned").alias("key"), "rows"))
 
 
 def _bucket(n_segments: int):
@@ -69,10 +70,12 @@ class History:
             a, b, whole = _halves(pdf.digest)
             slots = np.zeros(len(pdf), _SLOT)
             slots["digest"], slots["chars"], slots["rows"] = whole, pdf.chars, pdf.rows
-            slots["key"], slots["has_key"] = pdf.key.fillna(0).astype("int64"), pdf.key.notna()
+            slots["key"], slots["has_key"] = pdf.key, pdf.has_key
             return pd.DataFrame({"segment": pdf.segment.iloc[:1], "data": [mph.build(a, b, slots)]})
 
-        table = won.select(_bucket(n_segments), "*").groupBy("segment").applyInPandas(segment, "segment int, data binary")
+        # A column of longs with nulls would reach pandas as doubles.
+        flat = won.withColumns({"has_key": F.col("key").isNotNull(), "key": F.coalesce("key", F.lit(0).cast("long"))})
+        table = flat.select(_bucket(n_segments), "*").groupBy("segment").applyInPandas(segment, "segment int, data binary")
         return History(write_and_read(table, work_path(spark, "digest_index")), n_segments)
 
     def lookup(self, probes: DataFrame) -> DataFrame:
@@ -99,11 +102,11 @@ class History:
 def resolve(batch: DataFrame, history: History) -> DataFrame:
     """``digest, chars, key, rows, member``: the groups of a batch (:func:`winners`), joined with their historical ones."""
     found = history.lookup(batch)
-    a = F.struct("chars", (-F.col("key")).alias("minus"))
-    b = F.struct(F.col("h_chars").alias("chars"), (-F.col("h_key")).alias("minus"))
+    a = F.struct("chars", F.bitwise_not("key").alias("turned"))
+    b = F.struct(F.col("h_chars").alias("chars"), F.bitwise_not("h_key").alias("turned"))
     return (batch.join(found, "digest", "left")
             .withColumn("best", F.when(F.col("h_rows").isNull(), a).otherwise(F.greatest(a, b)))
-            .select("digest", F.col("best.chars").alias("chars"), (-F.col("best.minus")).alias("key"),
+            .select("digest", F.col("best.chars").alias("chars"), F.bitwise_not("best.turned").alias("key"),
                     (F.col("rows") + F.coalesce("h_rows", F.lit(0))).alias("rows"),
                     F.col("h_rows").isNotNull().alias("member")))
 

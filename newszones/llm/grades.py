@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newszones.llm.words import bytes_of
+from newszones.llm.words import bytes_of, fresh_name, through_python
 
 BITS = 18
 TRAIN_ROWS = 8000
@@ -161,24 +161,24 @@ def train(docs: DataFrame, graded: DataFrame, n_grades: int, key: str = "doc_id"
                np.array([r.grade_ for r in sample]), n_grades)
 
 
-def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """``docs`` with ``tails_``: the tail probabilities of grades 1 and up, null without a model."""
+def score(docs: DataFrame, model: Model | None, text: str = "text", out: str = "tails_") -> DataFrame:
+    """``docs`` with ``out``: the tail probabilities of grades 1 and up, null without a model. :func:`fresh_name` gives a
+    name that no column has. The text goes to Python once, as bytes, and comes back."""
     tails = T.ArrayType(T.DoubleType())
     if model is None:
-        return docs.withColumn("tails_", F.lit(None).cast(tails))
+        return docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.lit(None).cast(tails).alias(out))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Features()
         for batch in batches:
-            got = [shared.value.tails(*of(x.as_py())).tolist() for x in batch.column(batch.num_columns - 1)]
+            got = [shared.value.tails(*of(x.as_py() or b"")).tolist() for x in batch.column(at)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(got, pa.list_(pa.float64()))], names=[*batch.schema.names[:-1], "tails_"])
+                [*batch.columns, pa.array(got, pa.list_(pa.float64()))], names=[*batch.schema.names, "tails"])
 
-    inside = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)], bytes_of(text).alias("raw"))
-    schema = T.StructType([*inside.schema.fields[:-1], T.StructField("tails_", tails)])
-    scored = inside.mapInArrow(run, schema)
-    return scored.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)], "tails_")
+    inside, outside, at = through_python(docs, text)
+    scored = inside.mapInArrow(run, T.StructType([*inside.schema.fields, T.StructField("tails", tails)]))
+    return scored.select(*outside, F.col("tails").alias(out))
 
 
 #: Grades of the given labels: toxic 0, poor 1, good 2.
@@ -190,19 +190,19 @@ def given_grades(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", grade.alias("grade"))
 
 
-def expected_grade() -> Column:
-    return F.aggregate("tails_", F.lit(0.0), lambda a, x: a + x)
+def expected_grade(tails: str = "tails_") -> Column:
+    return F.aggregate(tails, F.lit(0.0), lambda a, x: a + x)
 
 
-def selected(grade: int = 2, least: float = 0.5) -> Column:
+def selected(grade: int = 2, least: float = 0.5, tails: str = "tails_") -> Column:
     """Documents whose probability of at least ``grade`` reaches ``least``."""
-    return F.coalesce(F.element_at("tails_", grade) >= least, F.lit(True))
+    return F.coalesce(F.element_at(tails, grade) >= least, F.lit(True))
 
 
-def graded_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+def graded_documents(spark, docs: DataFrame, sf_dir: str, out: str = "tails_") -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     labelled = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return score(docs, train(labelled, given_grades(labels), N_GRADES))
+    return score(docs, train(labelled, given_grades(labels), N_GRADES), out=out)
 
 
 def op4_quality(spark, sf_dir: str) -> DataFrame:
@@ -215,4 +215,5 @@ def op4_quality(spark, sf_dir: str) -> DataFrame:
 
 def keep_good(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's stage: documents that the classifier selects."""
-    return graded_documents(spark, docs, sf_dir).filter(selected()).drop("tails_")
+    tails = fresh_name(docs, "tails_")
+    return graded_documents(spark, docs, sf_dir, tails).filter(selected(tails=tails)).drop(tails)

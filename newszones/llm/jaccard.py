@@ -3,7 +3,8 @@
 Tokens are 64-bit hashes of five-word shingles. With ``c = ceil(0.8 n)`` tokens that any partner of a set of ``n`` must
 share, the steps are:
 
-1. Equal sets are one node, named by their smallest key; only nodes take part from here on.
+1. Equal sets are one node; only nodes take part from here on. Nodes are numbered in the order of their smallest keys, so
+   the smallest node of a class has its smallest key, also where one key comes with several texts.
 2. A set with more than ``n - c`` tokens that no other set has is finished. That is counted over all documents for a fixed
    share of the tokens (a hash range), which can only let more sets pass. Tokens go to their buckets in packed arrays, at
    most one entry for a token and block of documents, so a token in every document is no hot spot.
@@ -34,18 +35,23 @@ from pyspark.sql import functions as F
 from newszones.llm.components import components
 from newszones.llm.shared_tokens import shared_tokens
 from newszones.llm.shingles import mixed, shingles
-from newszones.llm.words import bytes_of
+from newszones.llm.words import bytes_of, fresh_name
+from newszones.operators.dedupe import broadcast_if_small
 from newszones.sources.storage import work_path, write_and_read
 
 PERCENT = 80
 FREQUENT = 24
 PAIR_TOKENS = 256
 SKETCH_WORDS = 16
+#: Parts that a class is dealt into where its key is looked up.
+PARTS = 16
 CHUNK = 256
+#: Sets that a worker builds at once.
+SET_ROWS = 1000
 #: Share of the tokens that step 2 counts, in 256ths.
 COUNTED = 104
 BUCKET_TOKENS = 1 << 22
-_SIGNATURE = "key long, n long, a long, b long, counted long"
+_SIGNATURE = "key long, h long, n long, a long, b long, counted long"
 _SET = "node long, n long, tokens binary, sketch array<long>"
 
 
@@ -58,41 +64,58 @@ def _counted(tokens: np.ndarray) -> np.ndarray:
     return tokens[:np.searchsorted(tokens, np.uint64(COUNTED << 56))]
 
 
-def _counted_set(raw: bytes, key: int | None) -> Iterator[tuple[int, np.ndarray]]:
-    if key is not None:
-        yield key, _counted(shingles(raw))
+def _identity(tokens: np.ndarray) -> np.ndarray:
+    """128 bits that tell sets apart."""
+    return np.frombuffer(xxhash.xxh3_128_digest(tokens.tobytes()), "<i8")
+
+
+def _counted_set(raw: bytes, key) -> Iterator[tuple[int, np.ndarray]]:
+    """The owner of tokens is the set, whatever rows have it."""
+    own = shingles(raw)
+    yield _identity(own)[0], _counted(own)
 
 
 def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, n, a, b, counted`` of every row: the size of its set and 128 bits that tell sets apart."""
+    """``key, h, n, a, b, counted`` of every row: a hash of its text, the size of its set and 128 bits that tell sets apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for raw in batch.column(1):
+            for raw in batch.column(2):
                 own = shingles(raw.as_py())
-                digest = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), "<i8")
-                rows.append((len(own), digest[0], digest[1], len(_counted(own))))
+                rows.append((len(own), *_identity(own), len(_counted(own))))
             columns = np.array(rows, np.int64).reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(columns[:, i]) for i in range(4))],
-                                             names=["key", "n", "a", "b", "counted"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(columns[:, i]) for i in range(4))],
+                                             names=["key", "h", "n", "a", "b", "counted"])
+
+    return _texts(docs, key, text).mapInArrow(run, _SIGNATURE)
 
-    return docs.select(F.col(key).cast("long").alias("key"), bytes_of(text).alias("raw")).mapInArrow(run, _SIGNATURE)
+
+def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    raw = bytes_of(text)
+    return docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(raw).alias("h"), raw.alias("raw"))
 
 
 def token_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
-    """``node, n, tokens, sketch`` of the documents that name a node."""
+    """``node, n, tokens, sketch`` of ``nodes`` (``node, key, h, a, rows``), from the rows that have their key and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(raw.as_py()) for raw in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([s.tobytes() for s in sets], pa.binary()),
-                 pa.array([_sketch(s) for s in sets], pa.list_(pa.int64()))], names=["node", "n", "tokens", "sketch"])
+        for whole in batches:
+            for at in range(0, len(whole), SET_ROWS):
+                batch = whole.slice(at, SET_ROWS)
+                sets = [shingles(raw.as_py()) for raw in batch.column(2)]
+                good = [_identity(s)[0] == a for s, a in zip(sets, batch.column(1).to_pylist())]
+                sets = [s for s, g in zip(sets, good) if g]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).filter(pa.array(good, pa.bool_())), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array([s.tobytes() for s in sets], pa.binary()),
+                     pa.array([_sketch(s) for s in sets], pa.list_(pa.int64()))], names=["node", "n", "tokens", "sketch"])
 
-    named = docs.select(F.col(key).cast("long").alias("node"), bytes_of(text).alias("raw"))
-    return named.join(nodes, "node", "left_semi").mapInArrow(run, _SET).dropDuplicates(["node"])
+    def sets(some: DataFrame) -> DataFrame:
+        return _texts(docs, key, text).join(some, ["key", "h"]).select("node", "a", "raw").mapInArrow(run, _SET)
+
+    # Rows that are there several times are few; only for them equal sets are dropped.
+    return sets(nodes.filter("rows = 1")).unionByName(sets(nodes.filter("rows > 1")).dropDuplicates(["node"]))
 
 
 def _sketch(tokens: np.ndarray) -> list[int]:
@@ -255,18 +278,39 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     total = signed.agg(F.coalesce(F.sum("counted"), F.lit(0))).first()[0]
     raw = docs.select(F.col(key).cast("long").alias("key"), bytes_of(text).alias("raw"))
     repeated = shared_tokens(raw, _counted_set, max(8, int(total // BUCKET_TOKENS) + 1), COUNTED / 256)
-    groups = signed.filter("n > 0").groupBy("a", "b", "n").agg(F.min("key").alias("node"), F.first("counted").alias("counted"))
-    groups = write_and_read(groups, work_path(spark, "jaccard_groups"))
-    left = groups.join(repeated.withColumnRenamed("who", "node"), "node", "left").filter(
+    groups = write_and_read(_nodes(signed), work_path(spark, "jaccard_groups"))
+    left = groups.join(repeated, F.col("a") == F.col("who"), "left").filter(
         (F.col("n") > 1) & (F.col("counted") - F.coalesce("repeated", F.lit(0)) <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100)))
-    sets = write_and_read(token_sets(docs, left.select("node"), key, text), work_path(spark, "jaccard_sets"))
-    classes = links(sets, keys_of(sets))
-    named = groups.join(classes, "node", "left").select(
-        "a", "b", "n", F.coalesce("component", "node").alias("component"))
+    left = write_and_read(left.select("node", "key", "h", "a", "rows"), work_path(spark, "jaccard_left"))
+    sets = write_and_read(token_sets(docs, left, key, text), work_path(spark, "jaccard_sets"))
+    classes = write_and_read(links(sets, keys_of(sets)).filter("node <> component"), work_path(spark, "jaccard_members"))
+    # The key that a class has by its smallest node; a class may have a large part of all nodes.
+    first = groups.select(F.col("node").alias("component"), F.col("key").alias("first_key")).join(
+        classes.select("component").distinct(), "component")
+    small = broadcast_if_small(first)
+    if small is None:
+        part = F.pmod(F.xxhash64("node"), F.lit(PARTS)).cast("int")
+        first = first.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+        classes = classes.withColumn("part", part).join(first, ["component", "part"])
+    else:
+        classes = classes.join(small, "component")
+    named = groups.join(classes.select("node", "first_key"), "node", "left").select(
+        "a", "b", "n", F.coalesce("first_key", "key").alias("component"))
     grouped = signed.join(named, ["a", "b", "n"], "left")
     return grouped.select("key", "n", F.coalesce("component", "key").alias("component"))
 
 
+def _nodes(signed: DataFrame) -> DataFrame:
+    """``node, a, b, n, key, h, rows, counted``: each set that a row with a key has, with its smallest key, a text of that key
+    that has the set, and the number of such rows; numbered in the order of the keys."""
+    texts = signed.filter(F.col("key").isNotNull() & (F.col("n") > 0)).groupBy("a", "b", "n", "key", "h").agg(
+        F.count("*").alias("rows"), F.first("counted").alias("counted"))
+    sets = texts.groupBy("a", "b", "n").agg(F.min(F.struct("key", "h", "rows", "counted")).alias("x")).select("a", "b", "n", "x.*")
+    order = ["key", "a", "b", "n"]
+    dealt = sets.repartitionByRange(int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order)
+    return dealt.sortWithinPartitions(*order).withColumn("node", F.monotonically_increasing_id())
+
+
 def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_duplicates(docs).select(
@@ -275,5 +319,15 @@ def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The pipeline's stage: of each class the document with the smallest id stays, with all its repeated rows but one."""
-    kept = near_duplicates(docs).filter(F.col("key").eqNullSafe(F.col("component"))).select("key").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["key"]), "left_semi").dropDuplicates(["doc_id", "text"])
+    spark = docs.sparkSession
+    found = near_duplicates(docs)
+    kept = found.groupBy("key").agg(F.count("*").alias("rows"), F.bool_or(F.col("key").eqNullSafe(F.col("component"))).alias("kept"))
+    kept = write_and_read(kept.filter("kept").select("key", "rows"), work_path(spark, "jaccard_kept"))
+
+    def of(keys: DataFrame) -> DataFrame:
+        small = broadcast_if_small(keys)
+        return docs.join(keys if small is None else small, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
+
+    name = fresh_name(docs, "kept_key")
+    once, several = (kept.filter(x).select(F.col("key").alias(name)) for x in ("rows = 1", "rows > 1"))
+    return of(once).unionByName(of(several).dropDuplicates(["doc_id", "text"]))

@@ -124,8 +124,8 @@ def mix(rows: DataFrame, planned: DataFrame) -> DataFrame:
 
 def repeat_rows(docs: DataFrame, planned: DataFrame, key: str, source: str, size: Column, weight: Column) -> DataFrame:
     """``docs`` as the mix takes them: a row taken twice is there twice, a row not taken is gone."""
-    columns = [F.col(f"row.{c}") for c in docs.columns]
-    me = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("key"), F.col(source).alias("source"),
+    columns = [F.col(f"row.`{c}`") for c in docs.columns]
+    me = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("key"), F.col(source).alias("source"),
                      size.alias("size"), exponential_key(key, weight).alias("u_key"))
     taken = mix(me, planned).filter("times > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("nth")).select(*columns)

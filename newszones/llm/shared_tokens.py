@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 19
 
 
 def shared_tokens(docs: DataFrame, sets_of: Callable[[bytes, int | None], Iterator[tuple]], n_buckets: int,

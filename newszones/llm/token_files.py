@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from newszones.llm import mph
 from newszones.llm.words import bytes_of
-from newszones.sources.storage import work_path
+from newszones.sources.storage import qualified, work_path
 
 END_ID = 1
 SHARD_IDS = 8 << 20
@@ -48,8 +48,11 @@ _RECORDS = "key long, nth long, file string, offset long, n_tokens long"
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a shared path, for use inside tasks."""
-    return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
+    """The file system of a shared path with a scheme, for use inside tasks."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return pafs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return pafs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + ":" + rest)
 
 
 class Encoder:
@@ -131,6 +134,15 @@ def _hashes(*columns):
     return F.xxhash64(F.lit(1), *columns).alias("a"), F.xxhash64(F.lit(2), *columns).alias("b")
 
 
+def _flat(rows: DataFrame) -> DataFrame:
+    """Without nulls in ``key``, as a column of longs with nulls would reach pandas as doubles."""
+    return rows.withColumns({"has_key": F.col("key").isNotNull(), "key": F.coalesce("key", F.lit(0).cast("long"))})
+
+
+def _whole(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("key", F.when(F.col("has_key"), F.col("key"))).drop("has_key")
+
+
 def _segment_of(n: int):
     return F.pmod(F.xxhash64(F.lit(3), "key", "nth"), F.lit(n)).cast("int").alias("segment")
 
@@ -164,15 +176,15 @@ class TokenFiles:
                     same = held["fingerprint"] == b[found]
                     held, part = held[same], part.iloc[found[same]]
                     yield pd.DataFrame({
-                        "key": part.key.astype("Int64"), "nth": part.nth, "file_no": held["file"].astype("int32"),
+                        "key": part.key, "has_key": part.has_key, "nth": part.nth, "file_no": held["file"].astype("int32"),
                         "offset": held["offset"], "n_tokens": held["n_tokens"].astype("int64"), "first": held["first"]})
 
         if not n:
             return self.records.limit(0)
         probes = keys.select("key", "nth", *_hashes("key", "nth"), _segment_of(n))
-        found = probes.repartition("segment").sortWithinPartitions("segment").mapInPandas(
-            look, "key long, nth long, file_no int, offset long, n_tokens long, first long")
-        return found.join(self.spark.read.parquet(f"{path}/files"), "file_no").drop("file_no")
+        found = _flat(probes).repartition("segment").sortWithinPartitions("segment").mapInPandas(
+            look, "key long, has_key boolean, nth long, file_no int, offset long, n_tokens long, first long")
+        return _whole(found).join(self.spark.read.parquet(f"{path}/files"), "file_no").drop("file_no")
 
     def read(self, places: DataFrame, what, schema: str) -> DataFrame:
         """``what(ids)`` for each place, as the columns of ``schema`` after those of ``places``. Places of a file are read
@@ -191,12 +203,13 @@ class TokenFiles:
                         name, f = file, fs.open_input_file(where)
                     out.append(what(np.frombuffer(f.read_at(int(n) * dtype.itemsize, int(offset)), dtype)))
                 columns = [c.strip().split(" ")[0] for c in schema.split(",")]
-                yield pdf.assign(**{c: [row[i] for row in out] for i, c in enumerate(columns)}).astype({"key": "Int64"})
+                yield pdf.assign(**{c: [row[i] for row in out] for i, c in enumerate(columns)})
             if f:
                 f.close()
 
+        places = _flat(places)
         names = ", ".join(f"`{n}` {t}" for n, t in places.dtypes)
-        return places.repartition("file").sortWithinPartitions("file", "offset").mapInPandas(load, f"{names}, {schema}")
+        return _whole(places.repartition("file").sortWithinPartitions("file", "offset").mapInPandas(load, f"{names}, {schema}"))
 
     def ids(self, key, nth: int = 0) -> np.ndarray | None:
         """The ids of one key: one segment, one slot, one read; None for a key that is not there."""
@@ -227,7 +240,7 @@ def write(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "tex
           end_id: int = END_ID, shard_ids: int = SHARD_IDS) -> TokenFiles:
     """Encode every whole text, append ``end_id``, write the folder and its index."""
     spark = docs.sparkSession
-    path = path or work_path(spark, "tokens")
+    path = qualified(spark, path or work_path(spark, "tokens"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts = encoder(tokenizer)

@@ -30,22 +30,27 @@ def shingle_set(t, size=5):
 
 
 def jaccard(rows):
-    sets = {i: shingle_set(t) for i, t in rows}
-    root = {i: i for i in sets}
+    """Links between rows; a row without key takes the class of an equal set of a row with one, and else has none."""
+    sets = sorted({shingle_set(t) for i, t in rows if i is not None}, key=lambda s: sorted(s))
+    least = {s: min(i for i, t in rows if i is not None and shingle_set(t) == s) for s in sets}
+    root = {s: s for s in sets}
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    keys = sorted(sets)
-    for n, i in enumerate(keys):
-        for j in keys[:n]:
-            a, b = sets[i], sets[j]
+    for n, a in enumerate(sets):
+        for b in sets[:n]:
             if a and b and 100 * len(a & b) >= 80 * len(a | b):
-                x, y = find(i), find(j)
-                root[max(x, y)] = min(x, y)
-    return [(i, len(sets[i]), find(i)) for i, _ in rows]
+                x, y = sorted((find(a), find(b)), key=least.get)
+                root[y] = x
+                least[x] = min(least[x], least[y])
+    out = []
+    for i, t in rows:
+        own = shingle_set(t)
+        out.append((i, len(own), least[find(own)] if own and own in root else i))
+    return out
 
 
 def suffix_dedup(rows, span=50):

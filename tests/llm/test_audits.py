@@ -278,3 +278,64 @@ def test_share_is_exact_for_large_counts(spark):
     n, total = 8 * 10 ** 18, 9 * 10 ** 18
     got = spark.range(1).select(source_audit.share(F.lit(n), F.lit(total))).first()[0]
     assert got == 1 + 10 ** 9 * (n + 1) // total
+
+
+# Keys of any kind, and columns of any name, for the operators of earlier rounds
+
+LIMIT = (1 << 63) - 1
+WORDS = " ".join(f"w{k}" for k in range(40))
+KEYS = [None, (1 << 53) + 1, (1 << 53) + 3, LIMIT, -LIMIT - 1, LIMIT - 1, 0, None, 7, 7, -1]
+
+
+def test_exact_dedup_keys(spark):
+    from newszones.llm import exact_dedup
+
+    rows = [(k, f"text {n % 4}" + " " * (n % 3)) for n, k in enumerate(KEYS)] + [(None, "x y"), ((1 << 53) + 1, "p q r"), (5, "p q r")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for cut in (-LIMIT - 1, 3, 1 << 53, LIMIT):
+        got = exact_dedup.dedup(df, F.col("key") <= cut)
+        got = got.select("key", "keep", "rows", F.col("key").eqNullSafe(F.col("keep")), F.lower(F.hex("digest"))).collect()
+        assert brute.bag(map(tuple, got)) == brute.bag(brute.exact_dedup(rows))
+
+
+def test_token_files_keys(spark):
+    from tokenizers import Tokenizer
+
+    from newszones.llm import token_files
+
+    rows = [(k, f"text number {n}") for n, k in enumerate(KEYS)]
+    got = token_files.encode_and_read(spark.createDataFrame(rows, "doc_id long, text string"), token_files.default_tokenizer())
+    want = brute.token_files(rows, Tokenizer.from_file(token_files.default_tokenizer()))
+    assert brute.bag(tuple(r) for r in got.select("doc_id", "start", "n_tokens", "ids_crc32").collect()) == brute.bag(want)
+
+
+def test_jaccard_keys(spark):
+    from newszones.llm import jaccard
+
+    a, b = WORDS, " ".join(f"v{k}" for k in range(40))
+    few = [(1, a), (1, b), (2, a + " z"), (3, b + " z")]
+    many = [(k, (a if n % 2 else b) + f" z{n}" * (n % 3)) for n, k in enumerate(KEYS)] + [(7, "short"), (8, None)] * 2
+    chain = [((1 << 62) + n, " ".join(f"c{k}" for k in range(3 * n, 3 * n + 60))) for n in range(12)]
+    for rows in (few, many, few + many, chain):
+        got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).select("key", "n", "component")
+        assert brute.bag(map(tuple, got.collect())) == brute.bag(brute.jaccard(rows))
+
+
+def test_stages_with_clashing_columns(spark):
+    from newszones.llm import decontaminate, grades, jaccard, mixing
+
+    data = [(k, f"{WORDS} own{k} " * 2, "s", 1, "h", 2.0, "t", "r", True) for k in range(6)] + [(9, None, None, 2, "h", 3.0, "t", "r", False)]
+    docs = spark.createDataFrame(
+        data, "doc_id long, text string, source string, key int, hit_ string, `a.b` double, tails_ string, h string, rows boolean")
+    items = spark.createDataFrame([("i", "nothing of this is there at all")], "item_id string, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, grade int")
+    model = grades.train(docs, labels, 2)
+    for out in (decontaminate.drop_contaminated(docs, items), mixing.mix_documents(docs), jaccard.keep_one(docs)):
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes and out.count() > 0
+        assert {tuple(r) for r in out.collect()} <= set(data)
+    kept = decontaminate.drop_contaminated(docs, items)
+    assert brute.bag(map(tuple, kept.collect())) == brute.bag(data)
+    for m in (model, None):
+        scored = grades.score(docs, m, out="p")
+        assert scored.columns == [*docs.columns, "p"]
+        assert brute.bag(tuple(r)[:-1] for r in scored.collect()) == brute.bag(data)

@@ -34,7 +34,7 @@ def db():
 def test_registered():
     names = set(contract.queries())
     assert set(QUERIES) | {"pipeline"} <= names and set(ORACLE) <= set(contract.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
