@@ -1,33 +1,32 @@
-"""Removal of repeated passages: strings grouped by equality through names of a difference-cover sample.
+"""Removal of repeated passages by a distributed suffix order, built with difference covers.
 
 A byte goes if a string of ``SPAN`` bytes that covers it also starts in a document with a smaller key. Texts are UTF-8
 bytes; matches never cross documents.
 
-1. *Pieces.* Texts are cut where a hash of the 16 bytes before is zero in some bits and no such place is in the ``REACH``
-   bytes before, so equal passages are cut alike, and only the first and last piece of a text can be short. A piece has the ``SPAN - 1`` bytes after it as well; every string of a text starts in one piece and lies in it. Of equal pieces the
-   one of the smallest key is sorted; the strings of the others start in a smaller document and go. Long runs of copies
-   thus cost a digest each, however many there are.
-2. *Marks.* In each string the place with the smallest hash of 28 bytes is a mark, so equal strings have equal marks. The
-   strings of a mark start up to ``REACH`` bytes before it: in the piece it lies in, or else in that piece or the one before,
-   and the mark belongs to that piece or pair. If all marks like it belong to equal ones, step 1 has done what there is to
-   do. Pieces without other marks are finished.
-3. *Difference cover.* In the remaining pieces, positions 1 and 2 modulo 3 are sampled. Their strings of 27 bytes (triples of
-   triples of triples) meet in buckets by their hash; a name is a bucket and a rank in it, so it is equal for equal strings
-   and for no others, but gives no order over buckets. A string of ``SPAN`` bytes is then two names and at most two
-   single bytes, and whatever the residues of two positions are, there is a shift of 0, 1 or 2 at which both have names:
-   so every position has two of the three kinds of merge keys, and any two positions one kind in common.
-4. *Equal strings.* The merge keys (kind, two names and two bytes, compared whole) meet in buckets, too, and equal
-   neighbours give the smallest document that has the string. That takes the place of a suffix order: nothing recurses on
-   names, and suffixes are not merged, as only the equality of strings of ``SPAN`` bytes is asked for. What a document has
-   from a smaller one is joined to runs and cut out.
-
-Work is in packed arrays: blocks of at most ``BLOCK_BYTES`` bytes send each distinct string to its bucket once, and get its
-name or smallest document back. No bucket, block or group grows with the number of copies. Names and merge keys compare
-exactly; marks and the digests of pieces are hashes of 64 bits or more.
+1. *Stretches.* In each string of ``SPAN`` bytes the run of ``MARK`` bytes with the smallest hash is its mark. Consecutive
+   strings with the same mark make a stretch of at most ``WIDTH`` bytes. Equal strings have equal marks, so they lie in
+   stretches of one mark: the marks part the suffixes into classes that need no comparison with each other.
+2. *Equal stretches.* Stretches meet by mark, as hashes. All strings of a stretch that a smaller document has as well go.
+   A mark all of whose stretches are equal is finished. Of the rest, the stretches of the smallest document of each are
+   sorted; what is left to find are repeats between stretches that differ.
+3. *Suffix order.* Lots of whole marks are ordered by suffix: triples at positions 1 and 2 modulo 3 are sorted and named by
+   rank, the names are ordered in the same way (until names stand for ``SPAN`` bytes or more, or are all different), and
+   the remaining suffixes are sorted by their first byte and the rank after it and merged.
+4. *Neighbours.* Suffixes next to each other are compared on their first ``SPAN`` bytes, all of them. Of a run of equal
+   ones the smallest document keeps the string. What others have of it is joined to runs and cut out.
+
+Texts are packed whole, in blocks of about ``BLOCK_BYTES`` bytes (or one longer text), in a table that is bucketed by block:
+three times it meets answers from elsewhere, and is not shuffled. Each block sends its distinct marks first, as 32 bits, and
+only those that another block has, or that have different stretches, a second time with the hashes of their stretches. If
+more than ``hot`` different stretches have one mark, their strings are dealt by a hash of their own instead of the mark, so no
+task gets all contexts of a frequent passage to sort; in step 2 each block adds 28 bytes to a bucket for each of its distinct
+stretches. Strings are compared byte by byte in step 4; step 2 takes stretches as equal if their marks' and their own hashes,
+64 bits each, are.
 
 Null and empty texts keep nothing and lose nothing. Rows without key are smaller than all others for nobody: they lose what
-any other row has, and nobody loses to them. Rows with equal keys do not lose to each other; they are told apart by a digest
-of their texts, so each loses its own runs. Texts of any length are cut as a whole. An empty table gives no rows. Other columns are not looked at.
+any other row has, and nobody loses to them (nor to the largest key of 64 bits). Rows with equal keys do not lose to each
+other, and each loses its own runs. Texts of any length are read whole. An empty table gives no rows. Other columns are not
+looked at.
 """
 
 import uuid
@@ -36,7 +35,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,354 +43,427 @@ from newszones.llm.words import bytes_of
 from newszones.sources.storage import work_path, write_and_read
 
 SPAN = 50
-CUT, CUT_BITS, LONGEST_PIECE = 16, 7, 4096
 MARK = 28
-REACH = SPAN - MARK  # from the start of a string to its mark, at most
-NAMED = 27
-MERGE_KEY = 19  # two names, two bytes and the kind
-BLOCK_BYTES = 2 << 20
-BUCKET_BYTES = 4 << 20
+WIDTH = 2 * SPAN - MARK  # of a stretch, at most
+BLOCK_BYTES = 8 << 20
+PART_BYTES = 2 << 20  # of a block, read at once
+BUCKET_BYTES = 16 << 20  # of text whose stretches meet in one bucket
+LOT_BYTES = 1 << 19  # of stretches ordered at once
+HOT = 1 << 15
+_PLACE = 22  # bits of a place in a part
 _NO_KEY = (1 << 63) - 1  # a missing key, larger than all
+_PACKED = "bucket long, block string, parts binary, docs binary, starts binary, lengths binary, marks binary, text binary"
+_NAMES = [c.split(" ")[0] for c in _PACKED.split(", ")]
 
 
-def cuts(raw: bytes) -> np.ndarray:
-    """Where pieces begin, with the end of the text at last. All but the first and last have more than ``REACH`` bytes."""
-    h = byte_hashes(raw, CUT)
-    at = np.flatnonzero((h >> np.uint64(64 - CUT_BITS)) == 0) + CUT
-    at = at[np.diff(at, prepend=-SPAN) > REACH]
-    at = np.concatenate(([0], at[at < len(raw)], [len(raw)]))
-    if np.diff(at).max(initial=0) > LONGEST_PIECE:
-        at = np.concatenate([np.arange(a, max(a + 1, b - REACH), LONGEST_PIECE) for a, b in zip(at[:-1], at[1:])] + [[len(raw)]])
-    return at
+def _i64(x) -> bytes:
+    return np.asarray(x).astype(np.int64, copy=False).tobytes()
 
 
-def pieces_of(raw: bytes, at: np.ndarray | None = None) -> list[tuple[int, int, bytes]]:
-    """``start, end, text`` of the pieces that hold a whole string; the text reaches ``SPAN - 1`` bytes further."""
-    at = cuts(raw) if at is None else at
-    return [(a, b, raw[a:b + SPAN - 1]) for a, b in zip(at[:-1].tolist(), at[1:].tolist()) if len(raw) - a >= SPAN]
-
-
-def _runs(x: np.ndarray, size: int, least: bool) -> np.ndarray:
-    """The minimum or maximum of every run of ``size``, by runs whose length doubles."""
-    pick, n, done = (np.minimum if least else np.maximum), len(x) - size + 1, 1
+def _least_of_runs(x: np.ndarray, size: int) -> np.ndarray:
+    """The minimum of every run of ``size``, by runs whose length doubles."""
+    n, done = len(x) - size + 1, 1
     while done * 2 <= size:
-        x = pick(x[:len(x) - done], x[done:])
+        x = np.minimum(x[:len(x) - done], x[done:])
         done *= 2
-    return pick(x[:n], x[size - done:][:n])
-
+    return np.minimum(x[:n], x[size - done:][:n])
 
-def marks(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes such that equal strings of ``SPAN`` bytes hold an equal hash at the same place of them."""
-    if len(raw) < SPAN:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    h, window = byte_hashes(raw, MARK), SPAN - MARK + 1
-    low = _runs(h, window, least=True)
-    # A hash is a mark if it is the smallest of some window that it lies in.
-    ends = np.zeros(window - 1, np.uint64)
-    at = np.flatnonzero(_runs(np.concatenate((ends, low, ends)), window, least=False) == h)
-    return at, mixed(h[at])
 
+def _at(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: int) -> np.ndarray:
+    """Strings of the text as rows of ``width`` bytes, zero after their ends."""
+    rows = np.concatenate((text, np.zeros(width, np.uint8)))[starts[:, None] + np.arange(width)]
+    rows[np.arange(width) >= lengths[:, None]] = 0
+    return rows
 
-def layout(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Cuts, and for each piece its digest (two words) and a hash of it with the piece before."""
-    at = cuts(raw)
-    own = b"".join(xxhash.xxh3_128_digest(raw[a:b + SPAN - 1]) for a, b in zip(at[:-1].tolist(), at[1:].tolist()))
-    own = np.frombuffer(own, "<u8").reshape(-1, 2)
-    with np.errstate(over="ignore"):
-        pairs = mixed(own[:, 0] ^ mixed(np.concatenate((np.zeros(1, np.uint64), own[:-1, 0])) + np.uint64(1)))
-    return at, own, pairs
 
+def digests(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A hash of each row of bytes; the width is a multiple of 8."""
+    out = mixed(lengths.astype(np.uint64) + np.uint64(1))
+    for column in rows.view("<u8").T:
+        out = mixed(out ^ mixed(column + np.uint64(0x9E3779B97F4A7C15)))
+    return out
 
-def mark_owners(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """The marks of a text: for each what its strings start in, a piece (first word of its digest) or a pair; and its hash."""
-    places, hashes = marks(raw)
-    if not len(places):
-        return np.empty(0, np.int64), hashes
-    at, own, pairs = layout(raw)
-    piece = np.searchsorted(at, places, "right") - 1
-    crossing = np.maximum(places - REACH, 0) < at[piece]
-    return np.where(crossing, pairs[piece], own[piece, 0]).view(np.int64), hashes
 
+def _stretches(text: bytes, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    hashes = byte_hashes(text, MARK)
+    # The leftmost of the smallest hashes (by their first bits), so that a string's mark depends on nothing else.
+    ranked = (hashes >> np.uint64(_PLACE) << np.uint64(_PLACE)) | np.arange(len(hashes), dtype=np.uint64)
+    place = (_least_of_runs(ranked, SPAN - MARK + 1) & np.uint64((1 << _PLACE) - 1)).astype(np.int64)[whole]
+    first = np.flatnonzero(np.concatenate(([True], (np.diff(whole) != 1) | (np.diff(place) != 0))))
+    last = np.append(first[1:], len(whole)) - 1
+    return whole[first], whole[last] - whole[first] + SPAN, hashes[place[first]]
 
-def pieces(docs: DataFrame) -> DataFrame:
-    """``key, row, start, stop, d1, d2, pair, next`` of all pieces; ``stop`` is the end of the strings in it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for key, row, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                raw = raw.as_py()
-                at, own, pairs = layout(raw)
-                own, pairs = own.view(np.int64), np.append(pairs, np.uint64(0)).view(np.int64)
-                for k, (start, _, text) in enumerate(pieces_of(raw, at)):
-                    rows.append((key, row, start, start + len(text), *own[k], pairs[k], pairs[k + 1]))
-            columns = np.array(rows, np.int64).reshape(-1, 8)
-            yield pa.RecordBatch.from_arrays([pa.array(columns[:, i]) for i in range(8)],
-                                             names=["key", "row", "start", "stop", "d1", "d2", "pair", "next"])
-
-    return docs.select("key", "row", "raw").mapInArrow(run, "key long, row long, start long, stop long, d1 long, d2 long, pair long, next long")
-
-
-def _sorted_columns(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of fixed-width byte rows, and which rows of that order differ from the one before."""
-    columns = list(_columns(keys, ">u8"))
-    order = np.lexsort(columns[::-1])
-    new = np.zeros(len(keys), bool)
-    new[:1] = True
-    for column in columns:
-        column = column[order]
-        new[1:] |= column[1:] != column[:-1]
-    return order, new
 
+def stretches(text: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, length and mark (its hash) of every stretch of texts that stand in one, ``lengths`` bytes each."""
+    ends = np.cumsum(lengths)
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64))]
+    for a in range(0, len(text), PART_BYTES):
+        places = np.arange(a, min(a + PART_BYTES, len(text)))
+        whole = np.flatnonzero(ends[np.searchsorted(ends, places, "right")] - places >= SPAN)
+        if len(whole):
+            at, n, marks = _stretches(text[a:a + PART_BYTES + SPAN - 1], whole)
+            found.append((at + a, n, marks))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
-def _columns(keys: np.ndarray, kind: str) -> Iterator[np.ndarray]:
-    """Fixed-width byte rows as numbers of eight bytes, filled up with zeros."""
-    for at in range(0, keys.shape[1], 8):
-        part = keys[:, at:at + 8]
-        wide = np.zeros((len(keys), 8), np.uint8)
-        wide[:, :part.shape[1]] = part
-        yield wide.view(kind)[:, 0].astype(np.uint64)
 
+def blocks(docs: DataFrame, n_buckets: int) -> DataFrame:
+    """The rows of ``key, raw`` packed, whole texts, in a table that is bucketed by ``block``: it meets answers without
+    being shuffled."""
 
-def _buckets(keys: np.ndarray, n_buckets: int) -> np.ndarray:
-    h = np.zeros(len(keys), np.uint64)
-    for column in _columns(keys, "<u8"):
-        h = mixed(h ^ column)
-    return (h % np.uint64(n_buckets)).astype(np.int64)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
 
+        def pack() -> pa.RecordBatch:
+            keys, raws = zip(*held)
+            columns = [uuid.uuid4().hex, _i64([_NO_KEY if k is None else k for k in keys]),
+                       np.array([k is not None for k in keys]).tobytes(), _i64([len(t) for t in raws]), b"".join(raws)]
+            return pa.RecordBatch.from_arrays([pa.array([x]) for x in columns], names=["block", "docs", "known", "lengths", "text"])
 
-def exchange(blocks: DataFrame, keys_of, width: int, answer: str, n_buckets: int, finish, schema: str) -> DataFrame:
-    """One round of sorting. ``keys_of(row)`` gives a block's keys, an array of ``width`` bytes each, and a value for each.
+        for batch in batches:
+            for key, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                raw = raw.as_py()
+                if held and size + len(raw) > BLOCK_BYTES:
+                    yield pack()
+                    held, size = [], 0
+                held.append((key, raw))
+                size += len(raw)
+        if held:
+            yield pack()
 
-    Equal keys of all blocks meet. The answer to a key is its ``name`` (different for different keys) or the ``least`` value
-    of that key. ``finish(row, answers)`` makes rows of a block with the answers, one for each of its keys.
+    spark = docs.sparkSession
+    packed = docs.select("key", "raw").mapInArrow(run, "block string, docs binary, known binary, lengths binary, text binary")
+    table = f"suffix_blocks_{uuid.uuid4().hex}"
+    packed.write.bucketBy(n_buckets, "block").option("path", work_path(spark, "suffix_blocks")).option(
+        "compression", "zstd").saveAsTable(table)
+    stored = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the name only; the files stay
+    return stored
+
+
+class Block:
+    """The stretches of a packed block, and the distinct ones among them, ordered by mark."""
+
+    def __init__(self, row):
+        self.docs, lengths = np.frombuffer(row.docs, np.int64), np.frombuffer(row.lengths, np.int64)
+        self.text = np.frombuffer(row.text, np.uint8)
+        self.at, self.lengths, self.marks = stretches(row.text, lengths)
+        ends = np.cumsum(lengths)
+        self.part = np.searchsorted(ends, self.at, "right")
+        self.begins = ends - lengths
+        self.keys = self.docs[self.part]
+        self.own = np.concatenate([digests(_at(self.text, self.at[i:i + 65536], self.lengths[i:i + 65536], WIDTH),
+                                           self.lengths[i:i + 65536]) for i in range(0, max(1, len(self.at)), 65536)])
+        order = np.lexsort((self.own, self.marks))
+        new_mark = _differs(self.marks[order])
+        new = new_mark | _differs(self.own[order])
+        first = np.flatnonzero(new)
+        self.which = np.empty(len(order), np.int64)
+        self.which[order] = np.cumsum(new) - 1
+        self.distinct = order[first]  # one stretch of each kind
+        self.least = np.minimum.reduceat(self.keys[order], first) if len(first) else self.keys
+        self.mark = np.cumsum(new_mark[first]) - 1  # of each kind, the number of its mark
+        self.distinct_marks = self.marks[order[new_mark]]
+
+    def places(self, of: np.ndarray) -> np.ndarray:
+        """Where stretches start in their documents."""
+        return self.at[of] - self.begins[self.part[of]]
+
+
+def _differs(x: np.ndarray) -> np.ndarray:
+    """Which values differ from the one before."""
+    return np.concatenate((np.ones(min(len(x), 1), bool), x[1:] != x[:-1]))
+
+
+def _dealt(values: np.ndarray, n_buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket that has some of the hashes, and which."""
+    bucket = (mixed(values) % np.uint64(n_buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    edges = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+    for b in np.flatnonzero(np.diff(edges)):
+        yield int(b), order[edges[b]:edges[b + 1]]
+
+
+_SMALLER, _SHARED, _HOT = 1, 2, 4
+
+
+def verdicts(marks: np.ndarray, own: np.ndarray, keys: np.ndarray, hot: int) -> np.ndarray:
+    """For each stretch: has a smaller document an equal one; has its mark others; more than ``hot``."""
+    order = np.lexsort((own, marks))
+    new_mark = _differs(marks[order])
+    new = new_mark | _differs(own[order])
+    least = np.minimum.reduceat(keys[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+    kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_mark))[np.cumsum(new_mark) - 1]
+    out = np.empty(len(order), np.uint8)
+    out[order] = _SMALLER * (least < keys[order]) | _SHARED * (kinds > 1) | _HOT * (kinds > hot)
+    return out
+
+
+def joined(groups: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs that touch or overlap made one: the first of each, its start and stop. Starts and stops ascend in a group."""
+    if not len(starts):
+        return np.empty(0, np.int64), starts, stops
+    first = np.flatnonzero(np.concatenate(([True], (groups[1:] != groups[:-1]) | (starts[1:] > stops[:-1]))))
+    return first, starts[first], stops[np.append(first[1:], len(starts)) - 1]
+
+
+def judged_block(name: str, block: Block, answers: np.ndarray, n_buckets: int) -> Iterator[tuple]:
+    """Packed rows: runs that go (bucket -1), and the stretches that are to be sorted, by bucket."""
+    answers = answers[block.which]
+    smaller = (answers & _SMALLER > 0) | (block.keys > block.least[block.which])
+    gone = np.flatnonzero(smaller)
+    starts = block.places(gone)
+    first, starts, stops = joined(block.part[gone], starts, starts + block.lengths[gone])
+    if len(first):
+        part = block.part[gone[first]]
+        yield -1, name, _i64(part), _i64(block.docs[part]), _i64(starts), _i64(stops - starts), b"", b""
+    rest = np.flatnonzero(~smaller & (answers & _SHARED > 0))
+    hot = answers[rest] & _HOT > 0
+    cool, hot = rest[~hot], rest[hot]
+    n = block.lengths[hot] - SPAN + 1  # strings of hot marks stand alone
+    within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    of = np.concatenate((cool, np.repeat(hot, n)))
+    shift = np.concatenate((np.zeros(len(cool), np.int64), within))
+    lengths = np.where(np.arange(len(of)) < len(cool), block.lengths[of], SPAN)
+    at, marks, places = block.at[of] + shift, block.marks[of], block.places(of) + shift
+    if len(hot):
+        alone = slice(len(cool), None)
+        marks[alone] = digests(_at(block.text, at[alone], lengths[alone], WIDTH), lengths[alone])
+    part = block.part[of]
+    for b, own in _dealt(marks, n_buckets):
+        text = _at(block.text, at[own], lengths[own], WIDTH)[np.arange(WIDTH) < lengths[own, None]]
+        yield (b, name, _i64(part[own]), _i64(block.docs[part[own]]), _i64(places[own]), _i64(lengths[own]),
+               marks[own].tobytes(), text.tobytes())
+
+
+def suffix_order(symbols: np.ndarray, covers: int = 1, enough: int = SPAN) -> np.ndarray:
+    """Starts of all suffixes of ``symbols`` (positive numbers), ascending by difference cover modulo 3.
+
+    A symbol stands for ``covers`` bytes. Suffixes that agree on ``enough`` bytes may come in any order.
     """
-
-    def unique(row):
-        keys, values = keys_of(row)
-        order, new = _sorted_columns(keys)
-        group = np.cumsum(new) - 1
-        back = np.empty(len(keys), np.int64)
-        back[order] = group
-        firsts = keys[order[new]]
-        least = np.minimum.reduceat(values[order], np.flatnonzero(new)) if len(keys) else values
-        return firsts, least, back
-
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                keys, least, _ = unique(row)
-                bucket = _buckets(keys, n_buckets)
-                order = np.argsort(bucket, kind="stable")
-                edges = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-                for b in np.flatnonzero(np.diff(edges)):
-                    own = order[edges[b]:edges[b + 1]]
-                    yield pd.DataFrame({"bucket": [b], "block": [row.block], "keys": [keys[own].tobytes()],
-                                        "least": [least[own].tobytes() if answer == "least" else b""]})
-
-    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    n = len(symbols)
+    if n < 3:
+        return np.array(sorted(range(n), key=lambda i: symbols[i:].tolist()), np.int64)
+    t = np.concatenate((symbols.astype(np.int64), np.zeros(3, np.int64)))
+    size = int(symbols.max()) + 1
+    ones, twos = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)  # after the last 1, a triple ends with a zero
+    sample = np.concatenate((ones, twos))
+    triples, names = np.unique((t[sample] * size + t[sample + 1]) * size + t[sample + 2], return_inverse=True)
+    rank = np.zeros(n + 3, np.int64)
+    if len(triples) == len(sample) or covers * 3 >= enough:
+        rank[sample] = names + 1
+        ordered = sample[np.argsort(names, kind="stable")]
+    else:
+        ordered = sample[suffix_order(names + 1, covers * 3, enough)]
+        rank[ordered] = np.arange(1, len(sample) + 1)
+    ordered = ordered[ordered < n]
+    zeros = np.arange(0, n, 3)
+    top = n + 2
+    zeros = zeros[np.argsort(t[zeros] * top + rank[zeros + 1], kind="stable")]
+    # A suffix at 0 compares with one at 1 by a symbol and a rank, with one at 2 by two symbols and a rank.
+    one, two = ordered[ordered % 3 == 1], ordered[ordered % 3 == 2]
+    before = np.searchsorted(t[one] * top + rank[one + 1], t[zeros] * top + rank[zeros + 1])
+    long = lambda i: (t[i] * size + t[i + 1]) * top + rank[i + 2]
+    before += np.searchsorted(long(two), long(zeros))
+    out = np.empty(n, np.int64)
+    place = np.maximum.accumulate(before) + np.arange(len(zeros))
+    out[place] = zeros
+    rest = np.ones(n, bool)
+    rest[place] = False
+    out[rest] = ordered
+    return out
+
+
+def repeated(text: np.ndarray, lengths: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Positions of the strings of ``SPAN`` bytes that smaller documents have as well, ascending."""
+    part = np.repeat(np.arange(len(lengths)), lengths)
+    left = np.cumsum(lengths)[part] - np.arange(len(text))
+    order = suffix_order(text.astype(np.int64) + 1)
+    order = order[left[order] >= SPAN]
+    words = np.lib.stride_tricks.sliding_window_view(text, 8)
+    words = np.ascontiguousarray(words).view("<u8")[:, 0]
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for k in [*range(0, SPAN - 8, 8), SPAN - 8]:
+        column = words[order + k]
+        new[1:] |= column[1:] != column[:-1]
+    who = docs[part[order]]
+    least = np.minimum.reduceat(who, np.flatnonzero(new))[np.cumsum(new) - 1] if len(who) else who
+    return np.sort(order[least < who])
+
+
+def _lots(marks: np.ndarray, lengths: np.ndarray) -> Iterator[np.ndarray]:
+    """Whole marks together, about ``LOT_BYTES`` at a time."""
+    order = np.argsort(marks, kind="stable")
+    sizes, new = np.cumsum(lengths[order]), np.flatnonzero(np.diff(marks[order]) != 0) + 1
+    at = 0
+    while at < len(order):
+        full = np.searchsorted(sizes, (sizes[at - 1] if at else 0) + LOT_BYTES)
+        stop = np.searchsorted(new, max(full, at + 1))
+        stop = new[stop] if stop < len(new) else len(order)
+        yield order[at:stop]
+        at = stop
+
+
+def sorted_bucket(held: list) -> Iterator[tuple]:
+    """Runs that go, of all stretches of a bucket."""
+    parts, docs, starts, lengths = (np.frombuffer(b"".join(getattr(r, c) for r in held), np.int64)
+                                    for c in ("parts", "docs", "starts", "lengths"))
+    source = np.repeat(np.arange(len(held)), [len(r.marks) // 8 for r in held])
+    marks = np.frombuffer(b"".join(r.marks for r in held), np.uint64)
+    text = np.frombuffer(b"".join(r.text for r in held), np.uint8)
+    begins = np.cumsum(lengths) - lengths
+    for lot in _lots(marks, lengths):
+        n = lengths[lot]
+        own = np.cumsum(n) - n
+        part = np.repeat(np.arange(len(lot)), n)
+        within = np.arange(n.sum()) - own[part]
+        found = repeated(text[begins[lot][part] + within], n, docs[lot])
+        part, within = part[found], within[found]
+        first, a, b = joined(part, starts[lot][part] + within, starts[lot][part] + within + SPAN)
+        of = lot[part[first]]
+        order = np.argsort(source[of], kind="stable")
+        of, a, b = of[order], a[order], b[order]
+        for run in np.split(np.arange(len(of)), np.flatnonzero(np.diff(source[of])) + 1):
+            if len(run):
+                yield (-1, held[source[of[run[0]]]].block, _i64(parts[of[run]]), _i64(docs[of[run]]), _i64(a[run]),
+                       _i64(b[run] - a[run]), b"", b"")
+
+
+def _by_bucket(work, columns: list[str]):
+    """``work(bucket, rows)`` for all rows of each bucket, of partitions that are sorted by it."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, held = None, []
 
         def done() -> Iterator[pd.DataFrame]:
-            if not held:
-                return
-            keys = np.frombuffer(b"".join(k for _, k, _ in held), np.uint8).reshape(-1, width)
-            order, new = _sorted_columns(keys)
-            group = np.cumsum(new) - 1
-            if answer == "name":
-                found = (at << 32) + group
-            else:
-                values = np.frombuffer(b"".join(v for _, _, v in held), np.int64)[order]
-                found = np.minimum.reduceat(values, np.flatnonzero(new))[group]
-            out = np.empty(len(keys), np.int64)
-            out[order] = found
-            sizes = np.cumsum([len(k) // width for _, k, _ in held])[:-1]
-            yield pd.DataFrame({"block": [b for b, _, _ in held], "bucket": at,
-                                "answers": [x.tobytes() for x in np.split(out, sizes)]})
+            for row in work(at, held) if held else ():
+                yield pd.DataFrame([row], columns=columns)
 
         for pdf in batches:
-            for bucket, block, keys, least in zip(pdf.bucket, pdf.block, pdf["keys"], pdf.least):
-                if bucket != at:
+            for row in pdf.itertuples(index=False):
+                if row.bucket != at:
                     yield from done()
-                    at, held = bucket, []
-                held.append((block, keys, least))
+                    at, held = row.bucket, []
+                held.append(row)
         yield from done()
 
-    def back(_, own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for row in own.itertuples(index=False):
-            keys, _, place = unique(row)
-            bucket, got = _buckets(keys, n_buckets), np.empty(len(keys), np.int64)
-            for b, x in zip(answers.bucket, answers.answers):
-                got[bucket == b] = np.frombuffer(x, np.int64)
-            out.extend(finish(row, got[place]))
-        return pd.DataFrame(out, columns=[c.strip().split(" ")[0] for c in schema.split(",")])
-
-    dealt = blocks.mapInPandas(deal, "bucket long, block string, keys binary, least binary")
-    met = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(
-        meet, "block string, bucket long, answers binary")
-    return blocks.groupBy("block").cogroup(met.groupBy("block")).applyInPandas(back, schema)
-
-
-def _positions(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of a block: its bytes; for each byte its place in its piece, the bytes left in the piece, and the piece."""
-    lengths = np.frombuffer(row.lengths, np.int64)
-    text = np.frombuffer(row.text, np.uint8)
-    piece = np.repeat(np.arange(len(lengths)), lengths)
-    place = np.arange(len(text)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    return text, place, lengths[piece] - place, piece
-
-
-def _sample(row) -> np.ndarray:
-    _, place, left, _ = _positions(row)
-    return np.flatnonzero((place % 3 != 0) & (left >= NAMED))
+    return run
 
 
-def _sampled_strings(row) -> tuple[np.ndarray, np.ndarray]:
-    text, at = np.frombuffer(row.text, np.uint8), _sample(row)
-    return text[at[:, None] + np.arange(NAMED)], np.zeros(len(at), np.int64)
+def _answered(dealt: DataFrame, work) -> DataFrame:
+    """What ``work(held)`` answers, an array of bytes for the rows of a bucket, back to each: ``block, bucket, which, answers``."""
 
+    def run(_, held: list) -> Iterator[tuple]:
+        found, at = work(held), 0
+        for r in held:
+            yield r.block, r.bucket, r.which, found[at:at + r.n].tobytes()
+            at += r.n
 
-def _merge_keys(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Two keys for every position that starts a string: rows of ``MERGE_KEY`` bytes, documents, positions.
+    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(
+        _by_bucket(run, ["block", "bucket", "which", "answers"]), "block string, bucket long, which binary, answers binary")
 
-    With names at ``i + d`` and ``i + d + 21``, the string is ``d`` bytes, two overlapping names and ``2 - d`` bytes.
-    """
-    text, place, left, piece = _positions(row)
-    names = np.zeros(len(text), np.uint64)
-    names[_sample(row)] = np.frombuffer(row.names, np.int64).view(np.uint64)
-    docs = np.frombuffer(row.docs, np.int64)
-    keys, who, where = [], [], []
-    starts = np.flatnonzero(left >= SPAN)
-    for d in range(3):
-        i = starts[(place[starts] + d) % 3 != 0]
-        key = np.empty((len(i), MERGE_KEY), np.uint8)
-        key[:, :8] = names[i + d].astype(">u8").view(np.uint8).reshape(-1, 8)
-        key[:, 8:16] = names[i + d + 21].astype(">u8").view(np.uint8).reshape(-1, 8)
-        for n, k in enumerate([*range(d), *range(d + 48, SPAN)]):
-            key[:, 16 + n] = text[i + k]
-        key[:, 18] = d
-        keys.append(key)
-        who.append(docs[piece[i]])
-        where.append(i)
-    return np.concatenate(keys), np.concatenate(who), np.concatenate(where)
-
-
-def _name(row, answers: np.ndarray) -> list[tuple]:
-    return [(row.block, row.docs, row.rows, row.starts, row.lengths, row.text, answers.tobytes())]
-
-
-def _final_keys(row) -> tuple[np.ndarray, np.ndarray]:
-    keys, who, _ = _merge_keys(row)
-    return keys, who
-
-
-def _covered(row, answers: np.ndarray) -> list[tuple]:
-    """Runs of bytes that smaller documents have: ``key, row, start, stop``."""
-    _, who, where = _merge_keys(row)
-    starts, docs, rows = (np.frombuffer(x, np.int64) for x in (row.starts, row.docs, row.rows))
-    _, place, _, piece = _positions(row)
-    at = np.unique(where[answers < who])
-    if not len(at):
-        return []
-    run = np.flatnonzero(np.concatenate(([True], (np.diff(at) > SPAN) | (piece[at[1:]] != piece[at[:-1]]))))
-    ends = np.append(run[1:], len(at)) - 1
-    p = piece[at[run]]
-    return list(zip(docs[p].tolist(), rows[p].tolist(), (starts[p] + place[at[run]]).tolist(), (starts[p] + place[at[ends]] + SPAN).tolist()))
-
-
-def _blocks(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Packed blocks of the wanted pieces (``key, row, start``)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
 
-        def pack() -> pa.RecordBatch:
-            i64 = lambda x: np.array(x, np.int64).tobytes()
-            row = [uuid.uuid4().hex, *(i64(x) for x in list(zip(*held))[:3]),
-                   i64([len(t) for *_, t in held]), b"".join(t for *_, t in held)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x]) for x in row], names=["block", "docs", "rows", "starts", "lengths", "text"])
+def _answers(block: Block, answers: pd.DataFrame, n: int) -> np.ndarray:
+    """The answers in one array, zero where there is none."""
+    out = np.zeros(n, np.uint8)
+    out[np.frombuffer(b"".join(answers.which), np.int32)] = np.frombuffer(b"".join(answers.answers), np.uint8)
+    return out
 
-        for batch in batches:
-            for key, row, raw, starts in zip(*(c.to_pylist() for c in batch.columns[:2]), *batch.columns[2:]):
-                own = set(starts.as_py())
-                for start, _, text in pieces_of(raw.as_py()):
-                    if start in own:
-                        held.append((key, row, start, text))
-                        size += len(text)
-                        if size >= BLOCK_BYTES:
-                            yield pack()
-                            held, size = [], 0
-        if held:
-            yield pack()
 
-    found = docs.join(wanted.groupBy("key", "row").agg(F.collect_set("start").alias("starts")), ["key", "row"])
-    return found.select("key", "row", "raw", "starts").mapInArrow(
-        run, "block string, docs binary, rows binary, starts binary, lengths binary, text binary")
+def repeats(packed: DataFrame, n_buckets: int, hot: int = HOT) -> DataFrame:
+    """``block, parts, starts, lengths``: all runs of bytes that documents with smaller keys have, in any order, also
+    overlapping, packed for each block of :func:`blocks`."""
+    spark = packed.sparkSession
 
+    def deal_marks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                marks = np.unique(stretches(row.text, np.frombuffer(row.lengths, np.int64))[2])
+                for b, of in _dealt(marks, n_buckets):
+                    yield pd.DataFrame({"bucket": [b], "block": [row.block], "n": [len(of)], "which": [of.astype(np.int32).tobytes()],
+                                        "marks": [(marks[of] >> np.uint64(32)).astype(np.uint32).tobytes()]})
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """``key, row, start, stop``: all runs of bytes that documents with smaller keys have, in any order, also overlapping."""
-    from newszones.llm.shared_tokens import shared_tokens
+    def seen_elsewhere(held: list) -> np.ndarray:
+        _, which, n = np.unique(np.frombuffer(b"".join(r.marks for r in held), np.uint32), return_inverse=True, return_counts=True)
+        return (n > 1)[which].astype(np.uint8)
 
-    spark = docs.sparkSession
-    cut = write_and_read(pieces(docs), work_path(spark, "pieces"))
-    owners = cut.groupBy("d1", "d2").agg(F.min("key").alias("owner"), F.count("*").alias("n")).filter("n > 1")
-    cut = cut.join(owners.drop("n"), ["d1", "d2"], "left")
-    cut = write_and_read(cut, work_path(spark, "pieces_owned"))
-    total = cut.agg(F.coalesce(F.sum(F.col("stop") - F.col("start")), F.lit(0))).first()[0]
-
-    def marked(raw: bytes, _) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        yield mark_owners(raw)
-
-    shared = shared_tokens(docs, marked, max(8, int(total // (40 << 20)) + 1)).filter("repeated > 0").select("who")
-    owned = cut.filter(F.col("owner").isNull() | (F.col("owner") == F.col("key")))
-    of = F.explode(F.array("d1", "pair", "next")).alias("who")
-    wanted = owned.select("key", "row", "start", of).join(shared, "who", "left_semi").select("key", "row", "start")
-    blocks = write_and_read(_blocks(docs, wanted), work_path(spark, "suffix_blocks"))
-    size = blocks.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    n_buckets = max(8, int(size * NAMED // BUCKET_BYTES) + 1)
-    named = exchange(blocks, _sampled_strings, NAMED, "name", n_buckets, _name,
-                     "block string, docs binary, rows binary, starts binary, lengths binary, text binary, names binary")
-    named = write_and_read(named, work_path(spark, "suffix_names"))
-    found = exchange(named, _final_keys, MERGE_KEY, "least", n_buckets, _covered, "key long, row long, start long, stop long")
-    copies = cut.filter("owner < key").select("key", "row", "start", "stop")
-    return found.unionByName(copies)
-
-
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    def deal_stretches(_, own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for row in own.itertuples(index=False):
+            block = Block(row)
+            elsewhere = _answers(block, answers, len(block.distinct_marks)) > 0
+            several = np.bincount(block.mark, minlength=len(elsewhere)) > 1
+            wanted = np.flatnonzero((elsewhere | several)[block.mark]) if len(block.mark) else block.mark
+            marks, digest = block.marks[block.distinct[wanted]], block.own[block.distinct[wanted]]
+            for b, of in _dealt(marks, n_buckets):
+                out.append((b, row.block, len(of), wanted[of].astype(np.int32).tobytes(), marks[of].tobytes(), digest[of].tobytes(),
+                            _i64(block.least[wanted[of]])))
+        return pd.DataFrame(out, columns=["bucket", "block", "n", "which", "marks", "own", "least"])
+
+    def compare(held: list) -> np.ndarray:
+        marks, own = (np.frombuffer(b"".join(getattr(r, c) for r in held), np.uint64) for c in ("marks", "own"))
+        return verdicts(marks, own, np.frombuffer(b"".join(r.least for r in held), np.int64), hot)
+
+    def judge(_, own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for row in own.itertuples(index=False):
+            block = Block(row)
+            out.extend(judged_block(row.block, block, _answers(block, answers, len(block.distinct)), n_buckets))
+        return pd.DataFrame(out, columns=_NAMES)
+
+    own = packed.select("block", "docs", "lengths", "text").groupBy("block")
+    marks = packed.select("block", "lengths", "text").mapInPandas(
+        deal_marks, "bucket long, block string, n long, which binary, marks binary")
+    dealt = own.cogroup(_answered(marks, seen_elsewhere).groupBy("block")).applyInPandas(
+        deal_stretches, "bucket long, block string, n long, which binary, marks binary, own binary, least binary")
+    judged = own.cogroup(_answered(dealt, compare).groupBy("block")).applyInPandas(judge, _PACKED)
+    judged = write_and_read(judged, work_path(spark, "suffix_judged"))
+    found = judged.filter("bucket >= 0").repartition("bucket").sortWithinPartitions("bucket").mapInPandas(
+        _by_bucket(lambda _, held: sorted_bucket(held), _NAMES), _PACKED)
+    return judged.filter("bucket < 0").unionByName(found).select("block", "parts", "starts", "lengths")
+
+
+def cut_out(raw: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[bytes, int, int, int]:
+    """A text without its runs: what is left, bytes, removed bytes, maximal runs."""
+    if not len(starts):
+        return raw, len(raw), 0, 0
+    order = np.argsort(starts, kind="stable")
+    starts, stops = starts[order], np.maximum.accumulate(stops[order])
+    first = np.flatnonzero(np.concatenate(([True], starts[1:] > stops[:-1])))
+    starts, stops = starts[first], stops[np.append(first[1:], len(stops)) - 1]
+    edges = [0, *np.column_stack((starts, stops)).ravel().tolist(), len(raw)]
+    kept = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2]))
+    return kept, len(raw), int((stops - starts).sum()), len(first)
+
+
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
     """``key, kept, n_bytes, n_removed, n_spans`` of every row; ``kept`` is the rest of the text as bytes."""
     spark = docs.sparkSession
-    own = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_NO_KEY)).alias("key"),
-                      F.xxhash64(bytes_of(text)).alias("row"), bytes_of(text).alias("raw"))
-    gone = write_and_read(repeats(own), work_path(spark, "suffix_repeats"))
-    lists = gone.groupBy("key", "row").agg(F.collect_set(F.struct("start", "stop")).alias("gone"))
-
-    def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for key_, raw, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                raw, at, kept, removed, n = raw.as_py(), 0, [], 0, 0
-                spans = sorted((s["start"], s["stop"]) for s in spans.as_py() or [])
-                end = -1
-                for a, b in spans:
-                    if a > end:
-                        n += 1
-                        kept.append(raw[at:a])
-                        at = a
-                    if b > end:
-                        removed += b - max(a, at)
-                        at = end = max(end, b)
-                kept.append(raw[at:])
-                rows.append((None if key_ == _NO_KEY else key_, b"".join(kept), len(raw), removed, n))
-            types = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, types)],
-                names=["key", "kept", "n_bytes", "n_removed", "n_spans"])
-
-    return own.join(lists, ["key", "row"], "left").select("key", "raw", "gone").mapInArrow(
-        cut_out, "key long, kept binary, n_bytes long, n_removed long, n_spans long")
+    own = docs.select(F.col(key).cast("long").alias("key"), bytes_of(text).alias("raw"))
+    total = own.agg(F.coalesce(F.sum(F.length("raw")), F.lit(0))).first()[0]
+    n_buckets = max(8, int(total // BUCKET_BYTES) + 1)
+    packed = blocks(own, n_buckets)
+    gone = write_and_read(repeats(packed, n_buckets, hot), work_path(spark, "suffix_repeats"))
+
+    def cut(_, mine: pd.DataFrame, runs: pd.DataFrame) -> pd.DataFrame:
+        parts, starts, lengths = (np.frombuffer(b"".join(runs[c]), np.int64) for c in ("parts", "starts", "lengths"))
+        order = np.argsort(parts, kind="stable")
+        parts, starts, stops = parts[order], starts[order], (starts + lengths)[order]
+        out = []
+        for row in mine.itertuples(index=False):
+            sizes, keys = np.frombuffer(row.lengths, np.int64), np.frombuffer(row.docs, np.int64)
+            edges = np.searchsorted(parts, np.arange(len(sizes) + 1))
+            at = 0
+            for i, (known, size) in enumerate(zip(np.frombuffer(row.known, bool), sizes.tolist())):
+                own = slice(edges[i], edges[i + 1])
+                out.append((int(keys[i]), bool(known), *cut_out(row.text[at:at + size], starts[own], stops[own])))
+                at += size
+        return pd.DataFrame(out, columns=["key", "known", "kept", "n_bytes", "n_removed", "n_spans"])
+
+    found = packed.groupBy("block").cogroup(gone.groupBy("block")).applyInPandas(
+        cut, "key long, known boolean, kept binary, n_bytes long, n_removed long, n_spans long")
+    return found.select(F.when(F.col("known"), F.col("key")).alias("key"), "kept", "n_bytes", "n_removed", "n_spans")
 
 
 def op5_suffix_dedup(spark, sf_dir: str) -> DataFrame:

@@ -1,6 +1,5 @@
 """Operators against plain versions, on odd rows and on the smallest tables."""
 
-from types import SimpleNamespace
 
 import brute
 import numpy as np
@@ -86,36 +85,52 @@ def test_suffix_dedup_left_borders(spark):
     assert collected(got, "*") == brute.bag(brute.suffix_dedup(rows))
 
 
-@pytest.mark.parametrize("text", ["random", *"abcdefghijklmnopqrstuvwxyz"])
-def test_suffix_dedup_strings_start_in_marked_pieces(text):
-    """Every string starts in the piece of its mark or in the one before, as far as a mark belongs to both."""
+@pytest.mark.parametrize("part", [64, 1000, 1 << 20])
+@pytest.mark.parametrize("kinds", [1, 2, 26])
+def test_suffix_dedup_stretches(monkeypatch, part, kinds):
+    """Every string of a text lies in exactly one stretch, and equal strings in stretches of one mark."""
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", part)
     rng = np.random.default_rng(3)
-    raw = (bytes(rng.integers(0, 256, 100_000, np.uint8)) if text == "random" else
-           bytes(rng.integers(97, 123, 40, np.uint8)) + text.encode() * 9000 + bytes(rng.integers(97, 123, 4000, np.uint8)))
-    at = suffix_dedup.cuts(raw)
-    assert at[0] == 0 and at[-1] == len(raw) and (np.diff(at) > 0).all()
-    places, _ = suffix_dedup.marks(raw)
-    piece = lambda x: np.searchsorted(at, x, "right") - 1
-    assert (piece(places) - piece(np.maximum(places - (suffix_dedup.SPAN - suffix_dedup.MARK), 0)) <= 1).all()
-
-
-def test_suffix_dedup_compares_whole_strings(monkeypatch):
-    """Keys of different strings differ, also if all hashes are equal."""
-    rng = np.random.default_rng(8)
-    text = np.frombuffer(bytes(rng.integers(97, 100, 400, np.uint8)), np.uint8)
-    other = text.copy()
-    other[::40] ^= 1
-    row = SimpleNamespace(text=text.tobytes() + other.tobytes(), lengths=np.array([400, 400]).tobytes(),
-                          docs=np.array([1, 2]).tobytes())
-    strings, _ = suffix_dedup._sampled_strings(row)
-    row.names = np.unique(strings, axis=0, return_inverse=True)[1].astype(np.int64).tobytes()
-    monkeypatch.setattr(suffix_dedup, "mixed", lambda x: x & np.uint64(0))
-    keys, _ = suffix_dedup._final_keys(row)
-    _, _, where = suffix_dedup._merge_keys(row)
-    found = {}
-    for key, at in zip(map(bytes, keys), where):
-        found.setdefault(key, set()).add(row.text[at:at + suffix_dedup.SPAN])
-    assert len(found) > 400 and all(len(x) == 1 for x in found.values())
+    texts = [bytes(rng.integers(97, 97 + kinds, n, np.uint8)) for n in (0, 49, 50, 51, 3000, 7, 400)]
+    texts += [texts[4][1000:1300], b"ab" * 200]
+    whole, sizes = b"".join(texts), np.array([len(t) for t in texts])
+    found, marks = [], {}
+    for at, n, mark in zip(*(x.tolist() for x in suffix_dedup.stretches(whole, sizes))):
+        assert suffix_dedup.SPAN <= n <= suffix_dedup.WIDTH
+        for i in range(at, at + n - suffix_dedup.SPAN + 1):
+            found.append(i)
+            marks.setdefault(whole[i:i + suffix_dedup.SPAN], set()).add(mark)
+    begins = np.cumsum(sizes) - sizes
+    assert found == [b + i for b, n in zip(begins.tolist(), sizes.tolist()) for i in range(n - suffix_dedup.SPAN + 1)]
+    assert all(len(x) == 1 for x in marks.values())
+
+
+@pytest.mark.parametrize("kinds", [1, 2, 4, 200])
+def test_suffix_order(kinds):
+    rng = np.random.default_rng(kinds)
+    for n in [*range(40), 500, 4000]:
+        x = rng.integers(1, kinds + 1, n)
+        want = sorted(range(n), key=lambda i: x[i:].tolist())
+        assert suffix_dedup.suffix_order(x, 1, 1 << 40).tolist() == want
+        near = suffix_dedup.suffix_order(x).tolist()
+        cut = lambda order: [x[i:i + suffix_dedup.SPAN].tolist() for i in order]
+        assert sorted(near) == list(range(n)) and cut(near) == cut(want)
+
+
+@pytest.mark.parametrize("lot", [100, 1 << 19])
+@pytest.mark.parametrize("hot", [1, 5])
+def test_suffix_dedup_hot_marks(spark, monkeypatch, hot, lot):
+    """One passage between texts that all differ: its outer strings are dealt one by one."""
+    rng = np.random.default_rng(9)
+    text = lambda n: bytes(rng.integers(97, 123, n, np.uint8)).decode()
+    passage = text(120)
+    rows = [(i, text(60) + passage[i % 7:] + text(60) + passage[:90]) for i in range(60)]
+    rows += [(None, passage), (60, passage * 3), (61, "")]
+    monkeypatch.setattr(suffix_dedup, "LOT_BYTES", lot)
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 2000)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = suffix_dedup.remove_repeats(docs, hot=hot).select("key", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    assert collected(got, "*") == brute.bag(brute.suffix_dedup(rows))
 
 
 def test_decontaminate(spark, docs, rows):
