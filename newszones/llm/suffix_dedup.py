@@ -46,11 +46,12 @@ SPAN = 50
 MARK = 28
 WIDTH = 2 * SPAN - MARK  # of a stretch, at most
 BLOCK_BYTES = 8 << 20
-PART_BYTES = 2 << 20  # of a block, read at once
+PART_BYTES = 1 << 16  # of a block, read at once: in the processor's cache
+CHUNK = 1 << 13  # stretches, likewise
 BUCKET_BYTES = 16 << 20  # of text whose stretches meet in one bucket
-LOT_BYTES = 1 << 19  # of stretches ordered at once
+LOT_BYTES = 1 << 16  # of stretches ordered at once
 HOT = 1 << 15
-_PLACE = 22  # bits of a place in a part
+_PLACE = 17  # bits of a place in a part
 _NO_KEY = (1 << 63) - 1  # a missing key, larger than all
 _PACKED = "bucket long, block string, parts binary, docs binary, starts binary, lengths binary, marks binary, text binary"
 _NAMES = [c.split(" ")[0] for c in _PACKED.split(", ")]
@@ -69,18 +70,27 @@ def _least_of_runs(x: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(x[:n], x[size - done:][:n])
 
 
-def _at(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: int) -> np.ndarray:
-    """Strings of the text as rows of ``width`` bytes, zero after their ends."""
-    rows = np.concatenate((text, np.zeros(width, np.uint8)))[starts[:, None] + np.arange(width)]
-    rows[np.arange(width) >= lengths[:, None]] = 0
-    return rows
+#: For each length up to ``WIDTH``, which bits of a row of that many bytes are text.
+_TEXT = np.where(np.arange(WIDTH) < np.arange(WIDTH + 1)[:, None], np.uint8(255), np.uint8(0)).view("<u8")
 
 
-def digests(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """A hash of each row of bytes; the width is a multiple of 8."""
-    out = mixed(lengths.astype(np.uint64) + np.uint64(1))
-    for column in rows.view("<u8").T:
-        out = mixed(out ^ mixed(column + np.uint64(0x9E3779B97F4A7C15)))
+def _at(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Strings of the text as rows of ``WIDTH`` bytes in words of eight, zero after their ends."""
+    if len(starts) and starts.max() + WIDTH > len(text):
+        text = np.concatenate((text, np.zeros(WIDTH, np.uint8)))
+    rows = np.lib.stride_tricks.sliding_window_view(text, WIDTH)[starts] if len(starts) else np.empty((0, WIDTH), np.uint8)
+    return rows.view("<u8") & _TEXT[lengths]
+
+
+def digests(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A hash of each string of the text."""
+    out = np.empty(len(starts), np.uint64)
+    for i in range(0, len(starts), CHUNK):
+        own = lengths[i:i + CHUNK]
+        found = own.astype(np.uint64) + np.uint64(1)
+        for column in _at(text, starts[i:i + CHUNK], own).T:
+            found = mixed(found) ^ (column + np.uint64(0x9E3779B97F4A7C15))
+        out[i:i + CHUNK] = mixed(found)
     return out
 
 
@@ -142,7 +152,7 @@ def blocks(docs: DataFrame, n_buckets: int) -> DataFrame:
 
 
 class Block:
-    """The stretches of a packed block, and the distinct ones among them, ordered by mark."""
+    """The stretches of a packed block, and the distinct ones among them."""
 
     def __init__(self, row):
         self.docs, lengths = np.frombuffer(row.docs, np.int64), np.frombuffer(row.lengths, np.int64)
@@ -152,18 +162,14 @@ class Block:
         self.part = np.searchsorted(ends, self.at, "right")
         self.begins = ends - lengths
         self.keys = self.docs[self.part]
-        self.own = np.concatenate([digests(_at(self.text, self.at[i:i + 65536], self.lengths[i:i + 65536], WIDTH),
-                                           self.lengths[i:i + 65536]) for i in range(0, max(1, len(self.at)), 65536)])
-        order = np.lexsort((self.own, self.marks))
-        new_mark = _differs(self.marks[order])
-        new = new_mark | _differs(self.own[order])
+        self.own = digests(self.text, self.at, self.lengths)
+        order = np.argsort(self.own)
+        new = _differs(self.own[order]) | _differs(self.marks[order])
         first = np.flatnonzero(new)
         self.which = np.empty(len(order), np.int64)
         self.which[order] = np.cumsum(new) - 1
         self.distinct = order[first]  # one stretch of each kind
         self.least = np.minimum.reduceat(self.keys[order], first) if len(first) else self.keys
-        self.mark = np.cumsum(new_mark[first]) - 1  # of each kind, the number of its mark
-        self.distinct_marks = self.marks[order[new_mark]]
 
     def places(self, of: np.ndarray) -> np.ndarray:
         """Where stretches start in their documents."""
@@ -177,7 +183,7 @@ def _differs(x: np.ndarray) -> np.ndarray:
 
 def _dealt(values: np.ndarray, n_buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     """Each bucket that has some of the hashes, and which."""
-    bucket = (mixed(values) % np.uint64(n_buckets)).astype(np.int64)
+    bucket = (mixed(values) % np.uint64(n_buckets)).astype(np.min_scalar_type(n_buckets))
     order = np.argsort(bucket, kind="stable")
     edges = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
     for b in np.flatnonzero(np.diff(edges)):
@@ -188,14 +194,17 @@ _SMALLER, _SHARED, _HOT = 1, 2, 4
 
 
 def verdicts(marks: np.ndarray, own: np.ndarray, keys: np.ndarray, hot: int) -> np.ndarray:
-    """For each stretch: has a smaller document an equal one; has its mark others; more than ``hot``."""
+    """For each stretch: has a smaller document an equal one; has its mark others, of another smallest document; more than
+    ``hot``. If all have the same smallest document, nobody loses anything that equal stretches do not tell."""
     order = np.lexsort((own, marks))
     new_mark = _differs(marks[order])
     new = new_mark | _differs(own[order])
     least = np.minimum.reduceat(keys[order], np.flatnonzero(new))[np.cumsum(new) - 1]
-    kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_mark))[np.cumsum(new_mark) - 1]
+    of, of_mark = np.cumsum(new_mark) - 1, np.flatnonzero(new_mark)
+    kinds = np.add.reduceat(new.astype(np.int64), of_mark)[of]
+    several = (np.minimum.reduceat(least, of_mark) < np.maximum.reduceat(least, of_mark))[of]
     out = np.empty(len(order), np.uint8)
-    out[order] = _SMALLER * (least < keys[order]) | _SHARED * (kinds > 1) | _HOT * (kinds > hot)
+    out[order] = _SMALLER * (least < keys[order]) | _SHARED * several | _HOT * (kinds > hot)
     return out
 
 
@@ -228,10 +237,10 @@ def judged_block(name: str, block: Block, answers: np.ndarray, n_buckets: int) -
     at, marks, places = block.at[of] + shift, block.marks[of], block.places(of) + shift
     if len(hot):
         alone = slice(len(cool), None)
-        marks[alone] = digests(_at(block.text, at[alone], lengths[alone], WIDTH), lengths[alone])
+        marks[alone] = digests(block.text, at[alone], lengths[alone])
     part = block.part[of]
     for b, own in _dealt(marks, n_buckets):
-        text = _at(block.text, at[own], lengths[own], WIDTH)[np.arange(WIDTH) < lengths[own, None]]
+        text = _at(block.text, at[own], lengths[own]).view(np.uint8)[np.arange(WIDTH) < lengths[own, None]]
         yield (b, name, _i64(part[own]), _i64(block.docs[part[own]]), _i64(places[own]), _i64(lengths[own]),
                marks[own].tobytes(), text.tobytes())
 
@@ -252,14 +261,14 @@ def suffix_order(symbols: np.ndarray, covers: int = 1, enough: int = SPAN) -> np
     rank = np.zeros(n + 3, np.int64)
     if len(triples) == len(sample) or covers * 3 >= enough:
         rank[sample] = names + 1
-        ordered = sample[np.argsort(names, kind="stable")]
+        ordered = sample[np.argsort(names)]
     else:
         ordered = sample[suffix_order(names + 1, covers * 3, enough)]
         rank[ordered] = np.arange(1, len(sample) + 1)
     ordered = ordered[ordered < n]
     zeros = np.arange(0, n, 3)
     top = n + 2
-    zeros = zeros[np.argsort(t[zeros] * top + rank[zeros + 1], kind="stable")]
+    zeros = zeros[np.argsort(t[zeros] * top + rank[zeros + 1])]
     # A suffix at 0 compares with one at 1 by a symbol and a rank, with one at 2 by two symbols and a rank.
     one, two = ordered[ordered % 3 == 1], ordered[ordered % 3 == 2]
     before = np.searchsorted(t[one] * top + rank[one + 1], t[zeros] * top + rank[zeros + 1])
@@ -364,7 +373,7 @@ def _answered(dealt: DataFrame, work) -> DataFrame:
         _by_bucket(run, ["block", "bucket", "which", "answers"]), "block string, bucket long, which binary, answers binary")
 
 
-def _answers(block: Block, answers: pd.DataFrame, n: int) -> np.ndarray:
+def _answers(answers: pd.DataFrame, n: int) -> np.ndarray:
     """The answers in one array, zero where there is none."""
     out = np.zeros(n, np.uint8)
     out[np.frombuffer(b"".join(answers.which), np.int32)] = np.frombuffer(b"".join(answers.answers), np.uint8)
@@ -392,9 +401,8 @@ def repeats(packed: DataFrame, n_buckets: int, hot: int = HOT) -> DataFrame:
         out = []
         for row in own.itertuples(index=False):
             block = Block(row)
-            elsewhere = _answers(block, answers, len(block.distinct_marks)) > 0
-            several = np.bincount(block.mark, minlength=len(elsewhere)) > 1
-            wanted = np.flatnonzero((elsewhere | several)[block.mark]) if len(block.mark) else block.mark
+            marks, mark, kinds = np.unique(block.marks[block.distinct], return_inverse=True, return_counts=True)
+            wanted = np.flatnonzero(((_answers(answers, len(marks)) > 0) | (kinds > 1))[mark])
             marks, digest = block.marks[block.distinct[wanted]], block.own[block.distinct[wanted]]
             for b, of in _dealt(marks, n_buckets):
                 out.append((b, row.block, len(of), wanted[of].astype(np.int32).tobytes(), marks[of].tobytes(), digest[of].tobytes(),
@@ -409,7 +417,7 @@ def repeats(packed: DataFrame, n_buckets: int, hot: int = HOT) -> DataFrame:
         out = []
         for row in own.itertuples(index=False):
             block = Block(row)
-            out.extend(judged_block(row.block, block, _answers(block, answers, len(block.distinct)), n_buckets))
+            out.extend(judged_block(row.block, block, _answers(answers, len(block.distinct)), n_buckets))
         return pd.DataFrame(out, columns=_NAMES)
 
     own = packed.select("block", "docs", "lengths", "text").groupBy("block")

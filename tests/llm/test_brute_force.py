@@ -1,6 +1,5 @@
 """Operators against plain versions, on odd rows and on the smallest tables."""
 
-
 import brute
 import numpy as np
 import public_tokenizers
@@ -85,7 +84,7 @@ def test_suffix_dedup_left_borders(spark):
     assert collected(got, "*") == brute.bag(brute.suffix_dedup(rows))
 
 
-@pytest.mark.parametrize("part", [64, 1000, 1 << 20])
+@pytest.mark.parametrize("part", [64, 1000, 1 << 16])
 @pytest.mark.parametrize("kinds", [1, 2, 26])
 def test_suffix_dedup_stretches(monkeypatch, part, kinds):
     """Every string of a text lies in exactly one stretch, and equal strings in stretches of one mark."""
@@ -117,7 +116,7 @@ def test_suffix_order(kinds):
         assert sorted(near) == list(range(n)) and cut(near) == cut(want)
 
 
-@pytest.mark.parametrize("lot", [100, 1 << 19])
+@pytest.mark.parametrize("lot", [100, 1 << 16])
 @pytest.mark.parametrize("hot", [1, 5])
 def test_suffix_dedup_hot_marks(spark, monkeypatch, hot, lot):
     """One passage between texts that all differ: its outer strings are dealt one by one."""
