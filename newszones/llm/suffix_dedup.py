@@ -322,21 +322,24 @@ def sorted_bucket(held: list) -> Iterator[tuple]:
     marks = np.frombuffer(b"".join(r.marks for r in held), np.uint64)
     text = np.frombuffer(b"".join(r.text for r in held), np.uint8)
     begins = np.cumsum(lengths) - lengths
+    found = []
     for lot in _lots(marks, lengths):
         n = lengths[lot]
         own = np.cumsum(n) - n
         part = np.repeat(np.arange(len(lot)), n)
         within = np.arange(n.sum()) - own[part]
-        found = repeated(text[begins[lot][part] + within], n, docs[lot])
-        part, within = part[found], within[found]
-        first, a, b = joined(part, starts[lot][part] + within, starts[lot][part] + within + SPAN)
-        of = lot[part[first]]
-        order = np.argsort(source[of], kind="stable")
-        of, a, b = of[order], a[order], b[order]
-        for run in np.split(np.arange(len(of)), np.flatnonzero(np.diff(source[of])) + 1):
-            if len(run):
-                yield (-1, held[source[of[run[0]]]].block, _i64(parts[of[run]]), _i64(docs[of[run]]), _i64(a[run]),
-                       _i64(b[run] - a[run]), b"", b"")
+        gone = repeated(text[begins[lot][part] + within], n, docs[lot])
+        part, within = part[gone], within[gone]
+        first, a, b = joined(part, within, within + SPAN)
+        found.append((lot[part[first]], a, b - a))
+    of, start, n = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(source[of], kind="stable")
+    of, start, n = of[order], start[order], n[order]
+    for run in np.split(np.arange(len(of)), np.flatnonzero(np.diff(source[of])) + 1):
+        if len(run):
+            own = of[run]
+            yield (-1, held[source[own[0]]].block, _i64(parts[own]), _i64(docs[own]), _i64(starts[own] + start[run]),
+                   _i64(n[run]), b"", b"")
 
 
 def _by_bucket(work, columns: list[str]):
@@ -346,8 +349,8 @@ def _by_bucket(work, columns: list[str]):
         at, held = None, []
 
         def done() -> Iterator[pd.DataFrame]:
-            for row in work(at, held) if held else ():
-                yield pd.DataFrame([row], columns=columns)
+            if held:
+                yield pd.DataFrame(list(work(at, held)), columns=columns)
 
         for pdf in batches:
             for row in pdf.itertuples(index=False):
@@ -389,9 +392,9 @@ def repeats(packed: DataFrame, n_buckets: int, hot: int = HOT) -> DataFrame:
         for pdf in batches:
             for row in pdf.itertuples(index=False):
                 marks = np.unique(stretches(row.text, np.frombuffer(row.lengths, np.int64))[2])
-                for b, of in _dealt(marks, n_buckets):
-                    yield pd.DataFrame({"bucket": [b], "block": [row.block], "n": [len(of)], "which": [of.astype(np.int32).tobytes()],
-                                        "marks": [(marks[of] >> np.uint64(32)).astype(np.uint32).tobytes()]})
+                yield pd.DataFrame([(b, row.block, len(of), of.astype(np.int32).tobytes(),
+                                     (marks[of] >> np.uint64(32)).astype(np.uint32).tobytes())
+                                    for b, of in _dealt(marks, n_buckets)], columns=["bucket", "block", "n", "which", "marks"])
 
     def seen_elsewhere(held: list) -> np.ndarray:
         _, which, n = np.unique(np.frombuffer(b"".join(r.marks for r in held), np.uint32), return_inverse=True, return_counts=True)
