@@ -152,10 +152,24 @@ def test_decontaminate_table(spark, table):
         brute.decontaminate(table, items))
 
 
-def test_benchmark_bound(spark, docs):
-    bench = spark.createDataFrame([(1, "a" * 100)], "item_id long, text string")
-    with pytest.raises(ValueError, match="max_bytes"):
-        decontaminate.find_hits(docs, bench, max_bytes=10)
+@pytest.mark.parametrize("max_nodes", [1, 60, 400])
+def test_benchmark_in_lots(spark, table, max_nodes):
+    """A benchmark beyond the bound of one automaton, long items included, gives the same result."""
+    own = [t for _, t in table if t][:40]
+    items = [(f"i{i}", " ".join(t.split()[3:3 + n])) for i, (t, n) in enumerate(zip(own, [5, 13, 14, 40, 90] * 3))]
+    items += [("none", None), ("short", "the")]
+    rows = table[:60] + [(None, None), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    given = spark.createDataFrame(items, "item_id string, text string")
+    want = decontaminate.find_hits(docs, given)
+    assert len(list(decontaminate.lots(((i, (t or "").encode()) for i, t in items), 13, max_nodes))) > 1
+    got = decontaminate.find_hits(docs, given, max_nodes=max_nodes) if max_nodes > 1 else None
+    if got is None:  # one window a lot: only the cutting
+        parts = [x for lot in decontaminate.lots(((i, (t or "").encode()) for i, t in items), 13, 1) for x in lot]
+        assert all(len(t.split()) <= 13 for _, t in parts)
+        return
+    assert got.filter("hit_.n_hit > 0").count() > 5
+    assert brute.bag(map(str, got.collect())) == brute.bag(map(str, want.collect()))
 
 
 def test_token_files(spark, docs, rows):
