@@ -5,7 +5,7 @@ Texts are normalised to words: A-Z lower-cased, words are runs of letters, digit
 characters: words that no item has are 0, so each document is scanned once, whatever the number of windows. Matches are
 positions of words; word positions map to character spans of the original text.
 
-The windows are broadcast as item texts, and each Python worker builds the automaton once. It has at most a node for each
+The windows are broadcast as item texts, and each task builds the automaton and lets go of it. It has at most a node for each
 word of each window, so the items go in lots of at most ``max_nodes`` such words (a long item is cut, its parts overlap by a
 window less one word). A benchmark is given by people and does not grow with the corpus: one lot is the rule, and documents
 are only mapped, without a shuffle, so neither a hot source nor a passage in every document matters. A larger benchmark costs
@@ -17,7 +17,6 @@ texts all count. Rows are judged one by one, so repeated rows and repeated keys
 repeat. Empty tables work. The result has the documents' own columns, and a struct ``hit_``, or another name to be chosen (:func:`fresh_name`).
 """
 
-import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -101,25 +100,6 @@ def lots(items: Iterator[tuple[str, bytes]], window: int, max_nodes: int) -> Ite
     yield held
 
 
-_BUILT: dict[str, Windows] = {}  # of a worker: the automaton it used last
-
-
-def _built(name: str, items, window: int) -> Windows:
-    if name not in _BUILT:
-        _BUILT.clear()
-        _BUILT[name] = Windows(items.value, window)
-    return _BUILT[name]
-
-
-def char_spans(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Character spans in the original text of runs of words."""
-    kept = np.frombuffer(text.translate(NORMAL), np.uint8) != 32
-    edge = np.diff(np.concatenate(([0], kept.view(np.int8), [0])))
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    chars = np.concatenate(([0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)))
-    return [(int(chars[starts[a]]), int(chars[ends[b]])) for a, b in runs]
-
-
 _SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 _ARROW_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 HITS = T.StructType([
@@ -149,10 +129,8 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: s
 
 def _scanned(docs: DataFrame, at: int, items, window: int, further: bool) -> DataFrame:
     """``docs`` with ``hit``; if that is there (``further``), with the hits of these items as well."""
-    name = uuid.uuid4().hex
-
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = _built(name, items, window)
+        windows = Windows(items.value, window)
         for batch in batches:
             rows, before = [], batch.columns[-1].to_pylist() if further else None
             for i, text in enumerate(batch.column(at)):
