@@ -2,6 +2,7 @@
 
 import math
 import os
+import time
 from pathlib import Path
 
 import brute
@@ -256,6 +257,22 @@ def test_lines():
     assert html_text.lines_of("<nav>never closed<p>text")[0] == ["never closed", "text"]
 
 
+def test_lines_of_broken_markup():
+    cases = {"<p>a<!-- b": ["a"], "<p>a<script>b</p>c": ["a"], "x<p>a<b": ["x", "a<b"], '<p title="x>a</p>b': ["a", "b"],
+             "<p>1</p>2 < 3": ["1", "2 < 3"], "<div><p>a</section></div></div>b": ["a", "b"], "<nav>a<nav>b</nav>c": ["c"]}
+    assert [html_text.lines_of(x)[0] for x in cases] == list(cases.values())
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a "', "<a '\"", "<div>", "</section>", "<div></p", "<nav>", "<script ", "<!-- ", "<nav><div>x"])
+def test_lines_take_time_in_proportion(piece):
+    """A megabyte of broken markup is read in seconds, wherever its last tag ends."""
+    page = piece * (1_000_000 // len(piece))
+    for x in (page, page + ">", "<div>" * 50_000 + page + "</div>"):
+        start = time.process_time()
+        html_text.lines_of(x)
+        assert time.process_time() - start < 15
+
+
 def test_common():
     assert html_text.common([1, 2, 3, 2, 5], [2, 3, 2, 9]) == [1, 2, 3]
     assert html_text.common([], [1]) == []
