@@ -259,7 +259,7 @@ def test_lines():
 
 def test_lines_of_broken_markup():
     cases = {"<p>a<!-- b": ["a"], "<p>a<script>b</p>c": ["a"], "x<p>a<b": ["x", "a<b"], '<p title="x>a</p>b': ["a", "b"],
-             "<p>1</p>2 < 3": ["1", "2 < 3"], "<div><p>a</section></div></div>b": ["a", "b"], "<nav>a<nav>b</nav>c": ["c"]}
+             "<p>1</p>2 < 3": ["1", "2 < 3"], "<div><p>a</section></div></div>b": ["a", "b"], "<nav>a<nav>b</nav>c": []}
     assert [html_text.lines_of(x)[0] for x in cases] == list(cases.values())
 
 
@@ -295,6 +295,39 @@ def test_differencing(spark, nothing):
     assert html_text.main_text(nothing).count() == 0
 
 
+def story(n, host="h", menu="Menu line"):
+    return f"<div><p>{menu} of {host}</p><p>Story {n} begins here with words {n * 7}</p><p>It goes on for long, {n}</p></div>"
+
+
+def test_nearest_across_windows(spark):
+    """As by brute force over the whole host, wherever windows end: sections share a line, so that the nearest page tells."""
+    rows = [(n, f"http://h.example/{n // 5:02d}/{n:03d}", story(n, menu=f"Section {n // 5}")) for n in range(60)]
+    rows += [(100 + n, f"http://x{n}.example/", story(n, f"x{n}")) for n in range(30)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for group in (4, 10, 64):
+        got = {r.page: r.lines for r in html_text.main_text(pages, group=group).collect()}
+        assert len(got) == len(rows)
+        for n in range(60):
+            assert got[n] == [f"Story {n} begins here with words {n * 7}", f"It goes on for long, {n}"], (group, n)
+        assert all(len(got[100 + n]) == 3 for n in range(30))  # alone on their hosts
+
+
+@pytest.mark.parametrize("copies", [5, 40, 150])
+def test_copies_find_a_page_beyond_their_windows(spark, copies):
+    """Near copies of one page, more than a window holds, and few other pages of the host; a host of copies alone."""
+    def copy(n, host):
+        return story(1, host).replace("</div>", f"<p>no. {n}</p></div>")
+    rows = [(n, f"http://h.example/a/{n:04d}", copy(n, "h")) for n in range(copies)]
+    rows += [(1000 + n, f"http://h.example/z/{n}", story(50 + n, "h")) for n in range(2)]
+    rows += [(2000 + n, f"http://only.example/a/{n:04d}", copy(n, "only")) for n in range(copies)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page: r.lines for r in html_text.main_text(pages, group=8).collect()}
+    want = ["Story 1 begins here with words 7", "It goes on for long, 1"]
+    for n in range(copies):
+        assert got[n] == [*want, f"no. {n}"] and got[2000 + n] == ["Menu line of only", *want, f"no. {n}"]
+    assert all(len(got[1000 + n]) == 2 for n in range(2))
+
+
 # --- pipeline ---
 
 def test_pipeline(spark, tmp_path):
