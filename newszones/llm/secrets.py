@@ -12,6 +12,8 @@ The dictionary holds at most ``DICTIONARY`` words, those of most documents; ever
 not depend on partitions. A task passes its counts on whenever it holds ``HELD_WORDS`` of them. The forest is trained by Spark on at most
 ``train_rows`` findings, chosen by a hash. Documents are only mapped; findings are few.
 
+What is found is not stored: only offsets, digests, features and labels are written between jobs (:func:`sealed`).
+
 Null and empty texts have no findings. Null paths have no parts. Repeated rows give repeated findings. Without labelled
 findings of both kinds the probability is the share of real ones, or null without any. Very long texts are scanned whole.
 An empty table gives no rows. Other columns are not looked at.
@@ -152,9 +154,15 @@ def findings(docs: DataFrame, key: str, text: str, path: str, words: list[bytes]
     return own.mapInArrow(scan, "key long, start long, length long, secret string, before string, features array<double>")
 
 
+def sealed(found: DataFrame) -> DataFrame:
+    """``found`` with a digest (``secret_sha256``) instead of the string, and without what stands before it."""
+    return found.withColumn("secret_sha256", F.sha2("secret", 256)).drop("secret", "before")
+
+
 def judged(found: DataFrame, labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """``found`` with ``p_secret``. ``labelled``: findings with ``label`` 0 or 1."""
-    sample = labelled.filter(F.col("label").isin(0, 1)).orderBy(F.xxhash64("key", "start", "secret"), "key", "start").limit(train_rows)
+    order = ["key", "start", "length"]
+    sample = labelled.filter(F.col("label").isin(0, 1)).orderBy(F.xxhash64(*order), *order).limit(train_rows)
     rows = write_and_read(sample.select("features", F.col("label").cast("double").alias("label")),
                           work_path(found.sparkSession, "secret_labels"))
     kinds = rows.agg(F.count_distinct("label"), F.avg("label")).first()
@@ -190,7 +198,7 @@ def known_format(found: DataFrame) -> DataFrame:
 def op1_secret_scan(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = findings(docs, "doc_id", "text", "source", dictionary(docs, "text"))
-    found = write_and_read(found, work_path(spark, "secret_findings"))
-    return judged(found, known_format(found)).select(
-        F.col("key").alias("doc_id"), "start", "length", F.sha2("secret", 256).alias("secret_sha256"),
+    found = write_and_read(sealed(known_format(found)), work_path(spark, "secret_findings"))
+    return judged(found.drop("label"), found).select(
+        F.col("key").alias("doc_id"), "start", "length", "secret_sha256",
         F.round("p_secret", 6).alias("p_secret"), (F.col("p_secret") >= 0.5).alias("is_secret"))
