@@ -8,7 +8,9 @@ share, the steps are:
 2. A set with more than ``n - c`` tokens that no other set has is finished. That is counted over all documents for a fixed
    share of the tokens (a hash range), which can only let more sets pass. Tokens go to their buckets in packed arrays, at
    most one entry for a token and block of documents, so a token in every document is no hot spot.
-3. For what is left, tokens are ordered by how many sets have them. Rare tokens of the prefix (``n - c + 1`` tokens) are
+3. For what is left, tokens are ordered by how many sets have them. That is counted in packed arrays as well: a block of
+   sets sends 32 bits of each of its tokens to the bucket of its range and gets the numbers back in the same order. Tokens that these bits
+   do not tell apart get the sum, which is one order for all sets, and none too small. Rare tokens of the prefix (``n - c + 1`` tokens) are
    keys by themselves. For tokens in ``frequent`` sets or more the prefix is extended by one and each pair of them is a
    key: if the first common token is frequent, so is every later one, and two of them lie in both extended prefixes. Pairs
    grow with the square of the prefix, so that sets above ``PAIR_TOKENS`` tokens use single frequent tokens; classes of
@@ -29,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newszones.llm.components import components
@@ -46,13 +48,18 @@ SKETCH_WORDS = 16
 #: Parts that a class is dealt into where its key is looked up.
 PARTS = 16
 CHUNK = 256
-#: Sets that a worker builds at once.
-SET_ROWS = 1000
+#: Sets that a worker builds at once, and whose tokens travel as one block.
+SET_ROWS = 500
 #: Share of the tokens that step 2 counts, in 256ths.
 COUNTED = 104
 BUCKET_TOKENS = 1 << 22
+#: Tokens of sets left after step 2 that a worker counts at once.
+LEFT_TOKENS = 1 << 20
+#: Bits of the map that tells most of the rows without partner, so that they need not move.
+MOST_BITS = 1 << 27
+_MAP_BITS = 1 << 15
 _SIGNATURE = "key long, h long, n long, a long, b long, counted long"
-_SET = "node long, n long, tokens binary, sketch array<long>"
+_SET = "block long, node long, n long, tokens binary, sketch array<long>"
 
 
 def required(n):
@@ -97,7 +104,7 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def token_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
-    """``node, n, tokens, sketch`` of ``nodes`` (``node, key, h, a, rows``), from the rows that have their key and text."""
+    """``block, node, n, tokens, sketch`` of ``nodes`` (``node, key, h, a, rows``), from the rows that have their key and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -106,13 +113,15 @@ def token_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFr
                 sets = [shingles(raw.as_py()) for raw in batch.column(2)]
                 good = [_identity(s)[0] == a for s, a in zip(sets, batch.column(1).to_pylist())]
                 sets = [s for s, g in zip(sets, good) if g]
+                own = batch.column(0).filter(pa.array(good, pa.bool_()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).filter(pa.array(good, pa.bool_())), pa.array([len(s) for s in sets], pa.int64()),
+                    [pa.array([batch.column(0)[0].as_py()] * len(sets), pa.int64()), own, pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([s.tobytes() for s in sets], pa.binary()),
-                     pa.array([_sketch(s) for s in sets], pa.list_(pa.int64()))], names=["node", "n", "tokens", "sketch"])
+                     pa.array([_sketch(s) for s in sets], pa.list_(pa.int64()))], names=["block", "node", "n", "tokens", "sketch"])
 
     def sets(some: DataFrame) -> DataFrame:
-        return _texts(docs, key, text).join(some, ["key", "h"]).select("node", "a", "raw").mapInArrow(run, _SET)
+        texts = _likely(_texts(docs, key, text), "h", some.select("h"))
+        return texts.join(some, ["key", "h"]).select("node", "a", "raw").mapInArrow(run, _SET)
 
     # Rows that are there several times are few; only for them equal sets are dropped.
     return sets(nodes.filter("rows = 1")).unionByName(sets(nodes.filter("rows > 1")).dropDuplicates(["node"]))
@@ -150,35 +159,84 @@ def prefix_keys(tokens: np.ndarray, counts: np.ndarray, n: int, frequent: int) -
     return np.concatenate(keys)
 
 
+def _likely(rows: DataFrame, name: str, keys: DataFrame) -> DataFrame:
+    """``rows`` whose ``name`` may be in ``keys`` (one column): all that are, and a few others while keys are much fewer than
+    ``MOST_BITS``. The keys are broadcast as a map of bits."""
+    bits = min(MOST_BITS, max(_MAP_BITS, 1 << (16 * keys.count()).bit_length()))
+
+    def place(c: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(bits))
+
+    # These functions count from 1.
+    place_of_key = place(keys.columns[0]) + 1
+    maps = keys.groupBy((F.bitmap_bucket_number(place_of_key) - 1).alias("map_")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place_of_key)).alias("bits_"))
+    placed = rows.withColumn("place_", place(name))
+    byte = F.substring("bits_", (F.pmod("place_", F.lit(_MAP_BITS)) / 8).cast("int") + 1, F.lit(1))
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod("place_", F.lit(8)).cast("int"))
+    return placed.join(F.broadcast(maps), F.floor(F.col("place_") / _MAP_BITS) == F.col("map_")).filter(bit == 1).select(*rows.columns)
+
+
+def _of_block(pdf: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
+    """The token sets of a block, and the distinct tokens in ascending order."""
+    own = [np.frombuffer(x, np.uint64) for x in pdf.tokens]
+    return own, np.unique(np.concatenate(own))
+
+
+def counted_tokens(sets: DataFrame, bucket_tokens: int = LEFT_TOKENS) -> DataFrame:
+    """``block, bucket, counts``: how many sets have each of the distinct tokens of a block, in ascending order of buckets and tokens."""
+    n_buckets = int((sets.agg(F.sum("n")).first()[0] or 0) // bucket_tokens) + 1
+
+    def deal(pdf: pd.DataFrame) -> pd.DataFrame:
+        own, tokens = _of_block(pdf)
+        every = np.sort(np.concatenate(own))
+        times = np.diff(np.append(np.searchsorted(every, tokens), len(every))).astype("<u4")
+        bucket = np.minimum(((tokens >> np.uint64(32)) * (n_buckets / 2.0 ** 32)).astype(np.int64), n_buckets - 1)
+        edges = np.searchsorted(bucket, np.arange(n_buckets + 1))
+        low = (tokens & np.uint64(0xFFFFFFFF)).astype("<u4")
+        there = np.flatnonzero(np.diff(edges))
+        parts = [slice(edges[b], edges[b + 1]) for b in there]
+        return pd.DataFrame({"bucket": there.astype(np.int32), "block": pdf.block.iloc[0],
+                             "low": [low[p].tobytes() for p in parts], "times": [times[p].tobytes() for p in parts]})
+
+    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        low = [np.frombuffer(x, "<u4") for x in pdf.low]
+        _, place = np.unique(np.concatenate(low), return_inverse=True)
+        # Sums below 2^53 are exact as doubles.
+        total = np.bincount(place, np.concatenate([np.frombuffer(x, "<u4") for x in pdf.times]))
+        counts = np.split(total[place].astype("<u4"), np.cumsum([len(x) for x in low])[:-1])
+        return pd.DataFrame({"block": pdf.block, "bucket": pdf.bucket, "counts": [c.tobytes() for c in counts]})
+
+    dealt = sets.select("block", "node", "n", "tokens").groupBy("block").applyInPandas(
+        deal, "bucket int, block long, low binary, times binary")
+    return dealt.groupBy("bucket").applyInPandas(meet, "block long, bucket int, counts binary")
+
+
 def keys_of(sets: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     """``key, node, n, live, weight``: what the sets are indexed by. ``live`` is how many tokens of the set other sets have
     as well: no partner can share more. ``weight`` is how many sets have a token of the set, on
     average: in a group of near copies it is largest for the text that the others vary."""
 
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [np.frombuffer(x.as_py(), "<i8") for x in batch.column(1)]
-            if own:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(batch.column(0).to_numpy(), [len(x) for x in own])), pa.array(np.concatenate(own))],
-                    names=["node", "token"])
-
-    spark = sets.sparkSession
-    flat = sets.select("node", "tokens").mapInArrow(tokens, "node long, token long")
-    shared = flat.groupBy("token").agg(F.count("*").alias("sets")).filter("sets > 1")
-    per_node = (flat.join(shared, "token").groupBy("node").agg(F.collect_list(F.struct("token", "sets")).alias("own"))
-                .join(sets.select("node", "n"), "node").filter(F.size("own") * 100 >= F.col("n") * PERCENT))
-
-    def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for node, n, own in zip(pdf.node, pdf.n, pdf.own):
-                pairs = np.array([(r["token"], r["sets"]) for r in own], np.int64)
-                keys = prefix_keys(pairs[:, 0].copy().view(np.uint64), pairs[:, 1], int(n), frequent)
-                yield pd.DataFrame({"key": keys.view(np.int64), "node": node, "n": n, "live": len(pairs),
-                                    "weight": pairs[:, 1].sum() / n})
-
-    return write_and_read(per_node.mapInPandas(index, "key long, node long, n long, live long, weight double"),
-                          work_path(spark, "jaccard_keys"))
+    def index(pdf: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFrame:
+        own, tokens = _of_block(pdf)
+        counts = np.concatenate([np.frombuffer(x, "<u4") for x in counted.sort_values("bucket").counts]).astype(np.int64)
+        keys, which, live, weight = [], [], [], []
+        for at, mine in enumerate(own):
+            times = counts[np.searchsorted(tokens, mine)]
+            shared = times > 1
+            if 100 * shared.sum() >= PERCENT * len(mine):
+                found = prefix_keys(mine[shared], times[shared], len(mine), frequent)
+                keys.append(found.view(np.int64))
+                which.append(np.full(len(found), at))
+                live.append(np.full(len(found), shared.sum()))
+                weight.append(np.full(len(found), times[shared].sum() / len(mine)))
+        keys, which, live, weight = (np.concatenate(x or [np.empty(0, np.int64)]) for x in (keys, which, live, weight))
+        return pd.DataFrame({"key": keys, "node": pdf.node.to_numpy()[which], "n": pdf.n.to_numpy()[which], "live": live, "weight": weight})
+
+    own = sets.select("block", "node", "n", "tokens")
+    found = own.groupBy("block").cogroup(counted_tokens(sets).groupBy("block")).applyInPandas(
+        index, "key long, node long, n long, live long, weight double")
+    return write_and_read(found, work_path(sets.sparkSession, "jaccard_keys"))
 
 
 def _plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -207,7 +265,8 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 good.append(100 * common >= PERCENT * (len(a) + len(b) - common))
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(good, pa.bool_())) for c in batch.columns[:2]], names=["x", "y"])
 
-    own = sets.select("node", "tokens")
+    pairs = write_and_read(pairs, work_path(sets.sparkSession, "jaccard_pairs"))
+    own = _likely(sets.select("node", "tokens"), "node", pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct())
     both = (pairs.join(own.select(F.col("node").alias("x"), F.col("tokens").alias("tx")), "x")
             .join(own.select(F.col("node").alias("y"), F.col("tokens").alias("ty")), "y"))
     return both.select("x", "y", "tx", "ty").mapInArrow(run, "x long, y long")

@@ -53,6 +53,34 @@ def test_jaccard_key_kinds(docs, rows, monkeypatch, frequent, pair_tokens):
     assert collected(jaccard.near_duplicates(docs), "key", "n", "component") == brute.bag(brute.jaccard(rows))
 
 
+@pytest.mark.parametrize("bucket_tokens", [7, 1 << 20])
+def test_jaccard_counted_tokens(spark, bucket_tokens):
+    """Each block gets the number of sets that have its tokens, packed, from few or many buckets."""
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 1 << 64, 40, np.uint64)
+    own = {node: np.unique(rng.choice(pool, 12)) for node in range(30)}
+    sets = spark.createDataFrame([(node // 8, node, len(t), t.tobytes()) for node, t in own.items()],
+                                 "block long, node long, n long, tokens binary")
+    got = jaccard.counted_tokens(sets, bucket_tokens).orderBy("block", "bucket").collect()
+    assert len({(r.block, r.bucket) for r in got}) == len(got) and (bucket_tokens > 7 or len(got) > 8)
+    every = np.concatenate(list(own.values()))
+    for block in range(4):
+        tokens = np.unique(np.concatenate([t for node, t in own.items() if node // 8 == block]))
+        counts = np.concatenate([np.frombuffer(r.counts, "<u4") for r in got if r.block == block])
+        assert counts.tolist() == [int((every == x).sum()) for x in tokens]
+
+
+def test_jaccard_rows_without_partner_stay(spark, monkeypatch):
+    """Texts that are not in the join after the first count are left out before they move."""
+    rows = spark.range(20000).select("id", F.lit("text").alias("text"))
+    keys = spark.range(0, 20000, 50).select(F.col("id").alias("k"))
+    got = {r.id for r in jaccard._likely(rows, "id", keys).collect()}
+    assert got >= set(range(0, 20000, 50)) and len(got) < 3000
+    assert jaccard._likely(rows, "id", keys.limit(0)).count() == 0
+    monkeypatch.setattr(jaccard, "MOST_BITS", 1 << 15)  # a full map loses nothing
+    assert {r.id for r in jaccard._likely(rows, "id", rows.select("id")).collect()} == set(range(20000))
+
+
 def test_jaccard_table(spark, table):
     assert collected(QUERIES["op7_jaccard_join"](spark, SF), "doc_id", "n_shingles", "component_id") == brute.bag(brute.jaccard(table))
 
