@@ -4,6 +4,7 @@ Python only turns a page into lists of matched texts, per block and selector. Wh
 or all matches, defaults, required fields, links and stamps are column expressions on those lists.
 """
 
+from collections.abc import Iterator
 from html import escape
 
 import pyarrow as pa
@@ -19,6 +20,8 @@ from newszones.operators.html_tree import Tree, compile_selector, select
 from newszones.operators.rules import NEXT_PAGE, collect_rules
 
 FIELDS = ["titulo", "descripcion", "fecha", "seccion", "url"]
+#: Markup whose finds a worker holds as Python objects at once.
+PIECE_CHARS = 1 << 20
 
 _TEXTS = pa.list_(pa.string())
 _FOUND = pa.struct([
@@ -76,18 +79,30 @@ def _finder(plans: dict, n_slots: int):
         return {"blocks": found, "next_pages": next_pages, "faults": faults, "error": None, "markup": None}
 
     @F.arrow_udf(_FOUND_DDL)
-    def found(html: pa.Array, source: pa.Array) -> pa.Array:
-        out = []
-        for h, s in zip(html.to_pylist(), source.to_pylist()):
-            try:
-                out.append(find(h or "", s))
-            except Exception as e:  # one bad page must not end the job; it goes to quarantine
-                out.append({"blocks": [], "next_pages": [], "faults": [], "error": f"{type(e).__name__}: {e}", "markup": h})
-        return pa.array(out, _FOUND)
+    def found(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for html, source in batches:
+            yield from _in_pieces(find, html, source)
 
     return found
 
 
+def _in_pieces(find, htmls: pa.Array, sources: pa.Array) -> Iterator[pa.Array]:
+    """What ``find`` gives for each page, in arrays of about ``PIECE_CHARS`` of markup, however large the batch is."""
+    out, size = [], 0
+    for html, source in zip(htmls, sources):
+        html = html.as_py()
+        try:
+            out.append(find(html or "", source.as_py()))
+        except Exception as e:  # one bad page must not end the job; it goes to quarantine
+            out.append({"blocks": [], "next_pages": [], "faults": [], "error": f"{type(e).__name__}: {e}", "markup": html})
+        size += len(html or "") + 1
+        if size >= PIECE_CHARS:
+            yield pa.array(out, _FOUND)
+            out, size = [], 0
+    if out:
+        yield pa.array(out, _FOUND)
+
+
 def first_filled(*lists: Column) -> Column:
     """The first list with any element, else an empty one. Blank elements count."""
     chosen = F.lit(None).cast("array<string>")

@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,3 +160,24 @@ def test_failing_block_is_quarantined_with_its_markup(spark):
     assert (bad.reason, bad.error.partition(":")[0]) == ("bloque_ilegible", "AttributeError")
     assert bad._corrupt_record == '<li class="q"><b>a &lt; b</b><i>dos</i></li>'
     assert [(r.reason, r.n) for r in quarantine_counts(extract.rejected_blocks(blocks)).collect()] == [("bloque_ilegible", 1)]
+
+
+def test_pages_are_read_in_pieces():
+    """However many pages a batch has, few of them are held as Python objects."""
+    pages = pa.array(["x" * 1000, None, "bad"] * 5000)
+    held = []
+
+    def find(html, source):
+        held.append(html)
+        if html == "bad":
+            raise ValueError("no")
+        return {"blocks": [[[html]]], "next_pages": [], "faults": [], "error": None, "markup": None}
+
+    sizes, got = [], []
+    for piece in extract._in_pieces(find, pages, pa.array(["s"] * len(pages))):
+        sizes.append(len(held))
+        held.clear()
+        got += piece.to_pylist()
+    assert len(sizes) > 4 and max(sizes) * 334 <= extract.PIECE_CHARS + 4000
+    assert [r["error"] for r in got[:3]] == [None, None, "ValueError: no"]
+    assert [r["blocks"] for r in got] == [[[["x" * 1000]]], [[[""]]], []] * 5000
