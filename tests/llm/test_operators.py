@@ -312,6 +312,17 @@ def test_differencing(spark, nothing):
     assert html_text.main_text(nothing).count() == 0
 
 
+def test_differencing_of_declared_pages(spark):
+    """Pages that declare an article are compared as well: an article element that both have is no article of either, and a sentence
+    that two articles share stays."""
+    def page(n):
+        return (f"<article><p>Read our offers</p></article><article><p>Story {n} begins here with words {n * 7}</p><p>As we said</p>"
+                f"<p>It goes on for long, {n}</p></article>")
+    pages = spark.createDataFrame([(n, f"http://h.example/a/{n}", page(n)) for n in range(4)], "page_id long, url string, html string")
+    got = {r.page: r.lines for r in html_text.main_text(pages).collect()}
+    assert got == {n: [f"Story {n} begins here with words {n * 7}", "As we said", f"It goes on for long, {n}"] for n in range(4)}
+
+
 def story(n, host="h", menu="Menu line"):
     return f"<div><p>{menu} of {host}</p><p>Story {n} begins here with words {n * 7}</p><p>It goes on for long, {n}</p></div>"
 
