@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_TOKENS = 1 << 19
+#: Tokens of a bucket that a worker compares at once, and owners whose counts it holds.
+SLICE_TOKENS = 1 << 18
+HELD_OWNERS = 1 << 18
 
 
 def shared_tokens(docs: DataFrame, sets_of: Callable[[bytes, int | None], Iterator[tuple]], n_buckets: int,
@@ -16,9 +19,10 @@ def shared_tokens(docs: DataFrame, sets_of: Callable[[bytes, int | None], Iterat
 
     ``docs`` has ``key, raw``; ``sets_of(raw, key)`` gives owners (one, or one for each token) and tokens, hashes below
     ``share`` of 2^64. An owner may come again with the same tokens; it counts as one, and its count then counts each coming. A block sends
-    each token once, with its owner or a sign that it has several, so a token that all rows have is no hot spot.
+    each token once, with its owner or a sign that it has several, so a token that all rows have is no hot spot. A worker reads
+    a bucket where Arrow has put it and copies only a slice of it at a time: besides that it needs as much for any bucket.
     """
-    scale = share * 2.0 ** 32 / n_buckets
+    scale = n_buckets / (share * 2.0 ** 64)
 
     def block(owners: list[np.ndarray], sets: list[np.ndarray]) -> pa.RecordBatch:
         tokens = np.concatenate(sets)
@@ -34,8 +38,9 @@ def shared_tokens(docs: DataFrame, sets_of: Callable[[bytes, int | None], Iterat
         if len(known):
             rows.append((int(tokens[0] % np.uint64(n_buckets)), True, known.tobytes(), counts.astype("<u4").tobytes()))
         tokens, who = tokens[new], who[new]
-        low, high = (tokens & np.uint64(0xFFFFFFFF)).astype("<u4"), (tokens >> np.uint64(32)).astype(np.float64)
-        bucket = np.minimum((high / scale).astype(np.int64), n_buckets - 1)
+        place = tokens * scale
+        bucket = np.minimum(place.astype(np.int64), n_buckets - 1)
+        low = np.minimum((place - bucket) * 2.0 ** 32, 2.0 ** 32 - 1).astype("<u4")  # ascending within a bucket
         edges = np.searchsorted(bucket, np.arange(n_buckets + 1))
         for b in np.flatnonzero(np.diff(edges)):
             part = slice(edges[b], edges[b + 1])
@@ -63,42 +68,68 @@ def shared_tokens(docs: DataFrame, sets_of: Callable[[bytes, int | None], Iterat
             yield block(owners, sets)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, low, who, several = None, [], [], []
-
-        def counts(owners: np.ndarray, n: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-            if n is None:
-                owners, n = np.unique(owners, return_counts=True)
-            if len(owners):
-                yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(n.astype(np.int64))], names=["who", "repeated"])
-
-        def done() -> Iterator[pa.RecordBatch]:
-            if not low:
-                return
-            tokens, owners = np.concatenate(low), np.concatenate(who)
-            order = np.lexsort((owners, tokens))
-            tokens, owners = tokens[order], owners[order]
-            new = np.concatenate((np.ones(min(1, len(tokens)), bool), tokens[1:] != tokens[:-1]))
-            firsts = np.flatnonzero(new)
-            ends = np.append(firsts[1:], len(tokens)) - 1 if len(tokens) else firsts
-            shared = owners[firsts] != owners[ends]
-            if several:
-                shared |= np.isin(tokens[firsts], np.concatenate(several))
-            yield from counts(owners[shared[np.cumsum(new) - 1]], None)
+        at, rows, held, n = None, [], [], 0
+
+        def counts(found: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in found[0]], names=["who", "repeated"])
+
+        def hold(parts: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+            nonlocal held, n
+            for part in parts:
+                held.append(part)
+                n += len(part[0])
+                if n >= HELD_OWNERS:
+                    held = [_summed(held)]
+                    n = len(held[0][0])
+                    if n >= HELD_OWNERS // 2:
+                        yield counts(held)
+                        held, n = [], 0
 
         for batch in batches:
-            for bucket, known, w, x in zip(*(c.to_pylist() for c in batch.columns)):
+            for bucket, known, w, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
                 if bucket != at:
-                    yield from done()
-                    at, low, who, several = bucket, [], [], []
-                w, x = np.frombuffer(w, np.int64), np.frombuffer(x, "<u4")
+                    yield from hold(_repeated(rows))
+                    at, rows = bucket, []
+                w, x = np.frombuffer(w.as_buffer(), np.int64), np.frombuffer(x.as_buffer(), "<u4")
                 if known:
-                    yield from counts(w, x)
+                    yield from hold([(w.copy(), x.astype(np.int64))])
                 else:
-                    several.append(x[:len(x) - len(w)])
-                    low.append(x[len(x) - len(w):])
-                    who.append(w)
-        yield from done()
+                    rows.append((x[:len(x) - len(w)], x[len(x) - len(w):], w))
+        yield from hold(_repeated(rows))
+        if n:
+            yield counts([_summed(held)])
 
     dealt = docs.select("key", "raw").mapInArrow(deal, "bucket int, known boolean, who binary, low binary")
     met = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "who long, repeated long")
     return met.groupBy("who").agg(F.sum("repeated").alias("repeated"))
+
+
+def _repeated(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Owners in a bucket and how many of their tokens are repeated, slice by slice. ``rows`` of blocks: tokens of several owners,
+    tokens of one owner, both ascending, and the owners of the latter."""
+    n = sum(len(several) + len(one) for several, one, _ in rows) // SLICE_TOKENS + 1
+    edges = ((np.arange(1, n, dtype=np.uint64) << np.uint64(32)) // np.uint64(n)).astype("<u4")
+    cuts = [[np.concatenate(([0], np.searchsorted(x, edges), [len(x)])) for x in (several, one)] for several, one, _ in rows]
+    for k in range(n if rows else 0):
+        several = np.concatenate([x[c[k]:c[k + 1]] for (x, _, _), (c, _) in zip(rows, cuts)])
+        tokens = np.concatenate([x[c[k]:c[k + 1]] for (_, x, _), (_, c) in zip(rows, cuts)])
+        owners = np.concatenate([x[c[k]:c[k + 1]] for (_, _, x), (_, c) in zip(rows, cuts)])
+        if not len(tokens):
+            continue
+        order = np.argsort(tokens, kind="stable")
+        tokens, owners = tokens[order], owners[order]
+        new = np.concatenate(([True], tokens[1:] != tokens[:-1]))
+        firsts = np.flatnonzero(new)
+        shared = np.minimum.reduceat(owners, firsts) != np.maximum.reduceat(owners, firsts)
+        if len(several):
+            shared |= np.isin(tokens[firsts], several)
+        yield np.unique(owners[shared[np.cumsum(new) - 1]], return_counts=True)
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Each owner once, with the sum of its counts."""
+    owners, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(owners)
+    owners, n = owners[order], n[order]
+    firsts = np.flatnonzero(np.concatenate(([True], owners[1:] != owners[:-1])))
+    return owners[firsts], np.add.reduceat(n, firsts)

@@ -1,14 +1,18 @@
 """Operators against plain versions, on odd rows and on the smallest tables."""
 
+import tracemalloc
+
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from newszones.llm import decontaminate, exact_dedup, jaccard, suffix_dedup, token_files
 from newszones.llm.queries import QUERIES
+from newszones.llm.shared_tokens import shared_tokens
 
 SF = "/root/testdata/sf0.001"
 
@@ -70,6 +74,74 @@ def test_jaccard_counted_tokens(spark, bucket_tokens):
         assert counts.tolist() == [int((every == x).sum()) for x in tokens]
 
 
+class Steps:
+    """Stands for a frame: keeps the functions that it is asked to run."""
+
+    def __init__(self):
+        self.run = []
+
+    def mapInArrow(self, function, schema):
+        self.run.append(function)
+        return self
+
+    def __getattr__(self, name):
+        return lambda *a, **b: self
+
+
+def test_shared_tokens_bucket_in_bounded_memory(spark):
+    """A large bucket is counted rightly, and a worker needs little besides the bucket itself."""
+    n_docs, size = 64, 1 << 15
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 1 << 63, n_docs * size // 2, np.uint64)  # a share of 1/2
+    sets = {k: np.unique(rng.choice(pool, size)) for k in range(n_docs)}
+    steps = Steps()
+    shared_tokens(steps, lambda raw, key: [(key, sets[key])], 1, 0.5)
+    deal, meet = steps.run
+    docs = [*range(n_docs), 0]  # a set that comes twice counts as one owner
+    rows = pa.RecordBatch.from_arrays([pa.array(docs), pa.array([b""] * len(docs))], names=["key", "raw"])
+    dealt = list(deal(iter([rows])))
+    assert sum(len(x) for b in dealt for x in b.column(3).to_pylist()) > 4 * 1.6e6
+
+    tracemalloc.start()
+    got = {}
+    for batch in meet(iter(dealt)):
+        for who, n in zip(*(c.to_pylist() for c in batch.columns)):
+            got[who] = got.get(who, 0) + n
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    every, times = np.unique(np.concatenate(list(sets.values())), return_counts=True)
+    for k, own in sets.items():
+        there = int((times[np.searchsorted(every, own)] > 1).sum())
+        assert there * (1 + (k == 0)) <= got[k] <= there * (1 + (k == 0)) + 60  # 32 bits are compared
+    assert peak < 40e6, peak
+
+
+@pytest.mark.parametrize("n_buckets,slice_tokens,held", [(1, 1, 1), (5, 3, 2), (8, 1 << 18, 1 << 18)])
+def test_shared_tokens_counts(spark, monkeypatch, n_buckets, slice_tokens, held):
+    """However many buckets and slices there are and however often counts are sent on, the sums are the same."""
+    monkeypatch.setattr("newszones.llm.shared_tokens.BLOCK_TOKENS", 40)
+    monkeypatch.setattr("newszones.llm.shared_tokens.SLICE_TOKENS", slice_tokens)
+    monkeypatch.setattr("newszones.llm.shared_tokens.HELD_OWNERS", held)
+    rng = np.random.default_rng(4)
+    pool = np.append(rng.integers(0, 1 << 64, 60, np.uint64), np.array([0, 1 << 63, (1 << 64) - 1], np.uint64))
+    sets = {k - 15: np.unique(rng.choice(pool, k % 7)) for k in range(30)}
+    steps = Steps()
+    shared_tokens(steps, lambda raw, key: [(key, sets[key])], n_buckets)
+    deal, meet = steps.run
+    rows = pa.RecordBatch.from_arrays([pa.array(sets), pa.array([b""] * len(sets))], names=["key", "raw"])
+    dealt = sorted((r for b in deal(iter([rows])) for r in zip(*(c.to_pylist() for c in b.columns))), key=lambda r: r[0])
+    kinds = {"bucket": pa.int32(), "known": pa.bool_(), "who": pa.binary(), "low": pa.binary()}
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*dealt[at:at + 3]), kinds.values())], names=list(kinds))
+               for at in range(0, len(dealt), 3)]
+    got = {}
+    for batch in meet(iter(batches)):
+        for who, n in zip(*(c.to_pylist() for c in batch.columns)):
+            got[who] = got.get(who, 0) + n
+    expected = {k: sum(any(x in o for j, o in sets.items() if j != k) for x in own) for k, own in sets.items()}
+    assert got == {k: n for k, n in expected.items() if n}
+    assert list(meet(iter([]))) == []
+
+
 def test_jaccard_rows_without_partner_stay(spark, monkeypatch):
     """Texts that are not in the join after the first count are left out before they move."""
     rows = spark.range(20000).select("id", F.lit("text").alias("text"))
